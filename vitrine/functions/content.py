@@ -1,78 +1,60 @@
-"""Price, net content and variation-type expressions."""
+"""Price, net content, variation-type and note expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from vitrine import fixed
-from vitrine.functions.text import clean_text, contains_any, missing, unescape
+from vitrine.functions.sqltext import each, keep, let, lit, missing
+from vitrine.functions.text import clean_text, contains_any, unescape
 
 
-def parse_price(text: Column, decode: int = 1) -> Column:
+def parse_price(text: str, decode: int = 1) -> str:
     """First number followed by a euro mark, as DOUBLE; NULL when there is none."""
-    text = F.translate(unescape(text, decode) if decode else text, "\u00a0", " ")
-    raw = F.regexp_extract(text, fixed.PRICE_PATTERN, 1)
-    raw = F.replace(F.replace(raw, F.lit(" "), F.lit("")), F.lit(","), F.lit("."))
-    return F.round(missing(raw).try_cast("double"), 2)
+    plain = f"replace({unescape(text, decode)}, {lit(chr(0xA0))}, ' ')"
+    raw = f"replace(replace(regexp_extract({plain}, {lit(fixed.PRICE_PATTERN)}, 1), ' ', ''), ',', '.')"
+    return f"round(try_cast({missing(raw)} AS DOUBLE), 2)"
 
 
-def find_size(text: Column) -> Column:
+def find_size(text: str) -> str:
     """First size in the text as ``struct(display, number, unit)``, empty strings if none."""
-    hit = F.transform(
-        F.array(text),
-        lambda t: F.struct(
-            F.replace(F.regexp_extract(t, fixed.SIZE_PATTERN, 1), F.lit(","), F.lit(".")).alias("number"),
-            F.replace(F.lower(F.regexp_extract(t, fixed.SIZE_PATTERN, 2)), F.lit("."), F.lit("")).alias("raw"),
-        ),
-    )
-    with_unit = F.transform(
-        hit,
-        lambda h: F.struct(
-            h["number"].alias("number"),
-            F.when(h["number"] == "", F.lit(""))
-            .when(h["raw"].rlike("^(?:мл|ml|мил)"), F.lit("ml"))
-            .when(h["raw"].isin("л", "l") | h["raw"].startswith("лит"), F.lit("l"))
-            .when(h["raw"].isin("кг", "kg"), F.lit("kg"))
-            .otherwise(F.lit("g"))
-            .alias("unit"),
-        ),
-    )
-    shown = F.transform(
-        with_unit,
-        lambda h: F.struct(
-            F.when(h["unit"] == "", F.lit(""))
-            .when(h["unit"] == "ml", F.concat(h["number"], F.lit(" мл")))
-            .when(h["unit"] == "l", F.concat(h["number"], F.lit(" л")))
-            .when(h["unit"] == "kg", F.concat(h["number"], F.lit(" кг")))
-            .otherwise(F.concat(h["number"], F.lit(" г")))
-            .alias("display"),
-            h["number"].alias("number"),
-            h["unit"].alias("unit"),
-        ),
-    )
-    return shown[0]
+
+    def hit(t: str) -> str:
+        pattern = lit(fixed.SIZE_PATTERN)
+        return f"""named_struct('number', replace(regexp_extract({t}, {pattern}, 1), ',', '.'),
+            'raw', replace(lower(regexp_extract({t}, {pattern}, 2)), '.', ''))"""
+
+    def with_unit(h: str) -> str:
+        return f"""named_struct('number', {h}.number, 'unit', CASE WHEN {h}.number = '' THEN ''
+            WHEN {h}.raw RLIKE '^(?:мл|ml|мил)' THEN 'ml'
+            WHEN {h}.raw IN ('л', 'l') OR startswith({h}.raw, 'лит') THEN 'l'
+            WHEN {h}.raw IN ('кг', 'kg') THEN 'kg' ELSE 'g' END)"""
+
+    def shown(h: str) -> str:
+        return f"""named_struct('display', CASE {h}.unit WHEN '' THEN ''
+            WHEN 'ml' THEN concat({h}.number, ' мл') WHEN 'l' THEN concat({h}.number, ' л')
+            WHEN 'kg' THEN concat({h}.number, ' кг') ELSE concat({h}.number, ' г') END,
+            'number', {h}.number, 'unit', {h}.unit)"""
+
+    return let(let(let(text, hit), with_unit), shown)
 
 
-def variant_type(label: Column, value: Column) -> Column:
+def variant_type(label: str, value: str) -> str:
     """Scent, then colour, then size words; else the label; else the generic type."""
-    both = F.lower(F.concat(label, F.lit(" "), value))
-    return (
-        F.when(contains_any(both, fixed.SCENT_WORDS), F.lit(fixed.TYPE_SCENT))
-        .when(contains_any(both, fixed.COLOUR_WORDS), F.lit(fixed.TYPE_COLOUR))
-        .when(contains_any(both, fixed.SIZE_WORDS), F.lit(fixed.TYPE_SIZE))
-        .otherwise(F.coalesce(missing(clean_text(label)), F.lit(fixed.TYPE_OTHER)))
+    return let(
+        f"lower(concat({label}, ' ', {value}))",
+        lambda both: f"""CASE WHEN {contains_any(both, fixed.SCENT_WORDS)} THEN {lit(fixed.TYPE_SCENT)}
+            WHEN {contains_any(both, fixed.COLOUR_WORDS)} THEN {lit(fixed.TYPE_COLOUR)}
+            WHEN {contains_any(both, fixed.SIZE_WORDS)} THEN {lit(fixed.TYPE_SIZE)}
+            ELSE coalesce({missing(clean_text(label))}, {lit(fixed.TYPE_OTHER)}) END""",
     )
 
 
-def split_notes(candidate: Column) -> Column:
+def split_notes(candidate: str) -> str:
     """Sentence and bullet pieces of one text, cleaned, long enough ones only."""
-    pieces = F.split(F.translate(candidate, "\n", " "), fixed.SENTENCE_SPLIT_PATTERN)
-    cleaned = F.transform(pieces, lambda p: clean_text(p, fixed.NOTE_LIMIT))
-    return F.filter(cleaned, lambda p: F.length(p) >= fixed.NOTE_MIN_LENGTH)
+    pieces = f"split(translate({candidate}, '\\n', ' '), {lit(fixed.SENTENCE_SPLIT_PATTERN)})"
+    cleaned = each(pieces, lambda p: clean_text(p, fixed.NOTE_LIMIT))
+    return keep(cleaned, lambda p: f"length({p}) >= {fixed.NOTE_MIN_LENGTH}")
 
 
-def pick_notes(candidates: Column) -> Column:
+def pick_notes(candidates: str) -> str:
     """First few distinct pieces over all candidate texts."""
-    pieces = F.flatten(F.transform(candidates, split_notes))
-    return F.slice(F.array_distinct(pieces), 1, fixed.MAX_NOTES)
+    return f"slice(array_distinct(flatten({each(candidates, split_notes)})), 1, {fixed.MAX_NOTES})"

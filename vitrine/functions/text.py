@@ -5,24 +5,23 @@ from __future__ import annotations
 import json
 from html.entities import html5
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from vitrine import fixed
+from vitrine.functions.sqltext import each, keep, let, lit, missing
 
 # Blanks as Unicode sees them, plus the four ASCII separators that Java's \s leaves out.
-BLANKS = r"(?U)[\s\x1c-\x1f]+"
+BLANK = r"[\s\x1c-\x1f]"
+BLANKS = rf"(?U){BLANK}+"
 LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 _REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
-_COMMON_FIRST = ("amp;", "quot;", "lt;", "gt;", "nbsp;", "#39;", "apos;", "euro;", "copy;", "middot;")
+_FREQUENT = ("amp;", "quot;", "lt;", "gt;", "nbsp;", "apos;", "euro;", "copy;", "middot;")
 
 
-def _entity_map() -> Column:
+def _entity_map() -> str:
     """The standard HTML5 name table as one constant map, frequent names first."""
-    ordered = {n: html5[n] for n in _COMMON_FIRST if n in html5}
+    ordered = {n: html5[n] for n in _FREQUENT}
     ordered.update(html5)
-    return F.from_json(F.lit(json.dumps(ordered)), "map<string,string>")
+    return f"from_json({lit(json.dumps(ordered))}, 'map<string,string>')"
 
 
 def _unterminated_names() -> str:
@@ -31,145 +30,115 @@ def _unterminated_names() -> str:
     return "^&(" + "|".join(names) + ")"
 
 
-def _windows_1252() -> str:
-    return "".join(
-        bytes([b]).decode("cp1252") if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b)
-        for b in range(0x80, 0xA0)
-    )
+_ENTITIES = _entity_map()
+_UNTERMINATED = lit(_unterminated_names())
+_UNDEFINED_1252 = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
+_WINDOWS_1252 = lit(
+    "".join(chr(b) if b in _UNDEFINED_1252 else bytes([b]).decode("cp1252") for b in range(0x80, 0xA0))
+)
 
 
-def code_point(cp: Column) -> Column:
+def code_point(cp: str) -> str:
     """Character for a Unicode code point (``chr`` wraps above 255)."""
-    return F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
+    return f"decode(unhex(lpad(hex({cp}), 8, '0')), 'UTF-32')"
 
 
-def _numeric(token: Column) -> Column:
-    is_hex = F.lower(F.substring(token, 3, 1)) == "x"
-    digits = F.regexp_extract(token, r"^&#[xX]?0*([0-9a-fA-F]*)", 1)
-    number = (
-        F.when(digits == "", F.lit(0))
-        .when(F.length(digits) > 7, F.lit(0x110000))
-        .when(is_hex, F.conv(digits, 16, 10).cast("long"))
-        .otherwise(digits.try_cast("long"))
-    )
-    picked = F.transform(
-        F.array(number),
-        lambda n: F.when(
-            (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("�")
-        )
-        .when(n.between(0x80, 0x9F), F.substring(F.lit(_windows_1252()), (n - 0x7F).cast("int"), F.lit(1)))
-        .when(
-            n.between(0x1, 0x8) | (n == 0xB) | n.between(0xE, 0x1F) | (n == 0x7F)
-            | n.between(0xFDD0, 0xFDEF) | ((n % 0x10000) >= 0xFFFE),
-            F.lit(""),
-        )
-        .otherwise(code_point(n)),
-    )
-    return picked[0]
-
-
-def _decode_once(text: Column) -> Column:
-    names = _entity_map()
-
-    def decode(token: Column) -> Column:
-        known = F.transform(
-            F.array(F.regexp_extract(token, _unterminated_names(), 1)),
-            lambda n: F.when(n == "", token).otherwise(
-                F.concat(F.try_element_at(names, n), F.substring(token, F.length(n) + 2, F.length(token)))
-            ),
-        )[0]
-        return (
-            F.when(~token.startswith("&") | (token == "&"), token)
-            .when(token.startswith("&#"), _numeric(token))
-            .otherwise(F.coalesce(F.try_element_at(names, F.substring(token, F.lit(2), F.length(token))), known))
+def _numeric(token: str) -> str:
+    digits = f"regexp_extract({token}, '^&#[xX]?0*([0-9a-fA-F]*)', 1)"
+
+    def value(d: str) -> str:
+        return f"""CASE WHEN {d} = '' THEN 0L WHEN length({d}) > 7 THEN 1114112L
+            WHEN lower(substring({token}, 3, 1)) = 'x' THEN CAST(conv({d}, 16, 10) AS BIGINT)
+            ELSE try_cast({d} AS BIGINT) END"""
+
+    def character(n: str) -> str:
+        return f"""CASE WHEN {n} = 0 OR {n} BETWEEN 55296 AND 57343 OR {n} > 1114111 THEN {lit(chr(0xFFFD))}
+            WHEN {n} BETWEEN 128 AND 159 THEN substring({_WINDOWS_1252}, CAST({n} - 127 AS INT), 1)
+            WHEN {n} BETWEEN 1 AND 8 OR {n} = 11 OR {n} BETWEEN 14 AND 31 OR {n} = 127
+              OR {n} BETWEEN 64976 AND 65007 OR {n} % 65536 >= 65534 THEN ''
+            ELSE {code_point(n)} END"""
+
+    return let(let(digits, value), character)
+
+
+def _decode_once(text: str) -> str:
+    def decode(t: str) -> str:
+        known = let(
+            f"regexp_extract({t}, {_UNTERMINATED}, 1)",
+            lambda n: f"""CASE WHEN {n} = '' THEN {t}
+                ELSE concat(try_element_at({_ENTITIES}, {n}), substring({t}, length({n}) + 2)) END""",
         )
+        return f"""CASE WHEN NOT startswith({t}, '&') OR {t} = '&' THEN {t}
+            WHEN startswith({t}, '&#') THEN {_numeric(t)}
+            ELSE coalesce(try_element_at({_ENTITIES}, substring({t}, 2)), {known}) END"""
 
-    chunks = F.regexp_extract_all(text, F.lit(_REFERENCE + "|[^&]+|&"), 0)
-    return F.array_join(F.transform(chunks, decode), "")
+    return f"array_join({each(f'regexp_extract_all({text}, {lit(_REFERENCE + "|[^&]+|&")}, 0)', decode)}, '')"
 
 
-def unescape(text: Column, times: int = 1) -> Column:
+def unescape(text: str, times: int = 1) -> str:
     """HTML character references to characters, ``times`` rounds; untouched without ``&``."""
-    decoded = (
-        _decode_once(text)
-        if times == 1
-        else F.aggregate(
-            F.array_repeat(F.lit(1), times),
-            text,
-            lambda acc, _: F.when(F.contains(acc, F.lit("&")), _decode_once(acc)).otherwise(acc),
-        )
-    )
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+    def body(t: str) -> str:
+        if times == 1:
+            decoded = _decode_once(t)
+        else:
+            decoded = f"""aggregate(array_repeat(1, {times}), {t},
+                (acc, i) -> CASE WHEN contains(acc, '&') THEN {_decode_once('acc')} ELSE acc END)"""
+        return f"CASE WHEN contains({t}, '&') THEN {decoded} ELSE {t} END"
+
+    return let(text, body) if times else text
 
 
-def squeeze(text: Column) -> Column:
+def squeeze(text: str) -> str:
     """Every run of blanks to one blank, none at the ends."""
-    return F.trim(F.regexp_replace(text, BLANKS, " "))
+    return f"trim(regexp_replace({text}, {lit(BLANKS)}, ' '))"
 
 
-def truncate(text: Column, limit: int) -> Column:
+def truncate(text: str, limit: int) -> str:
     """Over-long text to ``limit - 1`` characters, right-trimmed, and an ellipsis."""
-    cut = F.regexp_replace(F.substring(text, 1, limit - 1), r"(?U)[\s\x1c-\x1f]+$", "")
-    return F.when(F.length(text) > limit, F.concat(cut, F.lit("…"))).otherwise(text)
+    return let(
+        text,
+        lambda t: f"""CASE WHEN length({t}) > {limit}
+            THEN concat(regexp_replace(substring({t}, 1, {limit - 1}), {lit(f'(?U){BLANK}+$')}, ''), '…')
+            ELSE {t} END""",
+    )
 
 
-def clean_text(text: Column, limit: int | None = None, decode: int = 1) -> Column:
+def clean_text(text: str, limit: int | None = None, decode: int = 1) -> str:
     """Missing to ``''``, decode, squeeze, truncate."""
-    text = F.coalesce(text, F.lit(""))
-    out = squeeze(unescape(text, decode) if decode else text)
+    out = squeeze(unescape(f"coalesce({text}, '')", decode))
     return truncate(out, limit) if limit else out
 
 
-def missing(text: Column) -> Column:
-    """``''`` to NULL, so that ``coalesce`` walks over it."""
-    return F.nullif(text, F.lit(""))
-
-
-def first_filled(*choices: Column) -> Column:
-    """First choice that is neither NULL nor ``''``; ``''`` when there is none."""
-    return F.coalesce(*[missing(c) for c in choices], F.lit(""))
-
-
-def unique_filled(items: Column) -> Column:
+def unique_filled(items: str) -> str:
     """Keep-first unique over an array of cleaned texts, empty ones dropped."""
-    return F.array_distinct(F.filter(items, lambda x: x != ""))
+    return f"array_distinct({keep(items, lambda x: f'{x} <> {lit("")}')})"
 
 
-def title_case(text: Column) -> Column:
+def title_case(text: str) -> str:
     """Upper-case the first letter of every run of letters, lower-case the rest."""
-    runs = F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), 0)
-    return F.array_join(
-        F.transform(
-            runs,
-            lambda r: F.concat(
-                F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, F.lit(2), F.length(r)))
-            ),
-        ),
-        "",
-    )
+    runs = f"regexp_extract_all({text}, {lit(chr(92) + 'p{L}+|' + chr(92) + 'P{L}+')}, 0)"
+    cased = each(runs, lambda r: f"concat(upper(substring({r}, 1, 1)), lower(substring({r}, 2)))")
+    return f"array_join({cased}, '')"
 
 
-def contains_any(text: Column, parts: tuple[str, ...]) -> Column:
+def contains_any(text: str, parts: tuple[str, ...]) -> str:
     """True when the text holds one of the literal parts."""
-    quoted = [p.replace(".", r"\.") for p in parts]
-    return text.rlike("|".join(quoted))
+    return f"({text} RLIKE {lit('|'.join(p.replace('.', chr(92) + '.') for p in parts))})"
 
 
-def sku_suffix(text: Column) -> Column:
+def sku_suffix(text: str) -> str:
     """Compact suffix for a repeated SKU."""
-    text = F.replace(clean_text(text), F.lit("№"), F.lit("no"))
-    text = F.regexp_replace(text, fixed.SKU_NON_WORD_PATTERN, "-")
-    text = F.regexp_replace(text, r"^[-_.]+|[-_.]+$", "")
-    return F.coalesce(missing(F.substring(text, 1, fixed.SKU_SUFFIX_LIMIT)), F.lit("variant"))
+    safe = f"regexp_replace(replace({clean_text(text)}, '№', 'no'), {lit(fixed.SKU_NON_WORD_PATTERN)}, '-')"
+    ends = f"regexp_replace({safe}, '^[-_.]+|[-_.]+$', '')"
+    return f"coalesce({missing(f'substring({ends}, 1, {fixed.SKU_SUFFIX_LIMIT})')}, 'variant')"
 
 
-def json_text(value: Column) -> Column:
-    """A string as a quoted JSON string."""
-    wrapped = F.to_json(F.array(value))
-    return F.substring(wrapped, F.lit(2), F.length(wrapped) - 2)
+def json_object(entries: str) -> str:
+    """Map entries as JSON with ``": "`` and ``", "`` between, in entry order."""
 
+    def quoted(value: str) -> str:
+        return let(f"to_json(array({value}))", lambda j: f"substring({j}, 2, length({j}) - 2)")
 
-def json_object(entries: Column) -> Column:
-    """Map entries as JSON with ``": "`` and ``", "`` between, in entry order."""
-    pairs = F.transform(entries, lambda e: F.concat(json_text(e["key"]), F.lit(": "), json_text(e["value"])))
-    return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
+    pairs = each(entries, lambda e: f"concat({quoted(f'{e}.key')}, ': ', {quoted(f'{e}.value')})")
+    return f"concat('{{', array_join({pairs}, ', '), '}}')"

@@ -2,91 +2,88 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from vitrine import fixed
-from vitrine.functions.text import contains_any, missing, unescape
+from vitrine.functions.sqltext import let, lit, missing
+from vitrine.functions.text import BLANK, contains_any, unescape
 
-_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
-def url_host(url: Column) -> Column:
+def url_host(url: str) -> str:
     """Network location (with port and user part), ``''`` when there is none."""
-    return F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
+    return f"regexp_extract({url}, {lit(rf'^(?:{_SCHEME})?//([^/?#]*)')}, 1)"
 
 
-def url_path(url: Column) -> Column:
-    return F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
+def url_path(url: str) -> str:
+    return f"regexp_extract({url}, {lit(rf'^(?:{_SCHEME})?(?://[^/?#]*)?([^?#]*)')}, 1)"
 
 
-def _resolve_dots(path: Column) -> Column:
+def _resolve_dots(path: str) -> str:
     """Remove ``.`` and ``..`` segments; a final one leaves a trailing slash."""
-    parts = F.split(path, "/")
-    kept = F.aggregate(
-        parts,
-        F.array().cast("array<string>"),
-        lambda acc, seg: F.when(seg == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(seg == ".", acc)
-        .otherwise(F.concat(acc, F.array(seg))),
-    )
-    last = F.element_at(parts, -1)
-    closed = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
-    joined = F.regexp_replace(F.array_join(closed, "/"), r"^(?!/)", "/")
-    return F.when(path.rlike(r"(?:^|/)\.{1,2}(?:/|$)"), joined).otherwise(path)
-
-
-def normalize_url(url: Column, base: Column | str, decode: int = 1) -> Column:
-    """Decode, trim, make absolute against ``base``; missing stays ``''``."""
-    base = F.lit(base) if isinstance(base, str) else base
-    u = F.regexp_replace(unescape(url, decode) if decode else url, _ENDS, "")
-    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    base_path = url_path(base)
-    folder = F.concat(F.lit("/"), F.regexp_extract(base_path, r"^/?(.*/)?[^/]*$", 1))
-    path = F.regexp_extract(u, r"^([^?#]*)", 1)
-    tail = F.substring(u, F.length(path) + 1, F.length(u))
-    squeezed = F.regexp_replace(F.concat(folder, path), r"/{2,}", "/")
-    resolved = (
-        F.when(u == "", base)
-        .when(u.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), u))
-        .when(u.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), u))
-        .when(u.startswith("/"), F.concat(origin, _resolve_dots(path), tail))
-        .otherwise(F.concat(origin, _resolve_dots(squeezed), tail))
-    )
-    return (
-        F.when(F.coalesce(url, F.lit("")) == "", F.lit(""))
-        .when(u.startswith("//"), F.concat(F.lit("https:"), u))
-        .when(u.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), u)
-        .otherwise(resolved)
-    )
+
+    def body(p: str) -> str:
+        kept = f"""aggregate(split({p}, '/'), CAST(array() AS ARRAY<STRING>),
+            (acc, seg) -> CASE WHEN seg = '..' THEN slice(acc, 1, greatest(size(acc) - 1, 0))
+                               WHEN seg = '.' THEN acc ELSE concat(acc, array(seg)) END)"""
+        closed = f"""concat({kept}, CASE WHEN {p} RLIKE {lit(r'(?:^|/)[.]{1,2}$')} THEN array('')
+            ELSE CAST(array() AS ARRAY<STRING>) END)"""
+        return f"""CASE WHEN {p} RLIKE {lit(r'(?:^|/)[.]{1,2}(?:/|$)')}
+            THEN regexp_replace(array_join({closed}, '/'), '^(?!/)', '/') ELSE {p} END"""
+
+    return let(path, body)
 
 
-def normalize_image_url(url: Column, base: Column | str, decode: int = 1) -> Column:
+def normalize_url(url: str, base: str, decode: int = 1) -> str:
+    """Decode, trim, make absolute against ``base`` (a SQL expression); missing stays ``''``."""
+    trimmed = (
+        f"regexp_replace({unescape(f'coalesce({url}, {lit("")})', decode)}, {lit(f'(?U)^{BLANK}+|{BLANK}+$')}, '')"
+    )
+    origin = f"regexp_extract({base}, {lit(rf'^({_SCHEME}//[^/?#]*)')}, 1)"
+    folder = f"concat('/', regexp_extract({url_path(base)}, '^/?(.*/)?[^/]*$', 1))"
+
+    def body(u: str) -> str:
+        path = f"regexp_extract({u}, '^([^?#]*)', 1)"
+        tail = f"regexp_extract({u}, '^[^?#]*(.*)$', 1)"
+        below = f"regexp_replace(concat({folder}, {path}), '/{{2,}}', '/')"
+        return f"""CASE WHEN coalesce({url}, '') = '' THEN ''
+            WHEN startswith({u}, '//') THEN concat('https:', {u})
+            WHEN {u} RLIKE {lit('^' + _SCHEME)} THEN {u}
+            WHEN {u} = '' THEN {base}
+            WHEN startswith({u}, '#') THEN concat(regexp_extract({base}, '^([^#]*)', 1), {u})
+            WHEN startswith({u}, '?') THEN concat(regexp_extract({base}, '^([^?#]*)', 1), {u})
+            WHEN startswith({u}, '/') THEN concat({origin}, {_resolve_dots(path)}, {tail})
+            ELSE concat({origin}, {_resolve_dots(below)}, {tail}) END"""
+
+    return let(trimmed, body)
+
+
+def normalize_image_url(url: str, base: str, decode: int = 1) -> str:
     """Original picture behind a cached WebP copy or a thumbnail."""
-    out = F.replace(normalize_url(url, base, decode), F.lit(fixed.WEBP_CACHE_PATH), F.lit(""))
-    out = F.regexp_replace(out, r"\.webp$", "")
-    return F.regexp_replace(out, fixed.THUMB_PATTERN, "")
+    out = f"replace({normalize_url(url, base, decode)}, {lit(fixed.WEBP_CACHE_PATH)}, '')"
+    return f"regexp_replace(regexp_replace({out}, '[.]webp$', ''), {lit(fixed.THUMB_PATTERN)}, '')"
 
 
-def is_shop_furniture(url: Column) -> Column:
+def is_shop_furniture(url: str) -> str:
     """Logos, badges, loaders and placeholders, which never go to the feed."""
-    return contains_any(F.lower(url), fixed.SKIPPED_IMAGE_PARTS)
+    return contains_any(f"lower({url})", fixed.SKIPPED_IMAGE_PARTS)
 
 
-def slug_from_url(url: Column) -> Column:
+def slug_from_url(url: str) -> str:
     """Last path segment made safe; ``product`` when nothing is left."""
-    last = F.regexp_extract(F.regexp_replace(url_path(url), r"/+$", ""), r"([^/]*)$", 1)
-    slug = F.trim(F.regexp_replace(last, r"[^A-Za-z0-9_-]+", "-"), F.lit("-"))
-    return F.coalesce(missing(slug), F.lit("product"))
+    last = f"regexp_extract({url_path(url)}, '([^/]*)/*$', 1)"
+    slug = f"trim(BOTH '-' FROM regexp_replace({last}, '[^A-Za-z0-9_-]+', '-'))"
+    return f"coalesce({missing(slug)}, 'product')"
 
 
-def is_probable_product_url(url: Column, host_suffix: str, base: Column | str | None = None) -> Column:
+def is_probable_product_url(url: str, host_suffix: str, base: str | None = None) -> str:
     """Shop host, one path segment (or ``product/…``), none of the taxonomy parts."""
-    full = normalize_url(url, base) if base is not None else url
-    path = F.trim(url_path(full), F.lit("/"))
-    single = (path != "") & ~F.contains(path, F.lit("/"))
-    return (
-        url_host(full).endswith(host_suffix)
-        & (single | path.startswith("product/"))
-        & ~contains_any(F.lower(path), fixed.NON_PRODUCT_PATH_PARTS)
-    )
+
+    def body(u: str) -> str:
+        def path_ok(p: str) -> str:
+            return f"""({p} <> '' AND NOT contains({p}, '/') OR startswith({p}, 'product/'))
+                AND NOT {contains_any(f'lower({p})', fixed.NON_PRODUCT_PATH_PARTS)}"""
+
+        inside = let(f"trim(BOTH '/' FROM {url_path(u)})", path_ok)
+        return f"(endswith({url_host(u)}, {lit(host_suffix)}) AND {inside})"
+
+    return let(normalize_url(url, base) if base else url, body)
