@@ -26,11 +26,15 @@ def lits(values: Iterable[str]) -> str:
 
 
 def let(value: str, body: Callable[[str], str]) -> str:
-    """Evaluate ``value`` once and use it by name inside ``body``."""
+    """Evaluate ``value`` once and use it by name inside ``body``.
+
+    A fold over nothing hands its start value to the finishing lambda; unlike
+    ``transform(array(value), …)[0]`` it does not copy what the body returns.
+    """
     if re.fullmatch(r"[A-Za-z_][\w.]*", value):
         return body(value)
     name = f"v{next(_names)}"
-    return f"transform(array({value}), {name} -> {body(name)})[0]"
+    return f"aggregate(CAST(array() AS ARRAY<INT>), {value}, (a{name}, i{name}) -> a{name}, {name} -> {body(name)})"
 
 
 def each(array: str, body: Callable[[str], str]) -> str:

@@ -183,6 +183,11 @@ def page_nodes(pages: DataFrame, html: str = "html") -> DataFrame:
     return noded.selectExpr(*others, "inline(nodes)")
 
 
+def element_scopes(pages: DataFrame, tags: tuple[str, ...], html: str = "html") -> DataFrame:
+    """Element scopes of the named tags, one row per element."""
+    return page_nodes(pages, html).where(f"kind = 'o' AND tag IN ({lits(tags)})")
+
+
 # --- selection inside a row ------------------------------------------------
 
 

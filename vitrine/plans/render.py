@@ -122,7 +122,10 @@ def _page_html() -> str:
 
 def product_pages(spark: SparkSession, sf: str) -> DataFrame:
     """``(page_id, url, html)``, one page per part; every tenth is a blog page."""
-    return parts(spark, sf).selectExpr("k AS page_id", "concat(url, '?ref=', k) AS url", f"{_page_html()} AS html")
+    # page work is heavy and part rows are slim: spread the rows over all cores before the pages are written
+    spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slim = parts(spark, sf).repartition(spread, "k")
+    return slim.selectExpr("k AS page_id", "concat(url, '?ref=', k) AS url", f"{_page_html()} AS html")
 
 
 # --- discovery bodies -----------------------------------------------------------
