@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine import fixed
-from vitrine.functions.sqltext import each, first, first_filled, keep, let, lit, missing
+from vitrine.functions.sqltext import each, first, keep, let, lit
 from vitrine.functions.text import clean_text
 from vitrine.functions.urls import is_probable_product_url, normalize_url
 from vitrine.operators.nodes import attr, elements, has_class, inside, with_nodes
@@ -139,7 +139,7 @@ def api_links(bodies: DataFrame, page_bound: int = fixed.API_PAGE_BOUND) -> Data
     stop = stops.agg(F.min("stop").alias("stop"))  # one row
     return (
         items.join(F.broadcast(stop), F.expr("page_no < stop"))
-        .selectExpr("page_no", "posexplode(items.link) AS (ord, link)")
+        .selectExpr("page_no", "posexplode(slice(items.link, 1, size(items))) AS (ord, link)")
         .where("link <> ''")
     )
 
@@ -196,9 +196,8 @@ def next_page_edges(pages: DataFrame, shop: Shop) -> DataFrame:
         keep("elems", lambda e: f"{e}.tag = 'a' AND {has_class(e, 'next')} AND {has_class(e, 'page-numbers')}")
     )
     href = let(f"coalesce({declared}, {shown})", lambda e: attr(e, "href"))
-    return noded.selectExpr("url", f"{missing(normalize_url(href, lit(shop.base_url)))} AS next_url").where(
-        "next_url IS NOT NULL"
-    )
+    target = let(normalize_url(href, lit(shop.base_url)), lambda n: f"CASE WHEN {n} <> '' THEN array({n}) END")
+    return noded.selectExpr("url", f"explode({target}) AS next_url")
 
 
 def page_chains(seeds: DataFrame, edges: DataFrame, bound: int) -> DataFrame:

@@ -259,6 +259,16 @@ def with_elements(pages: DataFrame, url: str = "url", html: str = "html") -> Dat
     return picked.selectExpr("*", f"{is_product_page()} AS is_product")
 
 
+def where_kept(frame: DataFrame, test: str) -> DataFrame:
+    """Filter by a column that was costly to compute.
+
+    A plain filter would be pushed below the projections, with a copy of all the
+    expressions behind the column; unfolding a one-element array is not.
+    """
+    kept = frame.selectExpr("*", f"explode(CASE WHEN {test} THEN array(true) END) AS __kept")
+    return kept.drop("__kept")
+
+
 def product_facts(pages: DataFrame, shop: Shop) -> DataFrame:
     """Facts of every page; on pages that are no product pages they are empty."""
     others = [f"`{c}`" for c in pages.columns if c != "html"]

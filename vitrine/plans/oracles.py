@@ -233,7 +233,7 @@ ORACLES: dict[str, str] = {
     "visible_variations": f"""WITH {ROWS} SELECT k AS page_id, CAST(max(j) AS INT) AS n_visible,
         string_agg(CASE j WHEN 1 THEN CAST(k * 10 + 1 AS VARCHAR) ELSE '-' END, ',' ORDER BY j) AS skus FROM variations GROUP BY k""",
     "variation_json": f"""WITH {ROWS} SELECT k AS page_id, CAST(j AS INT) AS idx,
-        CASE j WHEN 1 THEN printf('%.2f', p_retailprice + 1) WHEN 2 THEN 'abc' END AS display_price,
+        CASE j WHEN 1 THEN round(p_retailprice + 1, 2) END AS display_price,
         CASE j WHEN 1 THEN 'https://shop.example/img/' || k || '-v1-600x600.jpg' WHEN 3 THEN '/img/' || k || '-v3.jpg' END AS image,
         'attribute_pa_obem=' || j || 'l;attribute_color=deep-' || j AS attributes FROM variations""",
     "event_props_json": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",

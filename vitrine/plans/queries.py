@@ -47,7 +47,7 @@ def _rendered_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
     pages = facts.maybe_product_pages(render.product_pages(spark, sf))
-    return facts.product_facts(pages, SHOP).where("is_product")
+    return facts.where_kept(facts.product_facts(pages, SHOP), "is_product")
 
 
 def _single_fact(name: str) -> Query:
@@ -218,7 +218,7 @@ def product_pages(spark, sf):
         _pages(spark, sf).selectExpr("-1 - page_id AS page_id", "url", "html")
     )
     flagged = facts.with_elements(facts.maybe_product_pages(every))
-    return flagged.where("is_product").select("page_id", "url")
+    return facts.where_kept(flagged, "is_product").select("page_id", "url")
 
 
 @query
@@ -236,7 +236,7 @@ def exportable_rows(spark, sf):
 
 @query
 def visible_variations(spark, sf):
-    return variants.with_variations(_facts(spark, sf)).where("size(variations) > 0").selectExpr(
+    return facts.where_kept(variants.with_variations(_facts(spark, sf)), "size(variations) > 0").selectExpr(
         "page_id",
         "size(variations) AS n_visible",
         "array_join(transform(variations, v -> coalesce(nullif(v.variation.sku, ''), '-')), ',') AS skus",
@@ -245,10 +245,10 @@ def visible_variations(spark, sf):
 
 @query
 def variation_json(spark, sf):
-    return variants.with_variations(_facts(spark, sf)).selectExpr("page_id", "inline(variations)").selectExpr(
+    return variants.with_variations(_facts(spark, sf)).selectExpr("page_id", "inline(slice(variations, 1, size(variations)))").selectExpr(
         "page_id",
         "idx",
-        "variation.display_price AS display_price",
+        "try_cast(variation.display_price AS DOUBLE) AS display_price",
         "coalesce(variation.image.full_src, variation.image.src) AS image",
         "array_join(transform(attributes, a -> concat(a.key, '=', a.value)), ';') AS attributes",
     )
@@ -263,8 +263,8 @@ def event_props_json(spark, sf):
 
 @query
 def variation_pairs(spark, sf):
-    return variants.with_variations(_facts(spark, sf)).selectExpr("page_id", "inline(variations)").selectExpr(
-        "page_id", "idx", "posexplode(pairs) AS (place, pair)"
+    return variants.with_variations(_facts(spark, sf)).selectExpr("page_id", "inline(slice(variations, 1, size(variations)))").selectExpr(
+        "page_id", "idx", "posexplode(slice(pairs, 1, size(pairs))) AS (place, pair)"
     ).selectExpr("page_id", "idx", "place", "pair.type AS variation_type", "pair.value AS variation_value")
 
 
