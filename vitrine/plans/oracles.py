@@ -250,7 +250,7 @@ ORACLES: dict[str, str] = {
     "line_dedupe": "WITH "
     + _kept_lines("documents", "doc_id", _LINES.format(x="text"), _squeeze(_decode("piece")))
     + " SELECT doc_id, coalesce(lines, '') AS lines FROM documents LEFT JOIN joined USING (doc_id)",
-    "first_node": f"""SELECT page_id, {_squeeze(_decode("regexp_replace(regexp_extract(html, '(?s)<p>(.*?)(?:</p>|<p>)', 1), '<[^>]*>', '', 'g')", 2))}
+    "first_node": f"""SELECT page_id, {_squeeze(_decode("regexp_replace(regexp_extract(html, '(?s)<p>(.*?)(?:</p>|<p>|</article>)', 1), '<[^>]*>', '', 'g')", 2))}
         AS first_paragraph FROM pages""",
     "run_counts": f"""WITH {ROWS} SELECT (SELECT count(*) FROM part) AS urls_found,
         (SELECT count(*) FROM product_rows WHERE images <> '') AS rows_exported""",
