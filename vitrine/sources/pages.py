@@ -31,7 +31,7 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     arrays = {"item_notes", "images"}
     return read.selectExpr(
         *[
-            f"split(coalesce({c}, ''), ' [|] ') AS {c}" if c in arrays
+            f"filter(split(coalesce({c}, ''), ' [|] '), x -> x <> '') AS {c}" if c in arrays
             else f"CAST({c} AS DOUBLE) AS {c}" if c == "map_price"
             else f"coalesce({c}, '') AS {c}"
             for c in PRODUCT_ROW.names
