@@ -97,3 +97,14 @@ def test_html_files(spark, tmp_path):
     pages = read_html_files(spark, str(tmp_path)).orderBy("page_id").collect()
     assert [p.html for p in pages] == ["xy", "б�"] and pages[0].url.startswith("file:")
     assert [p.html for p in read_html_files(spark, str(tmp_path), limit=1).collect()] == ["xy"]
+
+
+def test_whole_and_limited_lists_give_the_same_rows(spark):
+    html = '<meta property="og:type" content="product"><meta property="og:image" content="/i{0}.jpg">' \
+           '<meta property="product:price:amount" content="{0}"><title>t{0}</title>single-product'
+    pages = spark.createDataFrame([(9 - i, f"{B}u{i}/", html.format(i)) for i in range(5)], PAGES)
+    urls = spark.createDataFrame([(f"{B}u{i}/", i * 10) for i in (4, 1, 2, 7)], "url string, position long")
+    whole = sorted(map(tuple, jobs.discovered_rows(urls, pages, SHOP).collect()))
+    picked = sorted(map(tuple, jobs.discovered_rows(urls, pages, SHOP, limit=9).collect()))
+    assert whole == picked and [r[0] for r in whole] == [10, 20, 40]
+    assert len(jobs.discovered_rows(urls, pages, SHOP, limit=2).collect()) == 2

@@ -34,9 +34,21 @@ def not_fetched(urls: DataFrame, pages: DataFrame, shop: Shop) -> DataFrame:
 
 
 def discovered_rows(urls: DataFrame, pages: DataFrame, shop: Shop, limit: int = 0) -> DataFrame:
-    """URL list to exportable product rows: unique, limit, page lookup, extraction, row test."""
+    """URL list to exportable product rows: unique, limit, page lookup, extraction, row test.
+
+    A limited list picks its pages before any HTML is cut.  A whole list covers
+    most pages anyway: there the rows are made first and looked up by page number,
+    so that the HTML itself is never shuffled.
+    """
     chosen = limited(unique_urls(urls), limit)
-    return exportable(product_rows(fetched(chosen, pages, shop), shop, order="position"))
+    if limit > 0:
+        return exportable(product_rows(fetched(chosen, pages, shop), shop, order="position"))
+    wanted = chosen.selectExpr("position", f"{normalize_url('url', lit(shop.base_url))} AS fetch_url")
+    numbers = pages.selectExpr("page_id", "url AS fetch_url")
+    places = wanted.join(numbers, "fetch_url").selectExpr("page_id AS url_ord", "position")
+    rows = exportable(product_rows(pages, shop))
+    columns = [f"`{c}`" for c in rows.columns if c != "url_ord"]
+    return rows.join(places, "url_ord").selectExpr("position AS url_ord", *columns)
 
 
 def page_feed(pages: DataFrame, shop: Shop) -> DataFrame:
