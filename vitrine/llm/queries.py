@@ -9,17 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from vitrine.llm.common import table
 from vitrine.llm.decontamination import decontamination
 from vitrine.llm.language_id import language_id
+from vitrine.llm.packing import packing
+from vitrine.llm.simhash import simhash
+
+#: A vocabulary file of the installed package ``public_tokenizers``.
+TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op6_decontamination)
+    f.__name__: f for f in (op1_language_id, op2_packing, op6_decontamination, op10_simhash)
 }
 ORACLES: dict[str, str] = {}
