@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from vitrine.llm.common import table
 from vitrine.llm.decontamination import decontamination
 from vitrine.llm.language_id import language_id
+from vitrine.llm.licenses import licenses
 from vitrine.llm.packing import packing
+from vitrine.llm.pii import pii
+from vitrine.llm.secret_ledger import secrets
 from vitrine.llm.simhash import simhash
 
 #: A vocabulary file of the installed package ``public_tokenizers``.
@@ -26,15 +29,27 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_packing, op6_decontamination, op10_simhash)
+    f.__name__: f for f in (op1_language_id, op2_packing, op3_pii, op6_decontamination, op7_secrets, op9_licenses, op10_simhash)
 }
 ORACLES: dict[str, str] = {}
