@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.llm.common import table
 from vitrine.llm.decontamination import decontamination
+from vitrine.llm.kd_shards import shards
 from vitrine.llm.language_id import language_id
 from vitrine.llm.licenses import licenses
+from vitrine.llm.nearest import nearest
 from vitrine.llm.packing import packing
 from vitrine.llm.pii import pii
 from vitrine.llm.secret_ledger import secrets
@@ -33,6 +35,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii(table(spark, sf_dir, "documents"))
 
 
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,6 +47,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets(table(spark, sf_dir, "documents"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"))
 
@@ -50,6 +60,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_packing, op3_pii, op6_decontamination, op7_secrets, op9_licenses, op10_simhash)
+    f.__name__: f for f in (op1_language_id, op2_packing, op3_pii, op5_kd_shards, op6_decontamination, op7_secrets, op8_nearest, op9_licenses, op10_simhash)
 }
 ORACLES: dict[str, str] = {}
