@@ -13,6 +13,7 @@ from vitrine.llm.language_id import language_id
 from vitrine.llm.licenses import licenses
 from vitrine.llm.nearest import nearest
 from vitrine.llm.packing import packing
+from vitrine.llm.paragraph_dedup import repeats
 from vitrine.llm.pii import pii
 from vitrine.llm.secret_ledger import secrets
 from vitrine.llm.simhash import simhash
@@ -35,6 +36,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii(table(spark, sf_dir, "documents"))
 
 
+def op4_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_packing, op3_pii, op5_kd_shards, op6_decontamination, op7_secrets, op8_nearest, op9_licenses, op10_simhash)
+    f.__name__: f for f in (op1_language_id, op2_packing, op3_pii, op4_paragraph_dedup, op5_kd_shards, op6_decontamination, op7_secrets, op8_nearest, op9_licenses, op10_simhash)
 }
 ORACLES: dict[str, str] = {}
