@@ -53,6 +53,12 @@ def word_counts(docs: DataFrame, train_rows: int) -> DataFrame:
     return picked.select("lang", "text").mapInArrow(_counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def grams_of(word: str, size: int) -> list[str]:
+    """Character n-grams; those of two or more characters see the word's ends."""
+    padded = f"^{word}$" if size > 1 else word
+    return [padded[k : k + size] for k in range(len(padded) - size + 1)]
+
+
 class Model:
     """Log frequencies: one row of ``table`` (a column per language) per known word and n-gram."""
 
@@ -65,10 +71,9 @@ class Model:
         for lang, word, n in counts:
             j = column[lang]
             words.setdefault(word, [0.0] * len(self.langs))[j] += n
-            padded = f"^{word}$"
             for size in range(1, max_n + 1):
-                for k in range(len(padded) - size + 1):
-                    grams[size].setdefault(padded[k : k + size], [0.0] * len(self.langs))[j] += n
+                for gram in grams_of(word, size):
+                    grams[size].setdefault(gram, [0.0] * len(self.langs))[j] += n
         self.index: dict[str, int] = {}
         self.gram_index: list[dict[str, int]] = [{} for _ in range(max_n + 1)]
         rows = []
@@ -84,10 +89,9 @@ class Model:
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean over the known n-grams of the greatest length that has any; zeros without any."""
-        padded = f"^{word}$"
-        for size in range(min(self.max_n, len(padded)), 0, -1):
+        for size in range(self.max_n, 0, -1):
             known = self.gram_index[size]
-            rows = [known[g] for g in (padded[k : k + size] for k in range(len(padded) - size + 1)) if g in known]
+            rows = [known[g] for g in grams_of(word, size) if g in known]
             if rows:
                 return self.table[rows].mean(axis=0)
         return np.zeros(len(self.langs))
