@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import GAP, WORD, ascii_lower
+from vitrine.llm.common import GAP, LOWER, UPPER
 from vitrine.llm.spans import literal, matches
 
 #: Base phrases and their labels.
@@ -105,8 +105,11 @@ LICENSES = (
     License("public-domain", "public domain", ("dedicated to the public domain", "released into the public domain", "in the public domain"), "public domain", ""),
     License("proprietary", "all rights", ("all rights reserved",), "all rights reserved", ""),
 )
-#: Texts without any of these hold no rule's keyword. Words are separated by any run of separators.
 TAGGED = "spdx license identifier"
+#: Every name and tag above holds one of these, so texts without any are not normalised.
+STEMS = ("licen", "gpl", "cc by", "creative commons", "cc0", "no attribution", "bsd", "mpl", "cddl", "wtfpl", "public domain", "rights reserved")
+#: Separators in texts as they are: A-Z are letters too, patterns ignore the case of ASCII letters only.
+RAW_GAP, RAW_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 
 class Rule(NamedTuple):
@@ -123,7 +126,7 @@ def rules(licenses: tuple[License, ...] = LICENSES) -> list[Rule]:
     for form, score in (("licensed", 0.95), ("versioned", 0.9), ("bare", 0.8)):
         for x in licenses:
             names = f"(?:{'|'.join(x.names)})"
-            version = f"(?: version| v)? {x.versions}" if x.versions else ""
+            version = f"(?: version| v)? v?{x.versions}" if x.versions else ""
             if form == "licensed":
                 out.append(Rule(x.label, x.keyword, f"{before}(?:licen[sc]ed|released|distributed|available|published|made available) under (?:the |an? )?(?:terms of the )?{names}(?:{version})?(?= )", score))
             elif form == "versioned" and version:
@@ -134,25 +137,27 @@ def rules(licenses: tuple[License, ...] = LICENSES) -> list[Rule]:
 
 
 def _spaced(phrase: str) -> str:
-    return f"{GAP}++".join(phrase.split(" "))
+    return f"{RAW_GAP}++".join(phrase.split(" "))
 
 
-BASE_PATTERN = f"(?<!{WORD})(?:{'|'.join(_spaced(p) for p in BASE)})(?!{WORD})"
+BASE_PATTERN = f"(?i)(?:{'|'.join(f'{p[0]}(?<!{RAW_WORD}.){_spaced(p)[1:]}' for p in BASE)})(?!{RAW_WORD})"
 
 
 def word_count(text: str) -> str:
-    return f"size(array_remove(split({text}, {literal(f'{GAP}++')}, -1), ''))"
+    """SQL: pieces between separators, less the empty ones at the ends."""
+    pieces = f"size(split({text}, {literal(f'{RAW_GAP}++')}, -1))"
+    return f"if({text} = '', 0, {pieces} - cast(left({text}, 1) rlike {literal(RAW_GAP)} as int) - cast(right({text}, 1) rlike {literal(RAW_GAP)} as int))"
 
 
 def scanned(docs: DataFrame, keep: list[str], licenses: tuple[License, ...] = LICENSES) -> DataFrame:
     """kept, n_words, places (word start and label of every base phrase) and kept detections of the rules."""
     ordered = rules(licenses)
-    gate = "|".join(sorted({_spaced(r.keyword) for r in ordered}))
+    gate = f"(?i){'|'.join(_spaced(s) for s in STEMS)}"
     table = "array(" + ", ".join(f"named_struct('rank', {i}, 'label', '{r.label}', 'keyword', '{r.keyword}', 'pattern', {literal(r.pattern)}, 'score', {r.score}D)" for i, r in enumerate(ordered)) + ")"
-    label = "case " + " ".join(f"when {literal(p)} = regexp_replace(m.value, {literal(f'{GAP}++')}, ' ') then '{k}'" for p, k in BASE.items()) + " end"
+    label = "case " + " ".join(f"when {literal(p)} = lower(regexp_replace(m.value, {literal(f'{RAW_GAP}++')}, ' ')) then '{k}'" for p, k in BASE.items()) + " end"
     # A place's word start: words before it, counted gap by gap, as a match never cuts a word.
     places = f"transform({matches('text', BASE_PATTERN)}, m -> named_struct('start', cast({word_count('substring(text, 1, cast(m.start as int))')} as bigint), 'label', {label}))"
-    norm = f"concat(' ', array_join(array_remove(split(text, {literal(f'{GAP}++')}, -1), ''), ' '), ' ')"
+    norm = f"concat(' ', array_join(array_remove(split(translate(text, '{UPPER}', '{LOWER}'), {literal(f'{GAP}++')}, -1), ''), ' '), ' ')"
     one = matches("norm", "r.pattern").replace(literal("r.pattern"), "r.pattern")
     hits = f"""flatten(transform(filter({table}, r -> contains(norm, concat(' ', r.keyword)) or contains(norm, concat(r.keyword, ' '))),
         r -> transform({one}, m -> named_struct('rank', r.rank, 'from', m.start, 'to', m.end, 'label', r.label, 'score', r.score))))"""
@@ -160,7 +165,7 @@ def scanned(docs: DataFrame, keep: list[str], licenses: tuple[License, ...] = LI
     kept = f"""aggregate(array_sort(hits, (a, b) -> case when a.rank <> b.rank then a.rank - b.rank when a.to - a.from <> b.to - b.from then cast(b.to - b.from - a.to + a.from as int)
           when a.from < b.from then -1 when a.from > b.from then 1 else 0 end), cast(array() as {none}),
         (acc, h) -> if(exists(acc, k -> k.from <= h.from and h.to <= k.to), acc, concat(acc, array(h))))"""
-    text = docs.select(F.struct(*keep).alias("kept"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text"))
+    text = docs.select(F.struct(*keep).alias("kept"), F.coalesce("text", F.lit("")).alias("text"))
     counted = text.selectExpr("kept", f"cast({word_count('text')} as bigint) as n_words", f"{places} as places", f"if(text rlike {literal(gate)}, {norm}, null) as norm")
     return counted.selectExpr("kept", "n_words", "places", f"if(norm is null, cast(array() as {none}), {hits}) as hits").selectExpr("kept", "n_words", "places", f"{kept} as detections")
 
