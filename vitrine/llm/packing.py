@@ -17,6 +17,8 @@ many whole windows. An empty table gives no rows. Further columns are not read.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from bisect import bisect_right
 from collections import defaultdict
@@ -27,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,25 +40,29 @@ from vitrine.llm.common import numbered, stage
 CAPACITY = 4096
 GRAIN = 64
 END_ID = 2
-#: Characters on which str.split() cuts and the tokenizer's white-space rule does not.
-OTHER_SPACES = "\x1c\x1d\x1e\x1f"
+MARKS = ".,!?;:"
+PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Texts with other characters go to the tokenizer whole: combining marks, letters whose lower case depends on
+#: their neighbours, and separators on which str.split() cuts but the tokenizer doesn't.
+SPACES = re.compile("[\x1c-\x1f]")
+PLAIN = re.compile("[^\x00-\x1b\x20-\u012f\u0131-\u017f\u0400-\u0482\u048a-\u04ff\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3]")
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, with bounded memos of chunks and words.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those of its
-    space-separated chunks. A chunk of letters with one closing mark is the word and the mark. New words of
-    a group of texts go to the tokenizer together and are told apart by their word-end ids.
+    space-separated chunks. An ASCII chunk falls into runs of letters, single digits and runs of other
+    characters, another one into its letters and a closing mark; chunks for which that doesn't hold go to the
+    tokenizer whole. New words of a group of texts go there together and are told apart by their word-end ids.
     """
 
-    CHUNKS, WORDS, TOGETHER = 250_000, 500_000, 500
+    CHUNKS, WORDS, TOGETHER = 250_000, 300_000, 500
 
     def __init__(self, tokenizer_json: str):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-        self.marks = {m: self._plain(m) for m in ".,!?;:"}
         self.closes = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.closes[i] = token.endswith("</w>")
@@ -77,51 +84,79 @@ class Encoder:
                 out |= {w: self._plain(w) for w in part}
         return out
 
-    def _new(self, missing: set[str]) -> dict[str, bytes]:
+    def _pieces(self, chunk: str) -> list[str] | None:
+        """The tokenizer's own pieces of a chunk in lower case, where simple rules tell them; None elsewhere."""
+        if chunk.isascii():
+            return PIECES.findall(chunk) if "'" not in chunk else None
+        mark = chunk[-1] if chunk[-1] in MARKS else ""
+        word = chunk[:-1] if mark else chunk
+        return ([word, mark] if mark else [word]) if word.isalpha() else None
+
+    def _new(self, missing: list[str]) -> dict[str, bytes]:
         """Ids of chunks that the memo lacks."""
-        split, out = {}, {}
+        known, split, out = self.words, {}, {}
+        fresh: dict[str, bytes] = {}
         for chunk in missing:
-            mark = chunk[-1] if chunk[-1] in self.marks else ""
-            word = chunk[:-1] if mark else chunk
-            if word.isalpha():
-                split[chunk] = (word.lower() if word.isascii() else word, mark)
-            else:
+            pieces = self._pieces(chunk)
+            if pieces is None:
                 out[chunk] = self._plain(chunk)
-        known = self.words
-        fresh = self._words(sorted({w for w, _ in split.values() if w not in known}))
-        for chunk, (word, mark) in split.items():
-            ids = known.get(word) or fresh[word]
-            out[chunk] = ids + self.marks[mark] if mark else ids
+            else:
+                split[chunk] = pieces
+                for piece in pieces:
+                    if piece not in known:
+                        fresh[piece] = b""
+        fresh |= self._words([w for w in fresh if w.isalpha()])
+        fresh |= {w: self._plain(w) for w, ids in fresh.items() if not ids}
+        for chunk, pieces in split.items():
+            out[chunk] = b"".join([known.get(p) or fresh[p] for p in pieces])
         if len(known) < self.WORDS:
             known.update(fresh)
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; call it with a few megabytes at a time."""
-        plain = [bool(t) and any(c in t for c in OTHER_SPACES) for t in texts]
-        lists = [t.split() if t and not p else [] for t, p in zip(texts, plain, strict=True)]
-        missing = set().union(*lists).difference(self.chunks)
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text; call it with a few megabytes at a time.
+
+        Chunks are told apart by Arrow; only distinct ones are looked up here.
+        """
+        rows = texts.to_pylist()
+        plain = [bool(t) and ("<|" in t or SPACES.search(t) is not None or not t.isascii() and PLAIN.search(t) is not None) for t in rows]
+        chunks = pc.utf8_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(plain, pa.bool_()), "", pc.fill_null(texts, ""))))
+        coded = chunks.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        get = self.chunks.get
+        ids = [get(c) if c else b"" for c in distinct]
+        missing = [c for c, i in zip(distinct, ids, strict=True) if i is None]
         new = self._new(missing)
         if len(self.chunks) < self.CHUNKS:
             self.chunks.update(new)
-        get, other = self.chunks.get, new.__getitem__
-        return [self._plain(t) if p else b"".join([get(c) or other(c) for c in own]) for t, p, own in zip(texts, plain, lists, strict=True)]
+        ids = [new[c] if i is None else i for c, i in zip(distinct, ids, strict=True)]
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        sizes = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) // 4
+        first = np.cumsum(sizes, dtype=np.int32) - sizes
+        code = coded.indices.to_numpy()
+        size = sizes[code]
+        after = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(size, dtype=np.int64)))
+        at = np.repeat((first[code] - after[:-1]).astype(np.int32), size)
+        at += np.arange(len(at), dtype=np.int32)
+        line = flat[at].tobytes()
+        cut = (4 * after[chunks.offsets.to_numpy()]).tolist()
+        return [self._plain(t) if p else line[x:y] for t, p, x, y in zip(rows, plain, cut[:-1], cut[1:], strict=True)]
 
 
 @lru_cache(maxsize=1)
 def encoder_of(tokenizer_json: str) -> Encoder:
-    """One encoder per Python worker: its memos serve all tasks of the worker."""
+    """One encoder per Python worker: its memos serve all tasks of the worker. Spark deals out the cores."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Encoder(tokenizer_json)
 
 
-def encoded(texts: list[str | None], encoder: Encoder, together: int = 2 << 20) -> Iterator[bytes]:
+def encoded(texts: pa.Array, encoder: Encoder, together: int = 16 << 20) -> Iterator[bytes]:
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < len(texts):
-        end, size = first, 0
-        while end < len(texts) and size < together:
-            size += len(texts[end] or "")
-            end += 1
-        yield from encoder.encode(texts[first:end])
+        held = sizes[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(sizes, held + together)))
+        yield from encoder.encode(texts.slice(first, end - first))
         first = end
 
 
@@ -138,7 +173,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         encoder = encoder_of(shared.value)
         for batch in batches:
             tokens, rests, wholes, heads = [], [], [], []
-            for own in encoded(batch.column("text").to_pylist(), encoder):
+            for own in encoded(batch.column("text"), encoder):
                 ids = memoryview(own + end)
                 n = len(ids) // 4
                 cut = n - n % CAPACITY
