@@ -66,10 +66,8 @@ LIST_ITEM_MIN_LENGTH = 4
 MAX_NOTES = 6
 MAX_IMAGES = 10
 SKU_SUFFIX_LIMIT = 28
-CATEGORY_PAGE_BOUND = 300
-HOME_CATEGORY_PAGE_BOUND = 100
-API_PAGE_BOUND = 199
-NUMBERED_SITEMAPS = 30
+SITEMAP_INDEX = "sitemap_index"
+SITEMAP_NAMES = r"(sitemap_index|product-sitemap)([0-9]*)[.]xml$"
 
 RAW_COLUMNS = (
     "product_url", "listing_id", "seller_sku", "item_name", "category", "brand", "trademark",

@@ -31,8 +31,12 @@ def let(value: str, body: Callable[[str], str]) -> str:
     A fold over nothing hands its start value to the finishing lambda; unlike
     ``transform(array(value), …)[0]`` it does not copy what the body returns.
     """
-    if re.fullmatch(r"[A-Za-z_][\w.]*", value):
-        return body(value)
+    return body(value) if re.fullmatch(r"[A-Za-z_][\w.]*", value) else bind(value, body)
+
+
+def bind(value: str, body: Callable[[str], str]) -> str:
+    """Like ``let``, for columns too: the optimizer may put a column's expression in its place, and inside a
+    lambda that is evaluated for every element."""
     name = f"v{next(_names)}"
     return f"aggregate(CAST(array() AS ARRAY<INT>), {value}, (a{name}, i{name}) -> a{name}, {name} -> {body(name)})"
 

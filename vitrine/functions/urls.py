@@ -41,19 +41,29 @@ def normalize_url(url: str, base: str, decode: int = 1) -> str:
     origin = f"regexp_extract({base}, {lit(rf'^({_SCHEME}//[^/?#]*)')}, 1)"
     folder = f"concat('/', regexp_extract({url_path(base)}, '^/?(.*/)?[^/]*$', 1))"
 
-    def body(u: str) -> str:
+    scheme = f"lower(regexp_extract({base}, {lit(f'^({_SCHEME})')}, 1))"
+
+    def relative(u: str) -> str:
         path = f"regexp_extract({u}, '^([^?#]*)', 1)"
         tail = f"regexp_extract({u}, '^[^?#]*(.*)$', 1)"
         below = f"regexp_replace(concat({folder}, {path}), '/{{2,}}', '/')"
-        return f"""CASE WHEN coalesce({url}, '') = '' THEN ''
-            WHEN startswith({u}, '//') THEN concat('https:', {u})
-            WHEN {u} RLIKE {lit('^' + _SCHEME)} THEN {u}
-            WHEN {u} = '' THEN {base}
+        return f"""CASE WHEN {u} = '' THEN regexp_extract({base}, '^([^#]*)', 1)
             WHEN startswith({u}, '#') THEN concat(regexp_extract({base}, '^([^#]*)', 1), {u})
             WHEN startswith({u}, '?') THEN concat(regexp_extract({base}, '^([^?#]*)', 1), {u})
             WHEN startswith({u}, '/') THEN concat({origin}, {_resolve_dots(path)}, {tail})
             ELSE concat({origin}, {_resolve_dots(below)}, {tail}) END"""
 
+    def body(u: str) -> str:
+        own = f"lower(regexp_extract({u}, {lit(f'^({_SCHEME})')}, 1))"
+        # the base's own scheme without a host is no scheme; an empty fragment and an empty query are dropped
+        bare = f"CASE WHEN {own} <> '' THEN substring({u}, length({own}) + 1) ELSE {u} END"
+        shown = f"regexp_replace(regexp_replace({bare}, '^([^#]*)#$', '$1'), '^([^?#]*)[?](#.*)?$', '$1$2')"
+        return f"""CASE WHEN coalesce({url}, '') = '' THEN ''
+            WHEN startswith({u}, '//') THEN concat('https:', {u})
+            WHEN {u} RLIKE '^(?i:https?)://' OR {own} NOT IN ('', {scheme}) THEN {u}
+            WHEN {u} = '' THEN {base}
+            ELSE {let(shown, relative)} END"""
+
     return let(trimmed, body)
 
 

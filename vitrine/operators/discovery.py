@@ -1,32 +1,45 @@
 """Product URLs from stored sitemaps, listing-API bodies and category pages.
 
-Order travels as a BIGINT ``position`` that grows with the order in which the
-URLs were met; it is only sorted where a limit needs it.
+Order travels as ``position``, an array of numbers that is compared from the left
+(source, page, place in the page, ...), so sources nest without sharing bits; it is
+only sorted where a limit or dense numbers need it.  A caller's lists may carry a
+plain number instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from vitrine import fixed
-from vitrine.functions.sqltext import each, first, keep, let, lit
+from vitrine.functions.sqltext import each, first, keep, let, lit, missing
 from vitrine.functions.text import clean_text
 from vitrine.functions.urls import is_probable_product_url, normalize_url
 from vitrine.operators.nodes import attr, elements, has_class, inside, with_nodes
 from vitrine.schemas import Shop
 from vitrine.session import scratch_path
 
-SOURCE_BITS, GROUP_BITS = 56, 24
 LOC = r"(?s)<loc(?:\s[^>]*)?>(.*?)</loc>"
 
 
-def position(source: str, group: str, ord_: str) -> str:
-    """One growing number for (source, group within the source, place within the group)."""
-    return (
-        f"shiftleft(CAST({source} AS BIGINT), {SOURCE_BITS}) + shiftleft(CAST({group} AS BIGINT), {GROUP_BITS})"
-        f" + CAST({ord_} AS BIGINT)"
-    )
+def position(*parts: str) -> str:
+    """The parts as one order, the first counting most."""
+    return f"array({', '.join(f'CAST({p} AS BIGINT)' for p in parts)})"
+
+
+def path_of(frame: DataFrame, column: str = "position") -> str:
+    """The column as an array, whether it is one or a plain number."""
+    return column if isinstance(frame.schema[column].dataType, ArrayType) else position(column)
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def unique_urls(urls: DataFrame) -> DataFrame:
@@ -41,7 +54,7 @@ def unique_urls(urls: DataFrame) -> DataFrame:
 
 def url_union(*sources: DataFrame) -> DataFrame:
     """Concatenate ``(url, position)`` lists in the given order and keep first occurrences."""
-    ranked = [s.selectExpr("url", f"{position(str(i), '0', '0')} + position AS position") for i, s in enumerate(sources)]
+    ranked = [s.selectExpr("url", f"concat({position(str(i))}, {path_of(s)}) AS position") for i, s in enumerate(sources)]
     every = ranked[0]
     for more in ranked[1:]:
         every = every.unionByName(more)
@@ -52,7 +65,7 @@ def first_nonempty(*sources: DataFrame) -> DataFrame:
     """The first of the lists that holds anything."""
     every = None
     for i, s in enumerate(sources):
-        tagged = s.select("url", "position", F.lit(i).alias("source_rank"))
+        tagged = s.selectExpr("url", f"{path_of(s)} AS position", f"{i} AS source_rank")
         every = tagged if every is None else every.unionByName(tagged)
     chosen = every.agg(F.min("source_rank").alias("source_rank"))  # one row
     return every.join(F.broadcast(chosen), "source_rank", "left_semi").select("url", "position")
@@ -63,14 +76,29 @@ def limited(urls: DataFrame, limit: int = 0) -> DataFrame:
     return urls.orderBy("position").limit(limit) if limit > 0 else urls
 
 
+def densely_numbered(urls: DataFrame) -> DataFrame:
+    """``position`` replaced by its rank from 0: ranges of the order are sorted apart, then shifted."""
+    ranged = urls.repartitionByRange("position").sortWithinPartitions("position")
+    placed = stored(
+        ranged.selectExpr("*", "spark_partition_id() AS __range", "monotonically_increasing_id() & 8589934591L AS __place"),
+        "url-ranges",
+    )
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    starts = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).select(
+        "__range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__start")
+    )
+    others = [f"`{c}`" for c in urls.columns if c != "position"]
+    return placed.join(starts, "__range").selectExpr(*others, "__start + __place AS position")
+
+
 # --- sitemaps ---------------------------------------------------------------
 
 
-def sitemap_locs(bodies: DataFrame) -> DataFrame:
-    """``(url, ord, loc)`` of stored sitemap bodies."""
+def sitemap_locs(bodies: DataFrame, *more: str) -> DataFrame:
+    """``(url, ord, loc)`` of stored sitemap bodies, and ``more`` of their columns."""
     bare = "regexp_replace(raw, '^\\\\s*<!\\\\[CDATA\\\\[|\\\\]\\\\]>\\\\s*$', '')"
-    return bodies.selectExpr("url", f"posexplode(regexp_extract_all(body, {lit(LOC)}, 1)) AS (ord, raw)").selectExpr(
-        "url", "ord", f"{clean_text(bare, decode=2)} AS loc"
+    return bodies.selectExpr("url", *more, f"posexplode(regexp_extract_all(body, {lit(LOC)}, 1)) AS (ord, raw)").selectExpr(
+        "url", *more, "ord", f"{clean_text(bare, decode=2)} AS loc"
     )
 
 
@@ -84,30 +112,40 @@ def is_product_sitemap(loc: str) -> str:
         AND NOT contains(lower({loc}), {lit(fixed.CATEGORY_SITEMAP_PART)}))"""
 
 
-def sitemap_candidates(shop: Shop) -> list[str]:
-    names = ["sitemap_index.xml", "product-sitemap.xml"]
-    names += [f"product-sitemap{i}.xml" for i in range(1, fixed.NUMBERED_SITEMAPS + 1)]
-    return [shop.base_url + n for n in names]
+def sitemap_seeds(bodies: DataFrame, shop: Shop) -> DataFrame:
+    """``(seed, rank)``: stored index sitemaps, then the plain and the numbered product sitemaps of the shop's root."""
+    name = f"regexp_extract(url, {lit('^' + re.escape(shop.base_url) + fixed.SITEMAP_NAMES)}, 1)"
+    number = f"regexp_extract(url, {lit('^' + re.escape(shop.base_url) + fixed.SITEMAP_NAMES)}, 2)"
+    named = bodies.selectExpr("url AS seed", f"{name} AS name", f"coalesce(try_cast({number} AS BIGINT), 0) AS number")
+    ranked = named.where("name <> ''").selectExpr("seed", f"{position(f'CASE name WHEN {lit(fixed.SITEMAP_INDEX)} THEN 0 ELSE 1 END', 'number')} AS rank")
+    return ranked.distinct()
+
 
+def listed_seeds(bodies: DataFrame, seeds: list[str]) -> DataFrame:
+    """Given seed addresses with their places in the list."""
+    rows = ", ".join(f"({lit(s)}, {position(str(i), '0')})" for i, s in enumerate(seeds))
+    return bodies.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(seed, rank)")
 
-def sitemap_urls(bodies: DataFrame, seeds: list[str], shop: Shop) -> DataFrame:
-    """Product URLs of the seed sitemaps and of the product sitemaps they name, two levels."""
-    spark = bodies.sparkSession
+
+def sitemap_urls(bodies: DataFrame, seeds: DataFrame | list[str], shop: Shop) -> DataFrame:
+    """Product URLs of the seed sitemaps and of the product sitemaps they name, two levels.
+
+    Only bodies that are looked up are unfolded.  Of several stored bodies of an address every link counts.
+    """
     base = lit(shop.base_url)
-    ranks = spark.createDataFrame(list(enumerate(seeds)), "rank INT, seed STRING")
-    locs = sitemap_locs(bodies)
-    top = ranks.selectExpr("rank", "seed", f"{normalize_url('seed', base)} AS url").join(locs, "url")
+    ranks = seeds if isinstance(seeds, DataFrame) else listed_seeds(bodies, seeds)
+    once = bodies.select("url", "body")
+    asked = ranks.selectExpr("rank", "seed", f"{normalize_url('seed', base)} AS url").join(once, "url")
+    top = sitemap_locs(asked, "rank", "seed")
     probable = is_probable_product_url("loc", shop.host_suffix, base)
     direct = top.where(f"NOT {is_sitemap('loc')} AND {probable}").selectExpr(
-        "loc AS url", f"{position('rank', '0', 'ord')} AS position"
+        "loc AS url", f"concat(rank, {position('0', 'ord')}) AS position"
     )
     children = top.where(f"{is_product_sitemap('loc')} AND loc <> seed").selectExpr(
-        "rank", "ord AS child_ord", f"{normalize_url('loc', base)} AS url"
+        f"concat(rank, {position('1 + ord')}) AS child", f"{normalize_url('loc', base)} AS url"
     )
-    nested = (
-        children.join(locs, "url")
-        .where(probable)
-        .selectExpr("loc AS url", f"{position('rank', '1 + child_ord', 'ord')} AS position")
+    nested = sitemap_locs(children.join(once, "url"), "child").where(probable).selectExpr(
+        "loc AS url", f"concat(child, {position('ord')}) AS position"
     )
     return unique_urls(direct.unionByName(nested))
 
@@ -115,12 +153,13 @@ def sitemap_urls(bodies: DataFrame, seeds: list[str], shop: Shop) -> DataFrame:
 # --- listing API --------------------------------------------------------------
 
 
-def api_links(bodies: DataFrame, page_bound: int = fixed.API_PAGE_BOUND) -> DataFrame:
+def api_links(bodies: DataFrame, page_bound: int | None = None) -> DataFrame:
     """``(page_no, ord, link)`` of the pages before the first failed, empty, broken or missing one.
 
-    Reading also stops after the page whose total says that it is the last.
+    Reading also stops after the page whose total says that it is the last, and after ``page_bound`` if given.
     """
-    items = bodies.where(f"page_no BETWEEN 1 AND {page_bound}").selectExpr(
+    within = f"page_no BETWEEN 1 AND {page_bound}" if page_bound else "page_no >= 1"
+    items = bodies.where(within).selectExpr(
         "CAST(page_no AS INT) AS page_no",
         "status",
         "total_pages",
@@ -128,7 +167,6 @@ def api_links(bodies: DataFrame, page_bound: int = fixed.API_PAGE_BOUND) -> Data
     )
     good = "coalesce(status, 200) < 400 AND coalesce(size(items), 0) > 0"
     last = f"page_no >= coalesce(total_pages, page_no) AND {good}"
-    # at most page_bound rows reach the two sides of this
     stops = items.selectExpr(
         f"CASE WHEN NOT ({good}) THEN page_no WHEN {last} THEN page_no + 1 END AS stop"
     ).unionByName(
@@ -144,50 +182,35 @@ def api_links(bodies: DataFrame, page_bound: int = fixed.API_PAGE_BOUND) -> Data
     )
 
 
-def api_urls(bodies: DataFrame, shop: Shop) -> DataFrame:
+def api_urls(bodies: DataFrame, shop: Shop, page_bound: int | None = None) -> DataFrame:
     probable = is_probable_product_url("link", shop.host_suffix, lit(shop.base_url))
-    return unique_urls(
-        api_links(bodies).where(probable).selectExpr("link AS url", f"{position('0', 'page_no', 'ord')} AS position")
-    )
+    links = api_links(bodies, page_bound).where(probable)
+    return unique_urls(links.selectExpr("link AS url", f"{position('page_no', 'ord')} AS position"))
 
 
 # --- category pages -----------------------------------------------------------
 
 
-def scoped_links(pages: DataFrame, scope, link=lambda e: "true") -> DataFrame:
-    """``(url, ord, href)`` of the ``a[href]`` elements inside scope elements, in page order."""
-    noded = with_nodes(pages.select("url", "html")).selectExpr("url", f"{elements('nodes')} AS elems")
+def _scoped(elems: str, scope, link=lambda e: "true") -> str:
+    """hrefs of the ``a[href]`` elements inside scope elements, in page order."""
     found = let(
-        keep("elems", scope),
-        lambda s: keep("elems", lambda e: f"{e}.tag = 'a' AND {attr(e, 'href')} <> '' AND {link(e)} AND {inside(e, s)}"),
+        keep(elems, scope),
+        lambda s: keep(elems, lambda e: f"{e}.tag = 'a' AND {attr(e, 'href')} <> '' AND {link(e)} AND {inside(e, s)}"),
     )
-    return noded.selectExpr("url", f"posexplode({each(found, lambda e: attr(e, 'href'))}) AS (ord, href)")
+    return each(found, lambda e: attr(e, "href"))
 
 
-def listing_links(pages: DataFrame, shop: Shop) -> DataFrame:
-    """Probable product links of listing pages: links inside product list items."""
-    links = scoped_links(pages, lambda e: f"{e}.tag = 'li' AND {has_class(e, 'product')}")
-    return links.selectExpr("url", "ord", f"{normalize_url('href', lit(shop.base_url))} AS link").where(
-        is_probable_product_url("link", shop.host_suffix)
-    )
-
+def scoped_links(pages: DataFrame, scope, link=lambda e: "true") -> DataFrame:
+    """``(url, ord, href)`` of the ``a[href]`` elements inside scope elements, in page order."""
+    noded = with_nodes(pages.select("url", "html")).selectExpr("url", f"{elements('nodes')} AS elems")
+    return noded.selectExpr("url", f"posexplode({_scoped('elems', scope, link)}) AS (ord, href)")
 
-def links_with(pages: DataFrame, fragment: str, base: str) -> DataFrame:
-    """``(url, ord, link)``: links whose href, and absolute form too, holds the fragment."""
-    noded = with_nodes(pages.select("url", "html")).selectExpr("url", "nodes")
-    hrefs = each(
-        keep("nodes", lambda n: f"{n}.kind IN ('o', 'v') AND {n}.tag = 'a' AND contains({attr(n, 'href')}, {lit(fragment)})"),
-        lambda n: attr(n, "href"),
-    )
-    return (
-        noded.selectExpr("url", f"posexplode({hrefs}) AS (ord, href)")
-        .selectExpr("url", "ord", f"{normalize_url('href', base)} AS link")
-        .where(f"contains(link, {lit(fragment)})")
-    )
 
+def listing_facts(pages: DataFrame, shop: Shop) -> DataFrame:
+    """``(url, next_url, hrefs)`` of listing pages, each cut once; of several stored copies the smallest counts.
 
-def next_page_edges(pages: DataFrame, shop: Shop) -> DataFrame:
-    """``(url, next_url)`` by ``link[rel=next]``, else by the pagination's next link."""
+    The next page is ``link[rel=next]``, else the pagination's next link; the links stand inside product items.
+    """
     noded = with_nodes(pages.select("url", "html")).selectExpr("url", f"{elements('nodes')} AS elems")
     declared = first(
         keep("elems", lambda e: f"{e}.tag = 'link' AND array_contains(split({attr(e, 'rel')}, '\\\\s+'), 'next')")
@@ -196,70 +219,86 @@ def next_page_edges(pages: DataFrame, shop: Shop) -> DataFrame:
         keep("elems", lambda e: f"{e}.tag = 'a' AND {has_class(e, 'next')} AND {has_class(e, 'page-numbers')}")
     )
     href = let(f"coalesce({declared}, {shown})", lambda e: attr(e, "href"))
-    target = let(normalize_url(href, lit(shop.base_url)), lambda n: f"CASE WHEN {n} <> '' THEN array({n}) END")
-    return noded.selectExpr("url", f"explode({target}) AS next_url")
+    products = _scoped("elems", lambda e: f"{e}.tag = 'li' AND {has_class(e, 'product')}")
+    cut = noded.selectExpr("url", f"{missing(normalize_url(href, lit(shop.base_url)))} AS next_url", f"{products} AS hrefs")
+    return cut.groupBy("url").agg(F.min(F.struct("next_url", "hrefs")).alias("f")).selectExpr("url", "f.next_url", "f.hrefs")
 
 
-def page_chains(seeds: DataFrame, edges: DataFrame, bound: int) -> DataFrame:
-    """``(seed_ord, url, depth)``: the pages met from each seed within ``bound`` steps.
+def listing_links(facts: DataFrame, shop: Shop) -> DataFrame:
+    """Probable product links of listing pages."""
+    return facts.selectExpr("url", "posexplode(hrefs) AS (ord, href)").selectExpr(
+        "url", "ord", f"{normalize_url('href', lit(shop.base_url))} AS link"
+    ).where(is_probable_product_url("link", shop.host_suffix))
 
-    Every page has at most one next page, so steps can be doubled: round k knows
-    the page 2^k steps on, and 300 pages take 9 rounds.  A walk that meets a
-    page again only repeats pages, so the smallest depth per page is the walk.
-    """
-    spark = seeds.sparkSession
 
-    def stored(frame: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        frame.write.parquet(path)
-        return spark.read.parquet(path)
+def links_with(pages: DataFrame, fragment: str, base: str, *more: str) -> DataFrame:
+    """``(url, ord, link)`` and ``more`` of the pages' columns: links whose href, and absolute form too, holds the fragment."""
+    noded = with_nodes(pages.select("url", "html", *more)).selectExpr("url", "nodes", *more)
+    hrefs = each(
+        keep("nodes", lambda n: f"{n}.kind IN ('o', 'v') AND {n}.tag = 'a' AND contains({attr(n, 'href')}, {lit(fragment)})"),
+        lambda n: attr(n, "href"),
+    )
+    return (
+        noded.selectExpr("url", *more, f"posexplode({hrefs}) AS (ord, href)")
+        .selectExpr("url", *more, "ord", f"{normalize_url('href', base)} AS link")
+        .where(f"contains(link, {lit(fragment)})")
+    )
+
+
+def page_chains(seeds: DataFrame, edges: DataFrame, bound: int | None = None) -> DataFrame:
+    """``(seed_ord, url, depth)``: the pages met from each seed, within ``bound`` steps if given.
 
-    jumps = stored(edges.selectExpr("url", "next_url AS target").dropDuplicates(["url"]), "jumps")
-    met = seeds.selectExpr("seed_ord", "url", "0 AS depth")
-    stride = 1
-    while stride < bound:
+    Every page has at most one next page (of several the smallest), so steps can be
+    doubled: round k knows the page 2^k steps on, and 300 pages take 9 rounds.  A walk
+    that meets a page again only repeats pages, so the smallest depth per page is the
+    walk, and a round that meets no new page is the last.
+    """
+    jumps = stored(edges.where("next_url IS NOT NULL").groupBy("url").agg(F.min("next_url").alias("target")), "jumps")
+    met = seeds.selectExpr("seed_ord", "url", "0 AS depth").groupBy("seed_ord", "url").agg(F.min("depth").alias("depth"))
+    known, stride = met.count(), 1
+    while bound is None or stride < bound:
         further = met.join(jumps, "url").selectExpr("seed_ord", "target AS url", f"depth + {stride} AS depth")
+        within = f"depth < {bound}" if bound else "true"
         met = stored(
-            met.unionByName(further).where(f"depth < {bound}").groupBy("seed_ord", "url").agg(F.min("depth").alias("depth")),
-            "met",
+            met.unionByName(further).where(within).groupBy("seed_ord", "url").agg(F.min("depth").alias("depth")), "met"
         )
-        stride *= 2
-        if stride < bound:
-            onward = jumps.selectExpr("target AS url", "url AS origin").join(jumps, "url")
-            jumps = stored(onward.selectExpr("origin AS url", "target"), "jumps")
-            if jumps.isEmpty():
-                break
+        now = met.count()
+        if now == known:
+            break
+        known, stride = now, stride * 2
+        onward = jumps.selectExpr("target AS url", "url AS origin").join(jumps, "url")
+        jumps = stored(onward.selectExpr("origin AS url", "target"), "jumps")
     return met
 
 
-def category_urls(seeds: DataFrame, pages: DataFrame, shop: Shop, bound: int = fixed.CATEGORY_PAGE_BOUND) -> DataFrame:
+def category_urls(seeds: DataFrame, pages: DataFrame, shop: Shop, bound: int | None = None) -> DataFrame:
     """Product URLs of the categories ``(seed_ord, url)``, page after page, category after category."""
     starts = seeds.selectExpr("seed_ord", f"{normalize_url('url', lit(shop.base_url))} AS url")
-    chains = page_chains(starts, next_page_edges(pages, shop), bound)
-    found = chains.join(listing_links(pages, shop), "url")
+    facts = stored(listing_facts(pages, shop), "listing-facts")
+    found = page_chains(starts, facts.select("url", "next_url"), bound).join(listing_links(facts, shop), "url")
     return unique_urls(
-        found.selectExpr("link AS url", f"{position('0', f'CAST(seed_ord AS BIGINT) * {bound} + depth', 'ord')} AS position")
+        found.selectExpr("link AS url", f"concat({path_of(starts, 'seed_ord')}, {position('depth', 'ord')}) AS position")
     )
 
 
-def home_category_urls(home: DataFrame, pages: DataFrame, shop: Shop) -> DataFrame:
-    """Product URLs of all categories that the home page links to."""
-    links = links_with(home, fixed.CATEGORY_FRAGMENT, lit(shop.base_url))
-    seeds = unique_urls(links.selectExpr("link AS url", "CAST(ord AS BIGINT) AS position"))
-    return category_urls(
-        seeds.selectExpr("position AS seed_ord", "url"), pages, shop, fixed.HOME_CATEGORY_PAGE_BOUND
-    )
+def home_category_urls(home: DataFrame, pages: DataFrame, shop: Shop, bound: int | None = None) -> DataFrame:
+    """Product URLs of all categories that the home pages ``(page_id, url, html)`` link to."""
+    links = links_with(home, fixed.CATEGORY_FRAGMENT, lit(shop.base_url), "page_id")
+    seeds = unique_urls(links.selectExpr("link AS url", f"{position('page_id', 'ord')} AS position"))
+    return category_urls(seeds.selectExpr("position AS seed_ord", "url"), pages, shop, bound)
 
 
 def all_site_urls(
-    sitemap_bodies: DataFrame, api_bodies: DataFrame, home: DataFrame, listing_pages: DataFrame, shop: Shop
+    sitemap_bodies: DataFrame, api_bodies: DataFrame, home: DataFrame, listing_pages: DataFrame, shop: Shop,
+    seeds: list[str] | None = None,
 ) -> DataFrame:
     """Sitemaps, else the listing API, else the category crawl.
 
     Each source is only worked through when the ones before it came out empty.
     """
-    by_sitemap = sitemap_urls(sitemap_bodies, sitemap_candidates(shop), shop)
+    asked = seeds or sitemap_seeds(sitemap_bodies, shop)
+    by_sitemap = stored(sitemap_urls(sitemap_bodies, asked, shop), "sitemap-urls")
     if not by_sitemap.isEmpty():
         return by_sitemap
-    by_api = api_urls(api_bodies, shop)
+    by_api = stored(api_urls(api_bodies, shop), "api-urls")
     return by_api if not by_api.isEmpty() else home_category_urls(home, listing_pages, shop)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vitrine import fixed
 from vitrine.schemas import PRODUCT_ROW
+from vitrine.session import scratch_path
 
 _REPEATS = {"item_note": fixed.MAX_NOTES, "other_image_url": fixed.MAX_IMAGES - 1}
 
@@ -63,12 +64,19 @@ def write_csv(frame: DataFrame, path: str) -> None:
 
 
 def write_feed(rows: DataFrame, path: str, raw_path: str | None = None, template: list[str] | None = None) -> bool:
-    """Write the feed (and the raw export) as parquet; False when there are no rows."""
-    if rows.isEmpty():
+    """Write the feed (and the raw export) as parquet; False when there are no rows.
+
+    The rows are computed once, into the shared folder, and read for each output.
+    """
+    spark = rows.sparkSession
+    once = scratch_path(spark, "feed-rows")
+    rows.write.parquet(once)
+    stored = spark.read.schema(rows.schema).parquet(once)
+    if stored.isEmpty():
         return False
-    feed(rows, template).write.parquet(path)
+    feed(stored, template).write.parquet(path)
     if raw_path:
-        raw_export(rows).write.parquet(raw_path)
+        raw_export(stored).write.parquet(raw_path)
     return True
 
 

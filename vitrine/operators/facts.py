@@ -107,7 +107,8 @@ def _in_class(name: str, test) -> str:
 
 def title() -> str:
     doc_title = first_element("elems", lambda e: f"{e}.tag = 'title'")
-    fallback = first_filled(meta("og:title"), let(doc_title, lambda t: node_text("nodes", t)))
+    # a meta value was decoded in its attribute and when read; like any text it is decoded once more when cleaned
+    fallback = first_filled(unescape(meta("og:title")), let(doc_title, lambda t: node_text("nodes", t)))
     raw = f"CASE WHEN h1 IS NOT NULL THEN {node_text('nodes', 'h1')} ELSE {fallback} END"
     return clean_text(raw, fixed.TITLE_LIMIT, decode=0)
 

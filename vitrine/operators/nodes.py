@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from vitrine.functions.sqltext import any_of, each, first, keep, let, lit, lits
+from vitrine.functions.sqltext import any_of, bind, each, first, keep, let, lit, lits
 from vitrine.functions.text import unescape
 
 TOKEN = (
@@ -80,41 +80,58 @@ def _token_node(t: str) -> str:
     return let(kind, shaped)
 
 
-def _array(tags: tuple[str, ...]) -> str:
-    return f"array({lits(tags)})"
+# The stack of open elements is one string, innermost first: per element a mark, its tag (padded, or a digest of
+# an odd one) and its position.  Copying a string is cheap enough for thousands of unclosed elements.
+NAME, DIGITS = 15, 8
+WIDTH = 1 + NAME + DIGITS
+
+
+def _name(tag: str) -> str:
+    return f"""CASE WHEN {tag} RLIKE '^[a-z0-9:_-]{{1,{NAME - 1}}}$' THEN rpad({tag}, {NAME}, ' ')
+        ELSE concat('#', substring(md5({tag}), 1, {NAME - 1})) END"""
+
+
+def _any_tag(tags: tuple[str, ...]) -> str:
+    return lit(f"<(?:{'|'.join(tags)}) ")
+
+
+def _place(stack: str, tags: tuple[str, ...]) -> str:
+    """Where the innermost element of one of the tags stands in the stack; 0 without one."""
+    if len(tags) == 1:
+        mark = lit("<" + tags[0].ljust(NAME))  # most often absent, which contains() tells much faster
+        return f"CASE WHEN contains({stack}, {mark}) THEN locate({mark}, {stack}) ELSE 0 END"
+    return f"coalesce(array_min(filter(array({', '.join(_place(stack, (t,)) for t in tags)}), at -> at > 0)), 0)"
 
 
 def _pops(stack: str, x: str) -> str:
-    """How many open elements (innermost first) the tag ``x`` ends."""
+    """How many characters of the stack (innermost first) belong to elements that the tag ``x`` ends."""
 
-    def unless_blocked(position: str, blockers: str) -> str:
+    def unless_blocked(position: str, blocked) -> str:
         return let(
             position,
-            lambda p: f"""CAST(CASE WHEN {p} > 1 AND arrays_overlap(slice({stack}, 1, CAST({p} - 1 AS INT)), {blockers})
-                THEN 0 ELSE {p} END AS INT)""",
+            lambda p: f"""CASE WHEN {p} = 0 OR {p} > 1 AND ({blocked(f'substring({stack}, 1, {p} - 1)')})
+                THEN 0 ELSE {p} + {WIDTH - 1} END""",
         )
 
     opening = "".join(
         f" WHEN {x}.tag IN ({lits(tags)}) THEN "
-        + unless_blocked(
-            f"array_position({stack}, {lit(ended[0])})"
-            if len(ended) == 1
-            else f"array_position({each(stack, lambda s, e=ended: f'{s} IN ({lits(e)})')}, true)",
-            _array(blockers),
-        )
+        + unless_blocked(_place(stack, ended), lambda s, b=blockers: f"{s} RLIKE {_any_tag(b)}")
         for tags, ended, blockers in IMPLIED_ENDS
     )
-    closing = ""
-    for i, tags in enumerate(CONTAINER_RANKS[:-1]):
-        above = tuple(t for group in CONTAINER_RANKS[i + 1 :] for t in group)
-        closing += f" WHEN {x}.tag IN ({lits(tags)}) THEN {_array(above)}"
-    everything = tuple(t for group in CONTAINER_RANKS for t in group)
-    closed_by = f"CASE{closing} WHEN {x}.tag = 'html' THEN array('') ELSE {_array(everything)} END"
+
+    def closed_by(s: str) -> str:
+        cases = ""
+        for i, tags in enumerate(CONTAINER_RANKS[:-1]):
+            above = tuple(t for group in CONTAINER_RANKS[i + 1 :] for t in group)
+            cases += f" WHEN {x}.tag IN ({lits(tags)}) THEN {s} RLIKE {_any_tag(above)}"
+        everything = tuple(t for group in CONTAINER_RANKS for t in group)
+        return f"CASE{cases} WHEN {x}.tag = 'html' THEN false ELSE {s} RLIKE {_any_tag(everything)} END"
+
     return f"""CASE WHEN {x}.kind = 'o' THEN CASE{opening} ELSE 0 END
-        ELSE {unless_blocked(f'array_position({stack}, {x}.tag)', closed_by)} END"""
+        ELSE {unless_blocked(f"locate(concat('<', {_name(f'{x}.tag')}), {stack})", closed_by)} END"""
 
 
-def _element_ends(shapes: str, total: str) -> str:
+def _element_ends(shapes: str) -> str:
     """``array<struct<ord, end>>`` for all tokens, in ``ord`` order.
 
     A fold over the tags with the stack of open elements as its state.  The
@@ -122,37 +139,40 @@ def _element_ends(shapes: str, total: str) -> str:
     """
     empty = "CAST(array() AS ARRAY<STRUCT<ord: INT, end: INT>>)"
 
-    def state(tags: str, ords: str, out: str) -> str:
-        return f"named_struct('tags', {tags}, 'ords', {ords}, 'out', {out})"
+    def state(stack: str, out: str) -> str:
+        return f"named_struct('stack', {stack}, 'out', {out})"
 
-    def ended(ords: str, at: str) -> str:
-        return each(ords, lambda o: f"named_struct('ord', {o}, 'end', {at})")
+    def ended(stack: str, at: str) -> str:
+        # the piece before the first mark is empty
+        ords = f"filter(split({stack}, '<'), o -> o <> '')"
+        return each(ords, lambda o: f"named_struct('ord', CAST(right({o}, {DIGITS}) AS INT), 'end', {at})")
 
     def step(acc: str, x: str) -> str:
-        def change(n: str) -> str:
-            tags, ords = (f"slice({acc}.{f}, {n} + 1, size({acc}.{f}))" for f in ("tags", "ords"))
-            out = f"concat({acc}.out, {ended(f'slice({acc}.ords, 1, {n})', f'{x}.ord')})"
-            popped = f"CASE WHEN {n} = 0 THEN {acc} ELSE {state(tags, ords, out)} END"
-            return f"""CASE WHEN {x}.kind = 'o' THEN {let(popped, lambda r: state(
-                f'concat(array({x}.tag), {r}.tags)', f'concat(array({x}.ord), {r}.ords)', f'{r}.out'))}
-                ELSE {popped} END"""
+        entry = f"concat('<', {_name(f'{x}.tag')}, lpad(CAST({x}.ord AS STRING), {DIGITS}, '0'))"
 
-        return let(_pops(f"{acc}.tags", x), change)
+        def change(n: str) -> str:
+            rest = f"CASE WHEN {n} = 0 THEN {acc}.stack ELSE substring({acc}.stack, {n} + 1) END"
+            out = f"CASE WHEN {n} = 0 THEN {acc}.out ELSE concat({acc}.out, {ended(f'substring({acc}.stack, 1, {n})', f'{x}.ord')}) END"
+            return state(f"concat(CASE WHEN {x}.kind = 'o' THEN {entry} ELSE '' END, {rest})", out)
 
-    tags_only = f"filter({shapes}, s -> s.kind IN ('o', 'c'))"
+        return let(_pops(f"{acc}.stack", x), change)
 
-    def fold(tags: str) -> str:
+    def fold(tags: str, end: str) -> str:
         part = f"slice({tags}, c * {CHUNK} + 1, {CHUNK})"
-        inner = f"aggregate({part}, {state('a.tags', 'a.ords', empty)}, (b, x) -> {step('b', 'x')})"
-        merged = let(inner, lambda r: state(f"{r}.tags", f"{r}.ords", f"concat(a.out, {r}.out)"))
-        start = state("CAST(array() AS ARRAY<STRING>)", "CAST(array() AS ARRAY<INT>)", empty)
-        return f"""aggregate(sequence(0, CAST(size({tags}) DIV {CHUNK} AS INT)), {start}, (a, c) -> {merged},
-            z -> concat(z.out, {ended('z.ords', total)}))"""
-
-    others = each(
-        f"filter({shapes}, s -> s.kind <> 'o')", lambda s: f"named_struct('ord', {s}.ord, 'end', {s}.ord + 1)"
-    )
-    return f"sort_array(concat({let(tags_only, fold)}, {others}))"
+        inner = f"aggregate({part}, {state('a.stack', empty)}, (b, x) -> {step('b', 'x')})"
+        merged = let(inner, lambda r: state(f"{r}.stack", f"concat(a.out, {r}.out)"))
+        return f"""aggregate(sequence(0, CAST(size({tags}) DIV {CHUNK} AS INT)), {state("''", empty)}, (a, c) -> {merged},
+            z -> concat(z.out, {ended('z.stack', end)}))"""
+
+    def both(all_: str) -> str:
+        tags_only = f"filter({all_}, s -> s.kind IN ('o', 'c'))"
+        others = each(
+            f"filter({all_}, s -> s.kind <> 'o')", lambda s: f"named_struct('ord', {s}.ord, 'end', {s}.ord + 1)"
+        )
+        closed = let(tags_only, lambda tags: bind(f"size({all_})", lambda end: fold(tags, end)))
+        return f"sort_array(concat({closed}, {others}))"
+
+    return bind(shapes, both)
 
 
 def with_nodes(pages: DataFrame, html: str = "html", keep_html: bool = False) -> DataFrame:
@@ -166,7 +186,7 @@ def with_nodes(pages: DataFrame, html: str = "html", keep_html: bool = False) ->
         "__shapes",
         "transform(__shapes, (s, i) -> named_struct('ord', i, 'kind', s.kind, 'tag', s.tag)) AS __slim",
     )
-    closed = slim.selectExpr(*others, "__shapes", f"{_element_ends('__slim', 'size(__slim)')} AS __ends")
+    closed = slim.selectExpr(*others, "__shapes", f"{_element_ends('__slim')} AS __ends")
     classes = f"filter(split({first(keep('s.attrs', lambda a: f'{a}.k = {lit("class")}'))}.v, '\\\\s+'), q -> q <> '')"
     return closed.selectExpr(
         *others,

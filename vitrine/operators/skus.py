@@ -80,7 +80,7 @@ def _stored(spark, frame: DataFrame, name: str) -> DataFrame:
 
 
 def resolve_skus(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``(url_ord, var_idx, unique_sku)`` for rows with the product-row key columns."""
+    """``(url_ord, var_idx, base, unique_sku)`` for rows with the product-row key columns."""
     spark = rows.sparkSession
     # repeats of a base are turned away by its first row: known without a look at the claims
     base_claims = sku_claims(rows, rows_per_bucket).selectExpr("*", "0L AS step")
@@ -89,21 +89,21 @@ def resolve_skus(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> Dat
     while True:
         turned_away = _stored(spark, _turned_away(claims), "sku-away")
         if turned_away.isEmpty():
-            return claims.selectExpr(*ORDER, f"{_CLAIM} AS unique_sku")
+            return claims.selectExpr(*ORDER, "base", f"{_CLAIM} AS unique_sku")
         claims = _stored(spark, _advance(claims, turned_away), "sku-round")
 
 
 def unique_skus(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Product rows with unique ``seller_sku``.
+    """Product rows with unique ``seller_sku``; ``(url_ord, var_idx)`` must be a key of the rows.
 
     The rows are written once to the shared folder first, so that pages are not
-    read and cut again for every round; the rounds only carry names and positions.
+    read and cut again for every round; the rounds only carry names and positions,
+    and at the end only changed names meet the rows again.
     """
     columns = rows.columns
     stored = _stored(rows.sparkSession, rows, "product-rows")
-    resolved = resolve_skus(stored, rows_per_bucket)
-    return (
-        stored.join(resolved, ORDER)
-        .withColumn("seller_sku", F.col("unique_sku"))
-        .select(*columns)
-    )
+    if not stored.groupBy(*ORDER).count().where("count > 1").isEmpty():
+        raise ValueError("url_ord and var_idx must tell the product rows apart")
+    changed = resolve_skus(stored, rows_per_bucket).where("unique_sku <> base").select(*ORDER, "unique_sku")
+    named = stored.join(changed, ORDER, "left").withColumn("seller_sku", F.coalesce("unique_sku", F.expr(sku_base())))
+    return named.select(*columns)

@@ -19,13 +19,17 @@ def parse_variations(raw: str) -> str:
     return f"from_json({missing(unescape(raw))}, {lit(VARIATIONS)})"
 
 
+#: JSON values that count as unset: null, false, zero and everything empty.
+UNSET = r"""^(?:null|false|-?0(?:[.]0*)?(?:[eE].*)?|""|\[\]|\{\})$"""
+
+
 def visible_variations(variations: str) -> str:
-    """Variations that are both visible and active; a flag that is absent counts as set."""
+    """Variations that are both visible and active; a flag that is absent counts as set, JSON null as unset."""
     shown = " AND ".join(
-        f"coalesce({{v}}.{flag}, 'true') NOT IN ('false', '0', '')"
+        f"coalesce(to_json({{v}}.{flag}) NOT RLIKE {lit(UNSET)}, true)"
         for flag in ("variation_is_visible", "variation_is_active")
     )
-    return keep(f"coalesce({variations}, array())", lambda v: shown.format(v=v))
+    return keep(f"coalesce({variations}, array())", lambda v: shown.replace("{v}", v))
 
 
 def option_tables(form: str = "form") -> str:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vitrine.functions.sqltext import lit
 from vitrine.functions.urls import normalize_url
-from vitrine.operators.discovery import limited, unique_urls
+from vitrine.operators.discovery import densely_numbered, limited, unique_urls
 from vitrine.operators.export import feed
 from vitrine.operators.skus import unique_skus
 from vitrine.operators.variants import product_rows
@@ -20,11 +21,20 @@ def exportable(rows: DataFrame) -> DataFrame:
     return rows.where(EXPORTABLE)
 
 
-def fetched(urls: DataFrame, pages: DataFrame, shop: Shop) -> DataFrame:
-    """Bodies of the listed URLs; URLs without a stored page drop out."""
+def page_choice(urls: DataFrame, pages: DataFrame, shop: Shop) -> DataFrame:
+    """``(page_id, url, position)`` of the listed URLs that have a stored page.
+
+    Of several stored copies of an address the one with the smallest page number counts; URLs without
+    a stored page drop out.  Only addresses and numbers are read.
+    """
     wanted = urls.selectExpr("url", "position", f"{normalize_url('url', lit(shop.base_url))} AS fetch_url")
-    bodies = pages.selectExpr("url AS fetch_url", "html")
-    return wanted.join(bodies, "fetch_url").select("position", "url", "html")
+    numbers = pages.selectExpr("page_id", "url AS fetch_url").groupBy("fetch_url").agg(F.min("page_id").alias("page_id"))
+    return wanted.join(numbers, "fetch_url").select("page_id", "url", "position")
+
+
+def fetched(urls: DataFrame, pages: DataFrame, shop: Shop) -> DataFrame:
+    """Bodies of the listed URLs ``(position, url, html)``, one per URL."""
+    return page_choice(urls, pages, shop).join(pages.select("page_id", "html"), "page_id").select("position", "url", "html")
 
 
 def not_fetched(urls: DataFrame, pages: DataFrame, shop: Shop) -> DataFrame:
@@ -36,19 +46,11 @@ def not_fetched(urls: DataFrame, pages: DataFrame, shop: Shop) -> DataFrame:
 def discovered_rows(urls: DataFrame, pages: DataFrame, shop: Shop, limit: int = 0) -> DataFrame:
     """URL list to exportable product rows: unique, limit, page lookup, extraction, row test.
 
-    A limited list picks its pages before any HTML is cut.  A whole list covers
-    most pages anyway: there the rows are made first and looked up by page number,
-    so that the HTML itself is never shuffled.
+    The pages are chosen by number on slim columns before any HTML is cut, so a short list reads few
+    pages and a join with it can be broadcast.  ``url_ord`` is the dense rank of the URL.
     """
-    chosen = limited(unique_urls(urls), limit)
-    if limit > 0:
-        return exportable(product_rows(fetched(chosen, pages, shop), shop, order="position"))
-    wanted = chosen.selectExpr("position", f"{normalize_url('url', lit(shop.base_url))} AS fetch_url")
-    numbers = pages.selectExpr("page_id", "url AS fetch_url")
-    places = wanted.join(numbers, "fetch_url").selectExpr("page_id AS url_ord", "position")
-    rows = exportable(product_rows(pages, shop))
-    columns = [f"`{c}`" for c in rows.columns if c != "url_ord"]
-    return rows.join(places, "url_ord").selectExpr("position AS url_ord", *columns)
+    chosen = densely_numbered(limited(unique_urls(urls), limit))
+    return exportable(product_rows(fetched(chosen, pages, shop), shop, order="position"))
 
 
 def page_feed(pages: DataFrame, shop: Shop) -> DataFrame:
@@ -56,6 +58,20 @@ def page_feed(pages: DataFrame, shop: Shop) -> DataFrame:
     return feed(unique_skus(product_rows(pages, shop)))
 
 
+def not_product_pages(urls: DataFrame, pages: DataFrame, shop: Shop) -> DataFrame:
+    """Rejects: ``(position, url, reason)`` of listed URLs that lead to no exportable row."""
+    chosen = densely_numbered(unique_urls(urls))
+    held = fetched(chosen, pages, shop).selectExpr("position AS page_id", "url", "html")
+    rows = product_rows(held, shop).groupBy("url_ord").agg(F.max(F.expr(EXPORTABLE)).alias("exported"))
+    stored_ones = held.select("page_id").withColumn("stored", F.lit(True))
+    judged = chosen.join(stored_ones, chosen.position == stored_ones.page_id, "left").join(
+        rows, chosen.position == rows.url_ord, "left"
+    )
+    reason = """CASE WHEN stored IS NULL THEN 'no stored page' WHEN exported IS NULL THEN 'no product page'
+        WHEN NOT exported THEN 'no exportable row' END"""
+    return judged.selectExpr("position", "url", f"{reason} AS reason").where("reason IS NOT NULL")
+
+
 def site_feed(urls: DataFrame, pages: DataFrame, shop: Shop, limit: int = 0) -> DataFrame:
     """URL list to the feed."""
     return feed(unique_skus(discovered_rows(urls, pages, shop, limit)))

@@ -7,6 +7,8 @@ extraction found it.
 
 from __future__ import annotations
 
+from vitrine import fixed
+
 # --- facts of the rendered pages ------------------------------------------------
 
 PARTS = """
@@ -33,7 +35,7 @@ facts AS (
     'Описание Size is ' || p_size || ' units brand ' || p_brand || ' here. Item ' || p_name || ' one Item ' || p_type || ' two' AS tab_text,
     p_name || ' by ' || s_name || '. Type ' || p_type || ' goods & more.' AS meta_text,
     CASE WHEN k % 8 = 3 THEN '' ELSE 'https://shop.example/img/' || k || '-a.jpg | https://cdn.shop.example/wp/' || k
-      || '-c.png | https://shop.example/img/' || k || '-b.jpg' END AS base_images,
+      || '-c.png | https://shop.example/ | https://shop.example/img/' || k || '-b.jpg' END AS base_images,
     round(p_retailprice, 2) AS base_price,
     CASE k % 4 WHEN 0 THEN 'instock' WHEN 1 THEN 'available for order' WHEN 2 THEN 'instock' ELSE '' END AS availability,
     k % 4 = 1 AND k % 12 <> 5 AS is_variable
@@ -80,8 +82,8 @@ _ROW_COLUMNS = """product_url, listing_id, seller_sku, item_name, category, bran
   map_price, net_content, total_net_content, net_content_unit, availability, raw_variation"""
 
 # the sequential SKU rule where no made-up name meets another base
-_SUFFIX = r"""left(regexp_replace(regexp_replace(replace({v}, '№', 'no'), '[^0-9A-Za-zА-Яа-я._-]+', '-', 'g'),
-  '^[-_.]+|[-_.]+$', '', 'g'), 28)"""
+_SUFFIX = r"""left(regexp_replace(regexp_replace(replace({v}, '№', 'no'), 'SKU_NON_WORD', '-', 'g'),
+  '^[-_.]+|[-_.]+$', '', 'g'), 28)""".replace("SKU_NON_WORD", fixed.SKU_NON_WORD_PATTERN).replace("28)", f"{fixed.SKU_SUFFIX_LIMIT})")
 
 UNIQUE = """,
 numbered AS (
@@ -142,10 +144,36 @@ _NOTE = _truncate("piece", 700).replace("piece", _squeeze(_decode("piece")))
 _TYPE_LABEL = """CASE p_partkey % 6 WHEN 0 THEN 'Аромат' WHEN 1 THEN 'Цвят' WHEN 2 THEN 'Обем'
   WHEN 3 THEN p_name || ' kind' WHEN 4 THEN 'Вариант' ELSE 'Аромат' END"""
 
+def _feed(rows: str, more: str = "") -> str:
+    """The feed of some product rows."""
+    named = UNIQUE.format(rows=rows, suffix=_SUFFIX.format(v="variation_variant_1"))
+    return (
+        f"""WITH {ROWS}{more} {named}
+        SELECT listing_id, seller_sku, item_name, category, product_url AS reference_link, brand, trademark,
+          variation_type_1 AS "Variation_type_1", variation_variant_1 AS "Variation_Variants_1",
+          variation_type_2 AS "Variation_type_2", variation_variant_2 AS "Variation_Variants_2", """
+    + ", ".join(f"string_split(item_notes, ' | ')[{i}] AS item_note_{i}" for i in range(1, 7))
+    + """, item_description, keyword_attributes AS "Keyword_attributes",
+          string_split(nullif(images, ''), ' | ')[1] AS main_image_url, """
+    + ", ".join(f"string_split(nullif(images, ''), ' | ')[{i + 1}] AS other_image_url_{i}" for i in range(1, 10))
+    + """, map_price, net_content AS "Net_content", total_net_content AS "Total_net_content",
+          net_content_unit AS "Net_content_unit", """
+    + ", ".join(
+        f"CAST(NULL AS VARCHAR) AS {c}"
+        for c in ("quantity", "item_length", "item_width", "item_height", "item_weight", "item_volume_unit",
+                  "item_weight_unit", "shipping_template")
+    )
+    + " FROM uniquely"
+    )
+
+
+_DISCOVERED = f"""WITH {ROWS}, placed AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS place FROM parts),
+  listed AS (SELECT * FROM product_rows JOIN placed ON k = url_ord)"""
+
 _FLAT = "regexp_replace(url, '/(en|de)/', '/')"
 _PATH = r"trim(regexp_extract({u}, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/')"
 _HOST = r"regexp_extract({u}, '^[a-z]+://([^/?#]*)', 1)"
-_BAD_PATHS = "cat/|brand/|label/|cart|checkout|my-profile|wp-content|wp-json|promocii|kontakti|contacts|shop/page|page/|feed|sitemap"
+_BAD_PATHS = "|".join(fixed.NON_PRODUCT_PATH_PARTS)
 
 ORACLES: dict[str, str] = {
     "page_scan": "SELECT page_id, url, length(html) AS html_chars FROM pages",
@@ -163,25 +191,10 @@ ORACLES: dict[str, str] = {
     "product_rows": f"WITH {ROWS} SELECT {_ROW_COLUMNS} FROM product_rows",
     "variation_rows": f"WITH {ROWS} SELECT {_ROW_COLUMNS} FROM product_rows WHERE raw_variation <> ''",
     "simple_rows": f"WITH {ROWS} SELECT {_ROW_COLUMNS} FROM product_rows WHERE raw_variation = ''",
-    "feed_export": f"""WITH {ROWS} {UNIQUE.format(rows='product_rows', suffix=_SUFFIX.format(v='variation_variant_1'))}
-        SELECT listing_id, seller_sku, item_name, category, product_url AS reference_link, brand, trademark,
-          variation_type_1 AS "Variation_type_1", variation_variant_1 AS "Variation_Variants_1",
-          variation_type_2 AS "Variation_type_2", variation_variant_2 AS "Variation_Variants_2", """
-    + ", ".join(f"string_split(item_notes, ' | ')[{i}] AS item_note_{i}" for i in range(1, 7))
-    + """, item_description, keyword_attributes AS "Keyword_attributes",
-          string_split(nullif(images, ''), ' | ')[1] AS main_image_url, """
-    + ", ".join(f"string_split(nullif(images, ''), ' | ')[{i + 1}] AS other_image_url_{i}" for i in range(1, 10))
-    + """, map_price, net_content AS "Net_content", total_net_content AS "Total_net_content",
-          net_content_unit AS "Net_content_unit", """
-    + ", ".join(
-        f"CAST(NULL AS VARCHAR) AS {c}"
-        for c in ("quantity", "item_length", "item_width", "item_height", "item_weight", "item_volume_unit",
-                  "item_weight_unit", "shipping_template")
-    )
-    + " FROM uniquely",
+    "feed_export": _feed("product_rows"),
     "page_meta": f"""WITH {PARTS} SELECT k AS page_id,
         CASE WHEN k % 10 = 9 THEN 'article' WHEN k % 3 = 0 THEN 'Product' ELSE '' END AS og_type,
-        CASE WHEN k % 10 <> 9 AND k % 3 = 0 THEN p_name || ' & ' || p_brand || ' ' || p_size || ' мл' ELSE '' END AS og_title,
+        CASE WHEN k % 10 <> 9 AND k % 3 = 0 THEN p_name || ' &amp; ' || p_brand || ' ' || p_size || ' мл' ELSE '' END AS og_title,
         CASE WHEN k % 10 <> 9 AND (k // 2) % 3 = 0 THEN p_brand ELSE '' END AS brand,
         CASE WHEN k % 10 <> 9 AND (k // 3) % 4 = 0 THEN 'R' || k ELSE '' END AS retailer_item_id,
         CASE WHEN k % 10 = 9 THEN '' WHEN k % 5 = 0 THEN amount WHEN k % 5 = 1 THEN replace(amount, '.', ',') ELSE '' END AS amount
@@ -267,19 +280,19 @@ ORACLES: dict[str, str] = {
         SELECT page_id, CAST(ord AS INT) AS ord, tag, CAST(coalesce(next_ord, total) AS INT) AS end_ord FROM ended WHERE NOT closes""",
     "url_limit": "SELECT url, page_id AS position FROM pages ORDER BY page_id LIMIT 100",
     "text_truncate": f"SELECT doc_id, {_truncate(_squeeze('text'), 200)} AS short_text FROM documents",
-    "url_union": """SELECT url, min(position) AS position FROM (
-          SELECT url, page_id AS position FROM pages WHERE page_id % 3 = 1
-          UNION ALL SELECT url, 72057594037927936 + page_id FROM pages WHERE page_id % 2 = 0
-          UNION ALL SELECT url, 144115188075855872 + page_id FROM pages) GROUP BY url""",
+    "url_union": """SELECT url, array_to_string(min(position), '.') AS place FROM (
+          SELECT url, [0, page_id % 5, page_id] AS position FROM pages WHERE page_id % 3 = 1
+          UNION ALL SELECT url, [1, page_id] FROM pages WHERE page_id % 2 = 0
+          UNION ALL SELECT url, [2, page_id] FROM pages) GROUP BY url""",
     "source_fallback": "SELECT url, page_id AS position FROM pages WHERE url LIKE 'https:%'",
     "next_page_chain": """WITH hosted AS (
           SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS host, page_id // 100000 AS block FROM pages
         ), placed AS (
           SELECT *, min(page_id) OVER (PARTITION BY host, block) AS seed_ord,
             CAST(row_number() OVER (PARTITION BY host, block ORDER BY page_id) - 1 AS INT) AS depth FROM hosted)
-        SELECT seed_ord, host || '/list/' || page_id || '/' AS url, depth FROM placed WHERE depth < 300""",
-    "category_crawl": f"WITH {PARTS} SELECT url FROM parts",
-    "all_site_urls": f"WITH {PARTS} SELECT url FROM parts",
+        SELECT seed_ord, host || '/list/' || page_id || '/' AS url, depth FROM placed""",
+    "category_crawl": f"""WITH {PARTS} SELECT url, row_number() OVER (ORDER BY k // 200000, k % 10 + 10 * (k // 2000), k) - 1 AS place FROM parts""",
+    "all_site_urls": f"WITH {PARTS} SELECT url, row_number() OVER (ORDER BY k) - 1 AS place FROM parts",
     "clean_text": f"""SELECT page_id, {_truncate(_squeeze(_decode("regexp_extract(html, '<h1>(.*?)</h1>', 1)")), 60)} AS heading FROM pages""",
     "entity_decode": f"""SELECT page_id, {_decode("regexp_extract(html, '(?s)<footer>(.*)', 1)")} AS footer,
         {_decode("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title FROM pages""",
@@ -294,5 +307,19 @@ ORACLES: dict[str, str] = {
           ELSE 'https://a.example/' END || p_partkey || CASE p_partkey % 4 WHEN 0 THEN '.jpg' WHEN 1 THEN '.png'
           WHEN 2 THEN '-301x300.jpg' ELSE '' END AS image FROM part""",
     "sku_slug": """SELECT p_partkey, left(p_type || '-no-' || p_partkey || '-' || replace(p_name, ' ', '-') || '-more-text', 28) AS suffix FROM part""",
-    "discovered_rows": f"""WITH {ROWS} SELECT url_ord, var_idx, seller_sku, item_name, map_price FROM product_rows WHERE images <> ''""",
+    "discovered_rows": _DISCOVERED + " SELECT place AS url_ord, var_idx, seller_sku, item_name, map_price FROM listed WHERE images <> ''",
+    "discovered_rows_limited": _DISCOVERED
+    + " SELECT place AS url_ord, var_idx, seller_sku, item_name, map_price FROM listed WHERE images <> '' AND place < 100",
+    "rejected_urls": f"""WITH {ROWS}, urls AS (
+          SELECT k, url || '?ref=' || k || CASE WHEN k % 11 = 0 THEN '&gone' ELSE '' END AS url, k AS position FROM parts
+          UNION ALL SELECT k, url || '?ref=' || k || CASE WHEN (k + 1000000000) % 11 = 0 THEN '&gone' ELSE '' END, k + 1000000000 FROM parts
+        ), uniq AS (SELECT url, min(k) AS k, min(position) AS position FROM urls GROUP BY url),
+        placed AS (SELECT *, row_number() OVER (ORDER BY position) - 1 AS place FROM uniq),
+        kept AS (SELECT url_ord, bool_or(images <> '') AS exported FROM product_rows GROUP BY url_ord)
+        SELECT place AS position, url, CASE WHEN url LIKE '%&gone' THEN 'no stored page' WHEN exported IS NULL THEN 'no product page'
+          ELSE 'no exportable row' END AS reason
+        FROM placed LEFT JOIN kept ON k = url_ord WHERE url LIKE '%&gone' OR exported IS NULL OR NOT exported""",
+    "site_feed": _feed("exported", f""", exported AS (SELECT * FROM product_rows WHERE images <> '')"""),
+    "unique_skus_colliding": """SELECT p_partkey, 'b' || (p_partkey // 4) || CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN '-x'
+          WHEN 2 THEN '-x-x' ELSE '-x-2' END AS seller_sku FROM part""",
 }

@@ -34,7 +34,7 @@ def query(fn: Query) -> Query:
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return read_pages(spark, f"{sf}/pages.parquet")
+    return read_pages(spark, f"{sf}/pages.parquet", spark.sparkContext.defaultParallelism)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -82,8 +82,7 @@ def sitemap_children(spark, sf):
 @query
 def api_links(spark, sf):
     places = _pages(spark, sf).selectExpr("page_id AS place", "url")
-    # the page bound is a parameter of the operator; here every page is read
-    return discovery.api_links(render.api_bodies(places), page_bound=2_000_000_000)
+    return discovery.api_links(render.api_bodies(places))
 
 
 @query
@@ -297,7 +296,9 @@ def _listed(spark, sf):
 
 @query
 def url_page_join(spark, sf):
-    joined = jobs.fetched(_listed(spark, sf), _pages(spark, sf), SHOP)
+    pages = _pages(spark, sf)  # every second address is stored twice
+    again = pages.where("page_id % 2 = 0").selectExpr("page_id + 1000000000 AS page_id", "url", "'' AS html")
+    joined = jobs.fetched(_listed(spark, sf), pages.unionByName(again), SHOP)
     return joined.selectExpr("position", "url", "length(html) AS html_chars")
 
 
@@ -368,6 +369,18 @@ def unique_skus(spark, sf):
     return skus.unique_skus(_sku_input(spark, sf)).selectExpr("url_ord AS p_partkey", "seller_sku")
 
 
+@query
+def unique_skus_colliding(spark, sf):
+    """Bases that are the names which repeats of the base before them would get."""
+    rows = _sku_input(spark, sf).selectExpr(
+        "url_ord", "var_idx",
+        """CASE url_ord % 4 WHEN 0 THEN concat('b', url_ord DIV 4) WHEN 1 THEN concat('b', url_ord DIV 4)
+            WHEN 2 THEN concat('b', url_ord DIV 4, '-x') ELSE concat('b', url_ord DIV 4) END AS seller_sku""",
+        "listing_id", "product_url", "'x' AS variation_variant_1", "item_name",
+    )
+    return skus.unique_skus(rows).selectExpr("url_ord AS p_partkey", "seller_sku")
+
+
 @query
 def node_scopes(spark, sf):
     return element_scopes(_pages(spark, sf), ("a", "h1", "title", "nav", "ul", "article", "footer", "li")).selectExpr(
@@ -395,16 +408,17 @@ def _some(spark, sf, test):
 
 @query
 def url_union(spark, sf):
-    return discovery.url_union(
-        _some(spark, sf, "page_id % 3 = 1"), _some(spark, sf, "page_id % 2 = 0"), _some(spark, sf, "true")
-    ).select("url", "position")
+    """The first list has nested positions, the others plain numbers; places are shown joined."""
+    nested = _some(spark, sf, "page_id % 3 = 1").selectExpr("url", "array(position % 5, position) AS position")
+    every = discovery.url_union(nested, _some(spark, sf, "page_id % 2 = 0"), _some(spark, sf, "true"))
+    return every.selectExpr("url", "array_join(position, '.') AS place")
 
 
 @query
 def source_fallback(spark, sf):
     return discovery.first_nonempty(
         _some(spark, sf, "url LIKE 'ftp:%'"), _some(spark, sf, "url LIKE 'https:%'"), _some(spark, sf, "true")
-    )
+    ).selectExpr("url", "position[0] AS position")
 
 
 @query
@@ -426,14 +440,13 @@ def next_page_chain(spark, sf):
     html = f"""concat('<html><head><link rel="next" href="', {address.format(id='next_id')}, '"></head></html>')"""
     pages = chained.selectExpr(f"{address.format(id='page_id')} AS url", f"{html} AS html")
     seeds = chained.where("place = 1").selectExpr("page_id AS seed_ord", f"{address.format(id='page_id')} AS url")
-    return discovery.page_chains(seeds, discovery.next_page_edges(pages, SHOP), 300)
+    return discovery.page_chains(seeds, discovery.listing_facts(pages, SHOP).select("url", "next_url"))
 
 
 @query
 def category_crawl(spark, sf):
-    return discovery.home_category_urls(
-        render.home_pages(spark, sf), render.listing_pages(spark, sf), SHOP
-    ).select("url")
+    found = discovery.home_category_urls(render.home_pages(spark, sf), render.listing_pages(spark, sf), SHOP)
+    return discovery.densely_numbered(found).selectExpr("url", "position AS place")
 
 
 # --- scalar functions ------------------------------------------------------------------------
@@ -505,21 +518,59 @@ def _urls_of(pages):
     return pages.selectExpr("page_id AS place", "url")
 
 
+def _stored_twice(spark, sf):
+    """Rendered pages, every third address stored a second time under a larger number, with other content."""
+    pages = render.product_pages(spark, sf)
+    again = pages.where("page_id % 3 = 0").selectExpr("page_id + 1000000000000 AS page_id", "url", "replace(html, '€', 'EUR') AS html")
+    return pages.unionByName(again)
+
+
+def _twice_listed(pages):
+    urls = pages.where("page_id < 1000000000000").selectExpr("url", "page_id AS position")
+    return urls.unionByName(urls.selectExpr("url", "position + 1000000000 AS position"))
+
+
 @query
 def discovered_rows(spark, sf):
-    pages = render.product_pages(spark, sf)
-    urls = pages.selectExpr("url", "page_id AS position")
-    twice = urls.unionByName(urls.selectExpr("url", "position + 1000000000 AS position"))
-    rows = jobs.discovered_rows(twice, pages, SHOP)
+    pages = _stored_twice(spark, sf)
+    rows = jobs.discovered_rows(_twice_listed(pages), pages, SHOP)
     return rows.select("url_ord", "var_idx", "seller_sku", "item_name", "map_price")
 
 
+@query
+def discovered_rows_limited(spark, sf):
+    pages = _stored_twice(spark, sf)
+    rows = jobs.discovered_rows(_twice_listed(pages), pages, SHOP, limit=100)
+    return rows.select("url_ord", "var_idx", "seller_sku", "item_name", "map_price")
+
+
+@query
+def rejected_urls(spark, sf):
+    pages = _stored_twice(spark, sf)
+    gone = _twice_listed(pages).selectExpr("CASE WHEN position % 11 = 0 THEN concat(url, '&gone') ELSE url END AS url", "position")
+    return jobs.not_product_pages(gone, pages, SHOP)
+
+
+@query
+def site_feed(spark, sf):
+    """The main job: rendered sitemaps to addresses, pages, rows, unique SKUs and the feed."""
+    pages = _stored_twice(spark, sf)
+    urls = pages.where("page_id < 1000000000000").selectExpr("page_id AS place", "url")
+    prefix = "https://shop.example/product-sitemap-part"
+    bodies = render.sitemap_bodies(urls, prefix).unionByName(render.sitemap_index(urls, prefix, "https://shop.example/sitemap_index.xml"))
+    found = discovery.all_site_urls(
+        bodies, render.api_bodies(urls), render.home_pages(spark, sf), render.listing_pages(spark, sf), SHOP
+    )
+    return jobs.site_feed(found, pages, SHOP)
+
+
 @query
 def all_site_urls(spark, sf):
     urls = _urls_of(render.parts(spark, sf).selectExpr("k AS page_id", "url"))
     prefix = "https://shop.example/product-sitemap-part"
     index = render.sitemap_index(urls, prefix, "https://shop.example/sitemap_index.xml")
     bodies = render.sitemap_bodies(urls, prefix).unionByName(index)
-    return discovery.all_site_urls(
+    found = discovery.all_site_urls(
         bodies, render.api_bodies(urls), render.home_pages(spark, sf), render.listing_pages(spark, sf), SHOP
-    ).select("url")
+    )
+    return discovery.densely_numbered(found).selectExpr("url", "position AS place")

@@ -49,12 +49,13 @@ def _variation(j: int) -> str:
 
 
 _HIDDEN = """'{"variation_is_visible": false, "attributes": {"attribute_pa_obem": "9l"}, "sku": "hidden"}'"""
+_NULLED = """'{"variation_is_visible": null, "attributes": {"attribute_pa_obem": "8l"}, "sku": "nulled"}'"""
 _INACTIVE = """'{"variation_is_active": false, "attributes": [], "sku": "inactive"}'"""
 
 
 def _variation_form() -> str:
     third = f"CASE WHEN (k DIV 4) % 2 = 1 THEN concat(', ', {_variation(3)}) ELSE '' END"
-    json = f"""concat('[', {_HIDDEN}, ', ', {_variation(1)}, ', ', {_variation(2)}, {third}, ', ', {_INACTIVE},
+    json = f"""concat('[', {_HIDDEN}, ', ', {_variation(1)}, ', ', {_variation(2)}, {third}, ', ', {_NULLED}, ', ', {_INACTIVE},
         CASE WHEN k % 12 = 5 THEN '' ELSE ']' END)"""
     escaped = f"replace(replace({json}, '&', '&amp;'), '\"', '&quot;')"
     return f"""concat('<form class="variations_form cart" data-product_variations="', {escaped}, '"><table><tr>',
@@ -68,7 +69,7 @@ def _page_html() -> str:
     link = "concat('/p-', k, '-', replace(p_name, ' ', '-'), '/')"
     head = f"""concat('<!DOCTYPE html><html lang="bg"><head><meta charset="utf-8"><title>Shop &mdash; ', p_name, '</title>',
         CASE WHEN k % 3 = 0 THEN concat({_meta('property', 'og:type', "'Product'")},
-            {_meta('property', 'og:title', "concat(p_name, ' &amp; ', p_brand, ' ', p_size, ' мл')")}) ELSE '' END,
+            {_meta('property', 'og:title', "concat(p_name, ' &amp;amp;amp; ', p_brand, ' ', p_size, ' мл')")}) ELSE '' END,
         CASE WHEN k % 5 < 3 THEN concat('<link rel="canonical" href="', {link}, '">')
              WHEN k % 5 = 3 THEN {_meta('property', 'og:url', 'url')} ELSE '' END,
         CASE WHEN (k DIV 2) % 3 = 0 THEN {_meta('property', 'product:brand', 'p_brand')} ELSE '' END,
@@ -102,7 +103,7 @@ def _page_html() -> str:
         p_type, '</a><a href="/other/">other</a></span>') END"""
     gallery = """CASE WHEN k % 8 = 3 THEN '' ELSE concat('<div class="woocommerce-product-gallery images"><a href="/img/', k,
         '-a-300x300.jpg"><img src="/img/', k, '-b-100x100.jpg.webp"></a><a href="https://cdn.shop.example/wp/webp-express/webp-images/',
-        k, '-c.png.webp">full</a><img data-src="/img/logo-', k, '.png" src="/img/', k, '-z.jpg"></div>') END"""
+        k, '-c.png.webp">full</a><a href="#">zoom</a><img data-src="/img/logo-', k, '.png" src="/img/', k, '-z.jpg"></div>') END"""
     text = """CASE WHEN k % 6 = 0 THEN '' ELSE concat('<div class="woocommerce-product-details__short-description"><p>', p_name,
         ' is a ', p_type, ' product. It is made by ', s_name, '!</p></div>',
         '<div id="tab-description" class="panel woocommerce-Tabs-panel--description"><h2>Описание</h2><p>Size is ', p_size,
@@ -158,7 +159,7 @@ def sitemap_index(urls: DataFrame, prefix: str, name: str) -> DataFrame:
         " '.xml</loc><loc>https://shop.example/post-sitemap', place, '.xml') AS item",
     )
     return names.groupBy("part").agg(_expr(_loc_body("item")).alias("body")).selectExpr(
-        f"CASE WHEN part = 0 THEN '{name}' ELSE concat('{name}', part) END AS url", "body"
+        f"CASE WHEN part = 0 THEN '{name}' ELSE replace('{name}', '.xml', concat(part, '.xml')) END AS url", "body"
     )
 
 
@@ -216,7 +217,7 @@ def home_pages(spark: SparkSession, sf: str) -> DataFrame:
             """concat('<html><body><a href="/about/">a</a>', array_join(transform(array_sort(collect_list(c)),
                x -> concat('<a href="/cat/c', x, '/0/">c</a>')), ''), '</body></html>')"""
         ).alias("html")
-    ).selectExpr("'https://shop.example/' AS url", "html")
+    ).selectExpr("block AS page_id", "'https://shop.example/' AS url", "html")
 
 
 def _expr(sql: str):

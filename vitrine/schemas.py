@@ -19,7 +19,7 @@ PAGES = T.StructType(
 
 # flags and prices stay text: one odd value must not void the whole record
 VARIATIONS = (
-    "array<struct<variation_is_visible: string, variation_is_active: string, attributes: map<string,string>, "
+    "array<struct<variation_is_visible: variant, variation_is_active: variant, attributes: map<string,string>, "
     "display_price: string, image: struct<full_src: string, url: string, src: string>, sku: string>>"
 )
 

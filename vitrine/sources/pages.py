@@ -4,25 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vitrine.operators.discovery import densely_numbered, limited
 from vitrine.schemas import PRODUCT_ROW
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Stored pages ``(page_id, url, html)``."""
-    return spark.read.parquet(path).select("page_id", "url", "html")
+def read_pages(spark: SparkSession, path: str, spread: int = 0) -> DataFrame:
+    """Stored pages ``(page_id, url, html)``.
+
+    A row group is one task however few bytes a task may read, and cutting HTML is slow work: ``spread``
+    deals the pages to that many tasks first.
+    """
+    pages = spark.read.parquet(path).select("page_id", "url", "html")
+    return pages.repartition(spread) if spread > 0 else pages
 
 
 def read_html_files(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
-    """HTML files as pages: undecodable bytes dropped, the file address as URL, in path order.
+    """HTML files as pages: undecodable bytes dropped, the file address as URL, numbered in path order.
 
-    ``limit`` counts files.
+    ``limit`` counts files. Only paths are sorted and numbered; contents of files beyond the limit aren't read
+    into the result and never sorted.
     """
-    files = spark.read.format("binaryFile").load(path).orderBy("path")
-    if limit > 0:
-        files = files.limit(limit)
-    text = files.selectExpr("path AS url", "CAST(content AS STRING) AS raw")
+    files = spark.read.format("binaryFile").load(path)
+    paths = densely_numbered(limited(files.select("path").selectExpr("path AS position", "path AS url"), limit))
+    chosen = files.join(paths.selectExpr("url AS path", "position AS page_id"), "path")
+    text = chosen.selectExpr("page_id", "path AS url", "CAST(content AS STRING) AS raw")
     html = "CASE WHEN is_valid_utf8(raw) THEN raw ELSE replace(make_valid_utf8(raw), decode(X'EFBFBD', 'UTF-8'), '') END"
-    return text.selectExpr("monotonically_increasing_id() AS page_id", "url", f"{html} AS html")
+    return text.selectExpr("page_id", "url", f"{html} AS html")
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
