@@ -1,5 +1,7 @@
 """Hand-written pages, one per branch of the extraction; plus node scopes on broken HTML."""
 
+import time
+
 import pytest
 
 from vitrine.operators.nodes import page_nodes
@@ -101,3 +103,33 @@ def test_scopes_of_broken_html(spark):
         ("div", 0, 7), ("p", 1, 3), ("p", 3, 7), ("b", 5, 7), ("ul", 9, 20), ("li", 10, 12), ("li", 12, 18),
         ("ul", 14, 17), ("li", 15, 17), ("li", 18, 20)]
     assert scope[("b", 21)] == len(nodes) and all(scope[k] == k[1] + 2 for k in scope if k[0] == "i")
+
+
+@pytest.mark.parametrize("tag", ["b", "div"])
+def test_scopes_of_deep_pages_grow_with_their_tags(spark, tag):
+    def seconds(n):
+        page = spark.createDataFrame([(1, "x", "<html><body>" + f"<{tag}>x" * n)], PAGES)
+        started = time.time()
+        assert page_nodes(page).selectExpr("count(end) AS n").first().n == 2 * n + 2
+        return time.time() - started
+
+    seconds(50)
+    small, large = seconds(2000), seconds(8000)
+    assert large < 8 * small + 8
+
+
+def test_title_is_decoded_three_times(spark):
+    html = f'{PRODUCT}<meta property="og:title" content="a &amp;amp;amp; b"><meta property="og:image" content="/i.jpg">'
+    assert product_rows(spark.createDataFrame([(1, "u", html)], PAGES), SHOP).first().item_name == "a & b"
+
+
+def test_flags_by_their_json_type(spark):
+    flags = {"null": 0, "false": 0, "0": 0, "0.0": 0, '""': 0, "[]": 0, "{}": 0, "true": 1, "1": 1, '"false"': 1, '"0"': 1}
+    json = "[" + ", ".join(f'{{"variation_is_visible": {f}, "sku": "s{i}"}}' for i, f in enumerate(flags)) + "]"
+    rows = product_rows(spark.createDataFrame([(1, "u", variable(json))], PAGES), SHOP).collect()
+    assert [r.seller_sku for r in rows] == [f"s{i}" for i, shown in enumerate(flags.values()) if shown]
+
+
+def test_variations_false_is_a_simple_product(spark):
+    rows = product_rows(spark.createDataFrame([(1, "u", variable("false"))], PAGES), SHOP).collect()
+    assert len(rows) == 1 and rows[0].raw_variation == ""

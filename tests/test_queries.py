@@ -7,6 +7,9 @@ import __spark_entry__ as entry
 from check import TABLES, compare
 from vitrine.operators.facts import maybe_product_pages
 from vitrine.operators.variants import product_rows
+from vitrine.plans.jobs import page_choice
+from vitrine.plans.oracles import ORACLES
+from vitrine.plans.queries import QUERIES
 from vitrine.plans.render import SHOP
 from vitrine.sources.pages import read_pages
 
@@ -14,7 +17,8 @@ SF = "/root/testdata/sf0.001"
 QUICK = (
     "page_scan", "nav_links", "page_title", "page_text", "text_notes", "line_dedupe", "net_content", "variant_type",
     "url_normalize", "image_normalize", "node_scopes", "first_node", "sitemap_locs", "api_links", "unique_skus",
-    "product_rows", "feed_export", "raw_csv_roundtrip", "visible_variations",
+    "product_rows", "feed_export", "raw_csv_roundtrip", "visible_variations", "url_union", "unique_skus_colliding",
+    "category_crawl", "all_site_urls", "discovered_rows", "rejected_urls", "site_feed",
 )
 
 
@@ -33,7 +37,7 @@ def test_query_equals_sql(spark, db, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(entry.queries())
 
 
 def test_pages_to_rows_does_not_shuffle(spark):
@@ -41,3 +45,9 @@ def test_pages_to_rows_does_not_shuffle(spark):
     assert "Exchange" not in plan and "Python" not in plan and "Join" not in plan
     scan = maybe_product_pages(read_pages(spark, f"{SF}/pages.parquet")).select("url")
     assert "Exchange" not in scan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_url_list_chooses_pages_before_their_html_is_read(spark):
+    pages = read_pages(spark, f"{SF}/pages.parquet")
+    choice = page_choice(pages.selectExpr("url", "page_id AS position"), pages, SHOP)
+    assert "html" not in choice._jdf.queryExecution().executedPlan().toString()

@@ -77,7 +77,8 @@ def test_notes(spark):
 
 
 URLS = ["/a/b", "a", "../c", "./d", "//cdn.x/y", "https://o.x/z", "?q=1", "#f", "mailto:a@b", "a//b", "/a/../b/.", "",
-        "a/../../g?x=/../y", "HTTP://UP.x/", "  /s  ", "..", "x/", "/a//b"]
+        "a/../../g?x=/../y", "HTTP://UP.x/", "  /s  ", "..", "x/", "/a//b",
+        "#", "?", "a#", "a?", "a?#f", "https:a", "https:/a", "http:a"]
 
 
 @pytest.mark.parametrize("base", ["https://shop.example/cat/x/", "https://shop.example/p?q=2", "https://shop.example"])

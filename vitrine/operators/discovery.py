@@ -282,7 +282,8 @@ def category_urls(seeds: DataFrame, pages: DataFrame, shop: Shop, bound: int | N
 
 
 def home_category_urls(home: DataFrame, pages: DataFrame, shop: Shop, bound: int | None = None) -> DataFrame:
-    """Product URLs of all categories that the home pages ``(page_id, url, html)`` link to."""
+    """Product URLs of all categories that the home pages link to; several pages are told apart by ``page_id``."""
+    home = home if "page_id" in home.columns else home.withColumn("page_id", F.lit(0))
     links = links_with(home, fixed.CATEGORY_FRAGMENT, lit(shop.base_url), "page_id")
     seeds = unique_urls(links.selectExpr("link AS url", f"{position('page_id', 'ord')} AS position"))
     return category_urls(seeds.selectExpr("position AS seed_ord", "url"), pages, shop, bound)
