@@ -2,7 +2,11 @@
 
 import random
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from vitrine.operators.skus import resolve_skus
+from vitrine.session import clear_scratch, scratch_path
 
 SCHEMA = "url_ord long, var_idx int, seller_sku string, listing_id string, product_url string, " \
          "variation_variant_1 string, item_name string"
@@ -63,3 +67,11 @@ def test_one_hot_base(spark):
     cases = [[("h-x-7", "q"), ("h-x-8", "q")] + [("h", "x")] * 300 + [("h-x", "q")] * 3]
     got, expected = run(spark, cases, 16)
     assert got == expected
+
+
+def test_scratch_is_cleared_on_request(spark):
+    path = scratch_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    assert clear_scratch(spark) >= 1 and clear_scratch(spark) == 0
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)

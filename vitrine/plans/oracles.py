@@ -275,8 +275,10 @@ ORACLES: dict[str, str] = {
         ), flat AS (SELECT page_id, unnest(t) AS token, generate_subscripts(t, 1) - 1 AS ord, len(t) AS total FROM tokens),
         tags AS (SELECT page_id, ord, total, starts_with(token, '</') AS closes, regexp_extract(token, '^</?([a-z0-9]+)', 1) AS tag FROM flat
           WHERE token LIKE '<%'),
-        ended AS (SELECT *, lead(ord) OVER (PARTITION BY page_id, tag ORDER BY ord) AS next_ord FROM tags
-          WHERE tag IN ('a', 'h1', 'title', 'nav', 'ul', 'article', 'footer', 'li'))
+        bounded AS (SELECT *, min(CASE WHEN tag = 'p' OR tag = 'article' AND closes THEN ord END)
+          OVER (PARTITION BY page_id ORDER BY ord ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS block_end FROM tags),
+        ended AS (SELECT *, CASE WHEN tag IN ('p', 'b') THEN block_end ELSE lead(ord) OVER (PARTITION BY page_id, tag ORDER BY ord) END AS next_ord FROM bounded
+          WHERE tag IN ('a', 'h1', 'title', 'nav', 'ul', 'article', 'footer', 'li', 'p', 'b', 'div', 'head', 'body', 'html'))
         SELECT page_id, CAST(ord AS INT) AS ord, tag, CAST(coalesce(next_ord, total) AS INT) AS end_ord FROM ended WHERE NOT closes""",
     "url_limit": "SELECT url, page_id AS position FROM pages ORDER BY page_id LIMIT 100",
     "text_truncate": f"SELECT doc_id, {_truncate(_squeeze('text'), 200)} AS short_text FROM documents",

@@ -383,7 +383,8 @@ def unique_skus_colliding(spark, sf):
 
 @query
 def node_scopes(spark, sf):
-    return element_scopes(_pages(spark, sf), ("a", "h1", "title", "nav", "ul", "article", "footer", "li")).selectExpr(
+    every = ("a", "h1", "title", "nav", "ul", "article", "footer", "li", "p", "b", "div", "head", "body", "html")
+    return element_scopes(_pages(spark, sf), every).selectExpr(
         "page_id", "ord", "tag", "end AS end_ord"
     )
 

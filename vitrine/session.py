@@ -39,6 +39,25 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what operators of this process left in the shared folder; returns the number of folders.
+
+    Call it once their results are written: lazy results still read these folders.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _written:
+        path = hadoop.Path(_written.pop())
+        gone += path.getFileSystem(configuration).delete(path, True)
+    return gone
