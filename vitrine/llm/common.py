@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,9 @@ GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,6 +38,31 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def map_arrow(frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` in batches of ``BATCH_BYTES``, so that long texts don't fill a worker; unless the session sets a size.
+
+    Workers find this package where the driver has it, whatever their working folder.
+    """
+    spark = frame.sparkSession
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+    return frame.mapInArrow(run, schema)
+
+
+def with_kept(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``kept``, a struct of the columns, and ``text`` unless it is one of them: long texts travel once."""
+    kept = F.struct(*keep).alias("kept")
+    return docs.select(kept) if "text" in keep else docs.select(kept, "text")
+
+
+def texts_of(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch of ``with_kept`` rows."""
+    return batch.column("text") if "text" in batch.schema.names else batch.column("kept").field("text")
+
+
 def byte_table(gaps: bool) -> bytes:
     """For ``bytes.translate``: A-Z lowered; with ``gaps`` every separator of ``GAP`` becomes a space."""
     out = bytearray(range(256))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import byte_table
+from vitrine.llm.common import byte_table, map_arrow, texts_of, with_kept
 
 WINDOW = 13
 SAMPLED = 8
@@ -231,7 +231,7 @@ def _pass(docs: DataFrame, phrases: Phrases) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = texts_of(batch).cast(pa.binary()).to_pylist()
             spans, items = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
             words: list[int] = []
             first = 0
@@ -245,18 +245,19 @@ def _pass(docs: DataFrame, phrases: Phrases) -> DataFrame:
                     spans[k] = [*spans[k], *({"start": a, "end": b} for a, b in new)]
                     items[k] = [*items[k], *names]
                 first = end
+            shown = [c for c in ("kept", "text") if c in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("kept"), batch.column("text"), pa.array(words, pa.int64()), pa.array(spans, spans_type), pa.array(items, pa.list_(pa.string()))],
-                names=["kept", "text", "n_words", "spans", "items"],
+                [*(batch.column(c) for c in shown), pa.array(words, pa.int64()), pa.array(spans, spans_type), pa.array(items, pa.list_(pa.string()))],
+                names=[*shown, "n_words", "spans", "items"],
             )
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def find_spans(docs: DataFrame, benchmark: DataFrame, keep: list[str], block_bytes: int = 8 << 20) -> DataFrame:
     """kept (struct of ``keep``), n_words, spans (merged, in words, end exclusive), items (sorted)."""
-    out = docs.select(
-        F.struct(*keep).alias("kept"), F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"),
+    out = with_kept(docs, keep).select(
+        "*", F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<struct<start: bigint, end: bigint>>)").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"),
     )

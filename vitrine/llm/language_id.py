@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitrine.llm.common import map_arrow, texts_of, with_kept
+
 UNDETERMINED = "und"
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -50,7 +52,7 @@ def word_counts(docs: DataFrame, train_rows: int) -> DataFrame:
         return docs.sparkSession.createDataFrame([], "lang string, word string, n bigint")
     parts = F.create_map(*[F.lit(x) for pair in sorted(share.items()) for x in pair])
     picked = learn.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < parts[F.col("lang")] * (1 << 20))
-    return picked.select("lang", "text").mapInArrow(_counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return map_arrow(picked.select("lang", "text"), _counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def grams_of(word: str, size: int) -> list[str]:
@@ -62,7 +64,7 @@ def grams_of(word: str, size: int) -> list[str]:
 class Model:
     """Log frequencies: one row of ``table`` (a column per language) per known word and n-gram."""
 
-    def __init__(self, counts: list[tuple[str, str, int]], max_n: int = 5, max_grams: int = 100_000):
+    def __init__(self, counts: list[tuple[str, str, int]], max_n: int = 5, max_grams: int = 40_000):
         self.langs = sorted({lang for lang, _, _ in counts})
         self.max_n = max_n
         column = {lang: i for i, lang in enumerate(self.langs)}
@@ -100,7 +102,7 @@ class Model:
 class Scorer:
     """Sums word scores of whole texts; a bounded memo holds the scores of unseen words."""
 
-    MEMO = 100_000
+    MEMO = 50_000
 
     def __init__(self, model: Model):
         self.model, self.memo = model, {}
@@ -137,19 +139,19 @@ def train(docs: DataFrame, train_rows: int = 4_000, max_words: int = 30_000) ->
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``docs`` plus lang_pred and score, from ``text`` alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    inner = docs.select(F.struct(*keep).alias("kept"), "text")
+    inner = with_kept(docs, keep)
     schema = inner.select("kept").schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            out = [scorer.predict(t) for t in batch.column("text").to_pylist()]
+            out = [scorer.predict(t.as_py()) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("kept"), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())],
                 names=["kept", "lang_pred", "score"],
             )
 
-    return inner.mapInArrow(run, schema)
+    return map_arrow(inner, run, schema)
 
 
 def language_id(docs: DataFrame) -> DataFrame:

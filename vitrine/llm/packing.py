@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
-from vitrine.llm.common import numbered, stage
+from vitrine.llm.common import map_arrow, numbered, stage
 
 CAPACITY = 4096
 GRAIN = 64
@@ -150,7 +150,7 @@ def encoder_of(tokenizer_json: str) -> Encoder:
     return Encoder(tokenizer_json)
 
 
-def encoded(texts: pa.Array, encoder: Encoder, together: int = 16 << 20) -> Iterator[bytes]:
+def encoded(texts: pa.Array, encoder: Encoder, together: int = 4 << 20) -> Iterator[bytes]:
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < len(texts):
@@ -158,6 +158,7 @@ def encoded(texts: pa.Array, encoder: Encoder, together: int = 16 << 20) -> Iter
         end = max(first + 1, int(np.searchsorted(sizes, held + together)))
         yield from encoder.encode(texts.slice(first, end - first))
         first = end
+    pa.default_memory_pool().release_unused()
 
 
 def and_fields(docs: DataFrame, ddl: str) -> StructType:
@@ -191,7 +192,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             )
 
     schema = and_fields(docs, "doc_tokens long, rest int, whole array<long>, heads array<long>")
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 class Share(NamedTuple):
@@ -363,4 +364,4 @@ def packing(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
             )
 
-    return ranked.select("doc_id", "doc_tokens", "rest", "whole", "heads", "rank").mapInArrow(run, and_fields(docs, pieces))
+    return map_arrow(ranked.select("doc_id", "doc_tokens", "rest", "whole", "heads", "rank"), run, and_fields(docs, pieces))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import byte_table, components, stage
+from vitrine.llm.common import byte_table, components, map_arrow, stage
 
 SHINGLE, SEED, NEAR = 3, 42, 2
 LOWER = byte_table(gaps=False)
@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, keep: list[str]) -> DataFrame:
             values = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(values)], names=["kept", "fp"])
 
-    return inner.mapInArrow(run, inner.select("kept").schema.add("fp", "long"))
+    return map_arrow(inner, run, inner.select("kept").schema.add("fp", "long"))
 
 
 def links(distinct: DataFrame) -> DataFrame:
