@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm.common import table
+from vitrine.llm.common import LOWER, UPPER, WORD, table
 from vitrine.llm.decontamination import decontamination
 from vitrine.llm.kd_shards import shards
 from vitrine.llm.language_id import language_id
@@ -67,4 +67,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_packing, op3_pii, op4_paragraph_dedup, op5_kd_shards, op6_decontamination, op7_secrets, op8_nearest, op9_licenses, op10_simhash)
 }
-ORACLES: dict[str, str] = {}
+_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}+')"
+
+ORACLES: dict[str, str] = {
+    "op6_decontamination": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+        places AS (SELECT item, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS a FROM i WHERE len(w) > 0),
+        windows AS (SELECT DISTINCT item, k, array_to_string(w[a : a + k - 1], ' ') AS win FROM places),
+        sizes AS (SELECT DISTINCT k FROM windows),
+        starts AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS a FROM d JOIN sizes ON len(w) >= k),
+        hits AS (SELECT r, a, k, item FROM (SELECT r, a, k, array_to_string(w[a : a + k - 1], ' ') AS win FROM starts) JOIN windows USING (k, win)),
+        covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(a, a + k)) AS p FROM (SELECT DISTINCT r, a, k FROM hits)) GROUP BY r),
+        named AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+          coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""",
+}
