@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import stage, union_all
+from vitrine.llm.common import map_arrow, stage, union_all
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -130,7 +130,7 @@ def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(column.offsets.to_numpy()), column.flatten().to_numpy(zero_copy_only=False)
 
 
-def nearest(vectors: DataFrame, every: int = 20, neighbours: int = 20, shard_rows: int = 16_384, trees: int = 128, effort: float = 0.3, least: int = 1_024, wave: int = 100_000) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, neighbours: int = 20, shard_rows: int = 16_384, trees: int = 128, effort: float = 0.5, least: int = 1_024, wave: int = 100_000) -> DataFrame:
     """query_id, rank, vec_id, score: the ``neighbours`` nearest found of every row whose id ``every`` divides."""
     rows = stage(usable(vectors), "nearest-rows")
     asked = rows.where(F.col("vec_id") % every == 0)
@@ -169,6 +169,6 @@ def nearest(vectors: DataFrame, every: int = 20, neighbours: int = 20, shard_row
                     })
 
         dealt = rows.repartition(max(1, -(-counts["all"] // shard_rows)))
-        parts.append(dealt.mapInArrow(run, "query_id long, vec_id long, score double"))
+        parts.append(map_arrow(dealt, run, "query_id long, vec_id long, score double"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return union_all(parts).withColumn("rank", place).where(F.col("rank") <= neighbours).select("query_id", "rank", "vec_id", "score")
