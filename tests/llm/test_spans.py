@@ -149,6 +149,38 @@ def test_every_name_holds_a_stem():
             assert any(s in shown(name) or s in name for s in STEMS), name
 
 
+def samples(pattern):
+    """Texts of a name or tag: without its optional parts and with them."""
+    one = re.sub(r"\[(.)[^]]*\]", r"\1", pattern)
+    yield re.sub(r" \?", "", re.sub(r"\(\?:[^)]*\)\?", "", one))
+    yield re.sub(r" \?", " ", re.sub(r"\(\?:([^|)]*)[^)]*\)\?", r"\1", one))
+
+
+def ungated(words):
+    """Labels of all rules' detections on words, whatever the keywords."""
+    kept = []
+    for r in rules():
+        for m in sorted(re.finditer(r.pattern, f" {words} "), key=lambda m: m.start() - m.end()):
+            if not any(a <= m.start() and m.end() <= b for a, b, _ in kept):
+                kept.append((*m.span(), r.label))
+    return sorted(k[2] for k in kept)
+
+
+def test_every_name_and_tag_passes_its_gate(spark):
+    texts = []
+    for x in LICENSES:
+        for pattern, before in [*((n, "") for n in x.names), (x.tag, "SPDX-License-Identifier: ")]:
+            for t in samples(pattern):
+                assert re.fullmatch(pattern, t), (pattern, t)
+                texts.append(before + t)
+    got = {r["kept"]["doc_id"]: sorted(d["label"] for d in r["detections"]) for r in scanned(docs(spark, texts), ["doc_id"]).collect()}
+    for i, t in enumerate(texts):
+        want = ungated(re.sub("[^0-9a-z]+", " ", t.lower()))
+        assert want and got[i] == want, (t, got[i], want)
+    labels = licenses(docs(spark, ["Licensed under MPL 2.0", "CDDL 1.0", "PSF License", "Internet Systems Consortium License"])).collect()
+    assert [r["labels"] for r in sorted(labels, key=lambda r: r["doc_id"])] == ["mpl-2.0", "cddl-1.0", "psf-2.0", "isc"]
+
+
 @pytest.mark.parametrize("scanner", [pii, secrets, licenses])
 def test_hard_rows(spark, scanner):
     frame = hard_rows(spark)

@@ -1,8 +1,8 @@
 """License scans with ordered signature rules.
 
-Each license has name patterns over normalised words, a keyword that every text with the name holds, and a
+Each license has name patterns over normalised words, keywords of which every text with the name holds one, and a
 rank. From them come the rules, in order: identifier tags, "licensed under" phrases, names with a version,
-bare names. A rule runs only on texts that hold its keyword. A detection whose interval lies inside that of
+bare names. A rule runs only on texts that hold one of its keywords. A detection whose interval lies inside that of
 an earlier rule's detection (or of a longer one by the same rule) is suppressed. The labels that remain are
 added to those of the base phrases, which always stay.
 
@@ -25,7 +25,7 @@ BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by"
 
 
 class License(NamedTuple):
-    """``names``: patterns over words joined by single spaces; ``tag``: words of the identifier; ``keyword``: words that the names and the tag hold."""
+    """``names``: patterns over words joined by single spaces; ``tag``: words of the identifier; ``keyword``: alternatives joined by ``|``, each name holds one."""
 
     label: str
     keyword: str
@@ -64,20 +64,20 @@ LICENSES = (
     License("mit-0", "mit no attribution", ("mit no attribution",), "mit 0", ""),
     License("mit", "mit", ("mit license", "mit licence", "the mit expat license"), "mit", ""),
     License("x11", "x11", ("x11 license", "mit x11 license", "x11 mit license"), "x11", ""),
-    License("isc", "isc", ("isc license", "internet systems consortium license"), "isc", ""),
+    License("isc", "isc|internet systems", ("isc license", "internet systems consortium license"), "isc", ""),
     License("bsd-4-clause", "bsd", ("bsd 4 clause(?: license)?", "4 clause bsd(?: license)?", "original bsd license"), "bsd 4 clause", ""),
     License("bsd-3-clause", "bsd", ("bsd 3 clause(?: license)?", "3 clause bsd(?: license)?", "new bsd license", "revised bsd license", "modified bsd license"), "bsd 3 clause", ""),
     License("bsd-2-clause", "bsd", ("bsd 2 clause(?: license)?", "2 clause bsd(?: license)?", "simplified bsd license", "freebsd license"), "bsd 2 clause", ""),
     License("0bsd", "bsd", ("zero clause bsd(?: license)?", "bsd zero clause(?: license)?", "0bsd"), "0bsd", ""),
     License("bsd", "bsd", ("bsd license", "bsd style license", "bsd licence"), "bsd", ""),
-    License("mpl-2.0", "mozilla", ("mozilla public license version 2 0", "mozilla public license 2 0", "mpl 2 0"), "mpl 2 0", ""),
-    License("mpl-1.1", "mozilla", ("mozilla public license version 1 1", "mozilla public license 1 1", "mpl 1 1"), "mpl 1 1", ""),
-    License("mpl", "mozilla", ("mozilla public license",), "mpl", "1 0"),
+    License("mpl-2.0", "mozilla|mpl", ("mozilla public license version 2 0", "mozilla public license 2 0", "mpl 2 0"), "mpl 2 0", ""),
+    License("mpl-1.1", "mozilla|mpl", ("mozilla public license version 1 1", "mozilla public license 1 1", "mpl 1 1"), "mpl 1 1", ""),
+    License("mpl", "mozilla|mpl", ("mozilla public license",), "mpl", "1 0"),
     License("epl-2.0", "eclipse", ("eclipse public license version 2 0", "eclipse public license 2 0", "eclipse public license v 2 0"), "epl 2 0", ""),
     License("epl-1.0", "eclipse", ("eclipse public license version 1 0", "eclipse public license 1 0", "eclipse public license v 1 0"), "epl 1 0", ""),
     License("epl", "eclipse", ("eclipse public license",), "epl", ""),
-    License("cddl-1.1", "distribution license", ("common development and distribution license version 1 1", "cddl 1 1"), "cddl 1 1", ""),
-    License("cddl-1.0", "distribution license", ("common development and distribution license", "cddl 1 0"), "cddl 1 0", "1 0"),
+    License("cddl-1.1", "distribution license|cddl", ("common development and distribution license version 1 1", "cddl 1 1"), "cddl 1 1", ""),
+    License("cddl-1.0", "distribution license|cddl", ("common development and distribution license", "cddl 1 0"), "cddl 1 0", "1 0"),
     License("cpl-1.0", "common public", ("common public license",), "cpl 1 0", "1 0"),
     License("eupl-1.2", "european union", ("european union public licen[cs]e",), "eupl 1 2", "1 [12]"),
     License("artistic-2.0", "artistic", ("artistic license 2 0", "artistic license version 2 0"), "artistic 2 0", ""),
@@ -91,7 +91,7 @@ LICENSES = (
     License("odbl-1.0", "open database", ("open database license", "open data commons open database license"), "odbl 1 0", "v?1 0"),
     License("odc-by", "open data commons", ("open data commons attribution license",), "odc by 1 0", "v?1 0"),
     License("pddl-1.0", "public domain dedication", ("public domain dedication and license", "open data commons public domain dedication"), "pddl 1 0", "1 0"),
-    License("psf-2.0", "python software", ("python software foundation license", "psf license"), "psf 2 0", "2(?: 0)?"),
+    License("psf-2.0", "python software|psf", ("python software foundation license", "psf license"), "psf 2 0", "2(?: 0)?"),
     License("ms-pl", "microsoft public", ("microsoft public license",), "ms pl", ""),
     License("ms-rl", "microsoft reciprocal", ("microsoft reciprocal license",), "ms rl", ""),
     License("ncsa", "ncsa", ("university of illinois ncsa open source license", "ncsa open source license"), "ncsa", ""),
@@ -153,13 +153,13 @@ def scanned(docs: DataFrame, keep: list[str], licenses: tuple[License, ...] = LI
     """kept, n_words, places (word start and label of every base phrase) and kept detections of the rules."""
     ordered = rules(licenses)
     gate = f"(?i){'|'.join(_spaced(s) for s in STEMS)}"
-    table = "array(" + ", ".join(f"named_struct('rank', {i}, 'label', '{r.label}', 'keyword', '{r.keyword}', 'pattern', {literal(r.pattern)}, 'score', {r.score}D)" for i, r in enumerate(ordered)) + ")"
+    table = "array(" + ", ".join(f"named_struct('rank', {i}, 'label', '{r.label}', 'keywords', array({', '.join(map(literal, r.keyword.split('|')))}), 'pattern', {literal(r.pattern)}, 'score', {r.score}D)" for i, r in enumerate(ordered)) + ")"
     label = "case " + " ".join(f"when {literal(p)} = lower(regexp_replace(m.value, {literal(f'{RAW_GAP}++')}, ' ')) then '{k}'" for p, k in BASE.items()) + " end"
     # A place's word start: words before it, counted gap by gap, as a match never cuts a word.
     places = f"transform({matches('text', BASE_PATTERN)}, m -> named_struct('start', cast({word_count('substring(text, 1, cast(m.start as int))')} as bigint), 'label', {label}))"
     norm = f"concat(' ', array_join(array_remove(split(translate(text, '{UPPER}', '{LOWER}'), {literal(f'{GAP}++')}, -1), ''), ' '), ' ')"
     one = matches("norm", "r.pattern").replace(literal("r.pattern"), "r.pattern")
-    hits = f"""flatten(transform(filter({table}, r -> contains(norm, concat(' ', r.keyword)) or contains(norm, concat(r.keyword, ' '))),
+    hits = f"""flatten(transform(filter({table}, r -> exists(r.keywords, k -> contains(norm, concat(' ', k)) or contains(norm, concat(k, ' ')))),
         r -> transform({one}, m -> named_struct('rank', r.rank, 'from', m.start, 'to', m.end, 'label', r.label, 'score', r.score))))"""
     none = "array<struct<rank: int, from: bigint, to: bigint, label: string, score: double>>"
     kept = f"""aggregate(array_sort(hits, (a, b) -> case when a.rank <> b.rank then a.rank - b.rank when a.to - a.from <> b.to - b.from then cast(b.to - b.from - a.to + a.from as int)
