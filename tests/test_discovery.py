@@ -89,9 +89,9 @@ def test_exports(spark, tmp_path):
     assert short == {"brand_1": "", "brand_2": None, "item_note_1": "n0", "unknown": None}
     export.write_csv(export.raw_export(rows), str(tmp_path / "csv"))
     assert read_raw_csv(spark, str(tmp_path / "csv")).first().asDict() == row
-    assert export.write_feed(rows, str(tmp_path / "feed"), str(tmp_path / "raw")) is True
+    assert export.write_feed(rows, str(tmp_path / "feed"), str(tmp_path / "raw"))
     assert spark.read.parquet(str(tmp_path / "feed")).count() == 1
-    assert export.write_feed(rows.limit(0), str(tmp_path / "none")) is False
+    assert not export.write_feed(rows.limit(0), str(tmp_path / "none"))
 
 
 def test_html_files(spark, tmp_path):

@@ -56,6 +56,21 @@ def any_of(array: str, test: Callable[[str], str]) -> str:
     return f"exists({array}, {name} -> {test(name)})"
 
 
+def leading(array: str, test: Callable[[str], str]) -> str:
+    """How many of the first elements pass a test that no element passes after one that fails, by bisection.
+
+    ``array`` should be a name: it is read at every step.
+    """
+    state, mid = f"s{next(_names)}", f"m{next(_names)}"
+    halves = f"""CASE WHEN {state}.low >= {state}.high THEN {state} ELSE aggregate(CAST(array() AS ARRAY<INT>),
+        CAST(({state}.low + {state}.high) DIV 2 AS INT), (a{mid}, i{mid}) -> a{mid},
+        {mid} -> CASE WHEN {test(f'{array}[{mid}]')} THEN named_struct('low', {mid} + 1, 'high', {state}.high)
+            ELSE named_struct('low', {state}.low, 'high', {mid}) END) END"""
+    steps = f"CAST(ceil(log2(size({array}) + 1)) AS INT)"
+    return f"""aggregate(array_repeat(0, {steps}), named_struct('low', 0, 'high', greatest(size({array}), 0)),
+        ({state}, i{state}) -> {halves}, {state} -> {state}.low)"""
+
+
 def first(array: str) -> str:
     """First element, NULL when there is none."""
     return f"get({array}, 0)"

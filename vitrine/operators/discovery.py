@@ -15,14 +15,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from vitrine import fixed
-from vitrine.functions.sqltext import each, first, keep, let, lit, missing
-from vitrine.functions.text import clean_text
+from vitrine.functions.sqltext import bind, each, first, keep, leading, let, lit, missing
+from vitrine.functions.text import clean_text, unescape
 from vitrine.functions.urls import is_probable_product_url, normalize_url
-from vitrine.operators.nodes import attr, elements, has_class, inside, with_nodes
+from vitrine.operators.nodes import attr, elements, has_class, keep_inside, with_nodes
 from vitrine.schemas import Shop
 from vitrine.session import scratch_path
 
-LOC = r"(?s)<loc(?:\s[^>]*)?>(.*?)</loc>"
+#: XML tokens: comment, CDATA, processing instruction, tag, text; what never ends runs to the end of the body.
+XML_TOKEN = (
+    r"(?s)<!--.*?(?:-->|\z)|<!\[CDATA\[.*?(?:\]\]>|\z)|<\?.*?(?:\?>|\z)"
+    r"""|<[^<>"']*+(?:"[^"]*+"[^<>"']*+|'[^']*+'[^<>"']*+)*+>?|[^<]++"""
+)
+LOC_OPEN, LOC_CLOSE = r"(?s)^<loc(?:[\s/].*)?>\z", r"^</loc\s*>\z"
+CDATA_MARKS = r"(?s)^<!\[CDATA\[|\]\]>$"
 
 
 def position(*parts: str) -> str:
@@ -71,9 +77,32 @@ def first_nonempty(*sources: DataFrame) -> DataFrame:
     return every.join(F.broadcast(chosen), "source_rank", "left_semi").select("url", "position")
 
 
+#: Up to so many URLs one task merges what the others have cut.
+SMALL_LIMIT = 10_000
+
+
 def limited(urls: DataFrame, limit: int = 0) -> DataFrame:
-    """First ``limit`` URLs; 0 keeps all."""
-    return urls.orderBy("position").limit(limit) if limit > 0 else urls
+    """First ``limit`` URLs; 0 keeps all.
+
+    A larger limit counts ranges of the order: ranges that lie before the border are taken whole and unsorted, only
+    the range that holds the border is sorted and cut.
+    """
+    if limit <= 0:
+        return urls
+    if limit <= SMALL_LIMIT:
+        return urls.orderBy("position").limit(limit)
+    ranged = stored(urls.repartitionByRange("position").withColumn("__range", F.spark_partition_id()), "limit-ranges")
+    sizes = {r["__range"]: r["n"] for r in ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per range
+    border, before = None, 0
+    for k in sorted(sizes):
+        if before + sizes[k] > limit:
+            border = k
+            break
+        before += sizes[k]
+    if border is None:
+        return ranged.drop("__range")
+    cut = ranged.where(F.col("__range") == border).orderBy("position").limit(limit - before)
+    return ranged.where(F.col("__range") < border).unionByName(cut).drop("__range")
 
 
 def densely_numbered(urls: DataFrame) -> DataFrame:
@@ -94,11 +123,40 @@ def densely_numbered(urls: DataFrame) -> DataFrame:
 # --- sitemaps ---------------------------------------------------------------
 
 
+def _loc_texts(body: str) -> str:
+    """Texts of the ``loc`` elements of an XML body: comments and processing instructions hold none, CDATA is literal."""
+
+    def kind(t: str) -> str:
+        return f"""CASE WHEN NOT startswith({t}, '<') THEN 't' WHEN startswith({t}, '<![CDATA[') THEN 'd'
+            WHEN {t} RLIKE {lit(LOC_OPEN)} THEN CASE WHEN endswith({t}, '/>') THEN 'v' ELSE 'o' END
+            WHEN {t} RLIKE {lit(LOC_CLOSE)} THEN 'c' ELSE 'x' END"""
+
+    def text_of(t: str) -> str:
+        literal = f"regexp_replace({t}.token, {lit(CDATA_MARKS)}, '')"
+        return f"CASE {t}.kind WHEN 't' THEN {unescape(f'{t}.token')} WHEN 'd' THEN {literal} ELSE '' END"
+
+    def texts(tokens: str) -> str:
+        def of_closes(closes: str) -> str:
+            def one(o: str) -> str:
+                # up to the first end tag behind it; an element that never ends, as in a cut body, is none
+                end = f"get({closes}, {leading(closes, lambda c: f'{c}.at < {o}.at')}).at"
+                inner = let(end, lambda e: f"slice({tokens}, {o}.at + 2, {e} - {o}.at - 1)")
+                return f"CASE WHEN {o}.kind = 'v' THEN '' ELSE array_join({each(inner, text_of)}, '') END"
+
+            return keep(each(f"filter({tokens}, t -> t.kind IN ('o', 'v'))", one), lambda x: f"{x} IS NOT NULL")
+
+        return bind(f"filter({tokens}, t -> t.kind = 'c')", of_closes)
+
+    def shaped(raw: str) -> str:
+        return f"transform({raw}, (t, i) -> named_struct('at', i, 'kind', {kind('t')}, 'token', t))"
+
+    return bind(f"regexp_extract_all({body}, {lit(XML_TOKEN)}, 0)", lambda raw: bind(shaped(raw), texts))
+
+
 def sitemap_locs(bodies: DataFrame, *more: str) -> DataFrame:
     """``(url, ord, loc)`` of stored sitemap bodies, and ``more`` of their columns."""
-    bare = "regexp_replace(raw, '^\\\\s*<!\\\\[CDATA\\\\[|\\\\]\\\\]>\\\\s*$', '')"
-    return bodies.selectExpr("url", *more, f"posexplode(regexp_extract_all(body, {lit(LOC)}, 1)) AS (ord, raw)").selectExpr(
-        "url", *more, "ord", f"{clean_text(bare, decode=2)} AS loc"
+    return bodies.selectExpr("url", *more, f"posexplode({_loc_texts('body')}) AS (ord, raw)").selectExpr(
+        "url", *more, "ord", f"{clean_text('raw')} AS loc"
     )
 
 
@@ -193,10 +251,7 @@ def api_urls(bodies: DataFrame, shop: Shop, page_bound: int | None = None) -> Da
 
 def _scoped(elems: str, scope, link=lambda e: "true") -> str:
     """hrefs of the ``a[href]`` elements inside scope elements, in page order."""
-    found = let(
-        keep(elems, scope),
-        lambda s: keep(elems, lambda e: f"{e}.tag = 'a' AND {attr(e, 'href')} <> '' AND {link(e)} AND {inside(e, s)}"),
-    )
+    found = keep_inside(elems, keep(elems, scope), lambda e: f"{e}.tag = 'a' AND {attr(e, 'href')} <> '' AND {link(e)}")
     return each(found, lambda e: attr(e, "href"))
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vitrine import fixed
+from vitrine.operators.discovery import densely_numbered
 from vitrine.schemas import PRODUCT_ROW
 from vitrine.session import scratch_path
 
@@ -30,8 +32,8 @@ def raw_export(rows: DataFrame) -> DataFrame:
     )
 
 
-def feed(rows: DataFrame, template: list[str] | None = None) -> DataFrame:
-    """Project product rows to the template's columns.
+def feed(rows: DataFrame, template: list[str] | None = None, *more: str) -> DataFrame:
+    """Project product rows to the template's columns, after ``more`` columns of theirs.
 
     A value goes to the first column of its name; notes and further images are
     spread over all columns of theirs, surplus values are dropped, and columns
@@ -55,7 +57,21 @@ def feed(rows: DataFrame, template: list[str] | None = None) -> DataFrame:
             value = "CAST(NULL AS STRING)"
         spread = total[name] > 1 or name in _REPEATS
         columns.append(f"{value} AS `{name}_{n}`" if spread else f"{value} AS `{name}`")
-    return rows.selectExpr(*columns)
+    return rows.selectExpr(*more, *columns)
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """Product rows with ``row_no``, their dense place in the sheet from 0, and sorted by it within every written file.
+
+    Ranges of the order are sorted apart; a reader restores the sheet with ``orderBy("row_no")`` or reads the files by name.
+    """
+    placed = rows.withColumn("position", F.array(F.col("url_ord").cast("bigint"), F.col("var_idx").cast("bigint")))
+    return densely_numbered(placed).withColumnRenamed("position", "row_no").sortWithinPartitions("row_no")
+
+
+def feed_in_order(rows: DataFrame, template: list[str] | None = None) -> DataFrame:
+    """The feed with ``row_no`` before its columns."""
+    return feed(in_order(rows), template, "row_no")
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
@@ -63,32 +79,43 @@ def write_csv(frame: DataFrame, path: str) -> None:
     frame.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
 
 
-def write_feed(rows: DataFrame, path: str, raw_path: str | None = None, template: list[str] | None = None) -> bool:
-    """Write the feed (and the raw export) as parquet; False when there are no rows.
+@dataclass(frozen=True)
+class RunCounts:
+    """What a run found and wrote; false when nothing was exported."""
+
+    urls_found: int
+    rows_exported: int
+
+    def __bool__(self) -> bool:
+        return self.rows_exported > 0
+
 
-    The rows are computed once, into the shared folder, and read for each output.
+def write_counted(frame: DataFrame, path: str) -> int:
+    """Write as parquet; the number of rows, observed by the tasks that write.
+
+    The observation stands directly below the write, whose tasks count once each however often an executor is lost.
     """
-    spark = rows.sparkSession
-    once = scratch_path(spark, "feed-rows")
-    rows.write.parquet(once)
-    stored = spark.read.schema(rows.schema).parquet(once)
-    if stored.isEmpty():
-        return False
-    feed(stored, template).write.parquet(path)
-    if raw_path:
-        raw_export(stored).write.parquet(raw_path)
-    return True
-
-
-def run_counts(urls: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row: URLs found and rows exported."""
-    found = urls.agg(F.count(F.lit(1)).alias("n"), F.lit("urls_found").alias("what"))
-    exported = rows.agg(F.count(F.lit(1)).alias("n"), F.lit("rows_exported").alias("what"))
-    return (
-        found.unionByName(exported)
-        .groupBy()
-        .agg(
-            F.max(F.expr("CASE WHEN what = 'urls_found' THEN n END")).alias("urls_found"),
-            F.max(F.expr("CASE WHEN what = 'rows_exported' THEN n END")).alias("rows_exported"),
-        )
-    )
+    seen = Observation()
+    frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return seen.get.get("rows", 0)
+
+
+def stored_counted(frame: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write to the shared folder and read back, with the number of rows."""
+    path = scratch_path(frame.sparkSession, name)
+    rows = write_counted(frame, path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), rows
+
+
+def write_feed(rows: DataFrame, path: str, raw_path: str | None = None, template: list[str] | None = None, urls_found: int = 0) -> RunCounts:
+    """Write the feed (and the raw export) as parquet; nothing is written when there are no rows.
+
+    The rows are computed once, into the shared folder, where they are counted, and read for each output.
+    ``urls_found`` comes from the run that made the list (``stored_counted``).
+    """
+    stored, exported = stored_counted(rows, "feed-rows")
+    if exported:
+        feed(stored, template).write.parquet(path)
+        if raw_path:
+            raw_export(stored).write.parquet(raw_path)
+    return RunCounts(urls_found, exported)

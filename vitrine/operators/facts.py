@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from vitrine import fixed
 from vitrine.functions.content import parse_price, pick_notes
-from vitrine.functions.sqltext import any_of, each, first, first_filled, keep, let, lit, lits, missing
+from vitrine.functions.sqltext import any_of, bind, each, first, first_filled, keep, let, lit, lits, missing
 from vitrine.functions.text import LINE_BREAKS, clean_text, contains_any, squeeze, unescape, unique_filled
 from vitrine.functions.urls import is_shop_furniture, normalize_image_url, normalize_url, slug_from_url
 from vitrine.operators.nodes import (
@@ -20,8 +20,10 @@ from vitrine.operators.nodes import (
     elements,
     has_class,
     inside,
+    keep_inside,
     node_text,
     outer_html,
+    outermost,
     with_nodes,
 )
 from vitrine.schemas import Shop
@@ -90,7 +92,7 @@ def block_lines(nodes: str, element: str) -> str:
             pieces = f"flatten({each(shown, lambda n: f'split({n}.text, {lit(LINE_BREAKS)})')})"
             return unique_filled(each(pieces, lambda p: squeeze(unescape(squeeze(p)))))
 
-        return let(keep(below, lambda n: f"{n}.kind = 'o' AND {n}.tag IN ('noscript', 'form', 'button')"), texts)
+        return bind(outermost(keep(below, lambda n: f"{n}.kind = 'o' AND {n}.tag IN ('noscript', 'form', 'button')")), texts)
 
     return let(content(nodes, element), lines)
 
@@ -101,8 +103,7 @@ def block_text(nodes: str, element: str) -> str:
 
 def _in_class(name: str, test) -> str:
     """Elements that pass the test inside an element of the class, in page order."""
-    scopes = keep("elems", lambda e: has_class(e, name))
-    return let(scopes, lambda s: keep("elems", lambda e: f"{test(e)} AND {inside(e, s)}"))
+    return keep_inside("elems", keep("elems", lambda e: has_class(e, name)), test)
 
 
 def title() -> str:
@@ -122,8 +123,8 @@ def brand() -> str:
 
 def sku() -> str:
     wrappers = keep("elems", lambda e: has_class(e, "sku_wrapper"))
-    marked = let(
-        wrappers,
+    marked = bind(
+        outermost(wrappers),
         lambda w: keep("elems", lambda e: f"{has_class(e, 'sku')} AND ({e}.tag = 'span' OR {inside(e, w)})"),
     )
     values = each(marked, lambda e: clean_text(node_text("nodes", e), decode=0))
@@ -216,15 +217,8 @@ def price() -> str:
             OR {e}.tag = 'span' AND {has_class(e, 'price')})"""
 
     stated = f"round(try_cast(replace({missing(meta('product:price:amount'))}, ',', '.') AS DOUBLE), 2)"
-    reduced_scopes = let(
-        keep("elems", priced), lambda p: keep("elems", lambda e: f"{e}.tag = 'ins' AND {inside(e, p)}")
-    )
-    reduced = first(
-        let(
-            reduced_scopes,
-            lambda s: keep("elems", lambda e: f"{has_class(e, 'woocommerce-Price-amount')} AND {inside(e, s)}"),
-        )
-    )
+    reduced_scopes = keep_inside("elems", keep("elems", priced), lambda e: f"{e}.tag = 'ins'")
+    reduced = first(keep_inside("elems", reduced_scopes, lambda e: has_class(e, "woocommerce-Price-amount")))
     by_reduced = let(reduced, lambda e: parse_price(node_text("nodes", e), decode=0))
     by_block = let(
         first_element("elems", block_test),
@@ -234,9 +228,12 @@ def price() -> str:
     return f"coalesce({stated}, {by_reduced}, {by_block})"
 
 
-def canonical_url(shop: Shop, url: str = "url") -> str:
-    chosen = first_filled(_link("canonical"), meta("og:url"), url)
-    return normalize_url(chosen, lit(shop.base_url))
+def canonical_url(shop: Shop, url: str = "url", absolute: bool = False) -> str:
+    """The page's stated address, else ``url``, which is taken as it is when it is ``absolute`` already."""
+    stated = [_link("canonical"), meta("og:url")]
+    if absolute:
+        return first_filled(normalize_url(first_filled(*stated), lit(shop.base_url)), url)
+    return normalize_url(first_filled(*stated, url), lit(shop.base_url))
 
 
 def availability() -> str:
@@ -270,8 +267,11 @@ def where_kept(frame: DataFrame, test: str) -> DataFrame:
     return kept.drop("__kept")
 
 
-def product_facts(pages: DataFrame, shop: Shop) -> DataFrame:
-    """Facts of every page; on pages that are no product pages they are empty."""
+def product_facts(pages: DataFrame, shop: Shop, absolute: bool = False) -> DataFrame:
+    """Facts of every page; on pages that are no product pages they are empty.
+
+    ``absolute``: the pages' addresses are normalized already and must not be decoded again.
+    """
     others = [f"`{c}`" for c in pages.columns if c != "html"]
     flagged = with_elements(pages)
     # without nodes the expressions below have nothing to do
@@ -290,7 +290,7 @@ def product_facts(pages: DataFrame, shop: Shop) -> DataFrame:
         "is_product",
         "nodes",
         "elems",
-        f"{canonical_url(shop)} AS product_url",
+        f"{canonical_url(shop, absolute=absolute)} AS product_url",
         f"{title()} AS title",
         f"{brand()} AS brand",
         f"{sku()} AS own_sku",

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from vitrine.functions.sqltext import any_of, bind, each, first, keep, let, lit, lits
+from vitrine.functions.sqltext import bind, each, first, keep, leading, let, lit, lits
 from vitrine.functions.text import unescape
 
 TOKEN = (
@@ -224,9 +224,36 @@ def has_class(node: str, name: str) -> str:
     return f"coalesce(array_contains({node}.classes, {lit(name)}), false)"
 
 
-def inside(node: str, scopes: str) -> str:
-    """True when the node lies in the content of one of the elements."""
-    return any_of(scopes, lambda s: f"{s}.ord < {node}.ord AND {node}.ord < {s}.end")
+def outermost(scopes: str) -> str:
+    """``array<struct<ord, end>>``: the elements that lie in no other of ``scopes`` (in page order), merged once.
+
+    Elements nest, so what lies in one of the scopes lies in one of these.  Like the element ends, the
+    output grows per chunk.
+    """
+    empty = "CAST(array() AS ARRAY<STRUCT<ord: INT, end: INT>>)"
+
+    def fold(all_: str) -> str:
+        part = f"slice({all_}, c * {CHUNK} + 1, {CHUNK})"
+        step = """CASE WHEN x.ord < b.edge THEN b ELSE named_struct('edge', x.end,
+            'out', concat(b.out, array(named_struct('ord', x.ord, 'end', x.end)))) END"""
+        inner = f"aggregate({part}, named_struct('edge', a.edge, 'out', {empty}), (b, x) -> {step})"
+        merged = let(inner, lambda r: f"named_struct('edge', {r}.edge, 'out', concat(a.out, {r}.out))")
+        chunks = f"sequence(0, CAST((size({all_}) - 1) DIV {CHUNK} AS INT))"
+        return f"""CASE WHEN size({all_}) > 0 THEN aggregate({chunks}, named_struct('edge', -1, 'out', {empty}),
+            (a, c) -> {merged}, z -> z.out) ELSE {empty} END"""
+
+    return bind(scopes, fold)
+
+
+def inside(node: str, merged: str) -> str:
+    """True when the node lies in the content of one of the ``outermost`` scopes, found by bisection; ``merged`` is a name."""
+    before = leading(merged, lambda s: f"{s}.ord < {node}.ord")
+    return let(before, lambda n: f"({n} > 0 AND {merged}[{n} - 1].end > {node}.ord)")
+
+
+def keep_inside(elems: str, scopes: str, test) -> str:
+    """Elements that pass the test inside one of the scopes, in page order."""
+    return bind(outermost(scopes), lambda m: keep(elems, lambda e: f"{test(e)} AND {inside(e, m)}"))
 
 
 def content(nodes: str, element: str) -> str:

@@ -10,7 +10,8 @@ claim at once; where several claim the same name the earliest keeps it and the
 others move down their lists, until nobody is turned away.  A row may also skip
 every name that an earlier row of the same list was already turned away from or
 holds, which moves all repeats of a base to their final name in the first round;
-further rounds happen only where a made-up name meets another base.
+further rounds happen only where a made-up name meets another base, and work on the
+names and lists that the round before touched.
 """
 
 from __future__ import annotations
@@ -43,67 +44,120 @@ def sku_claims(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataF
     )
 
 
-def _advance(claims: DataFrame, turned_away: DataFrame) -> DataFrame:
-    """Move the rows that were turned away down their lists, and push later rows of the same list along.
+class _Moves:
+    """Rows that left their base, a folder of small tables, one per round, in the shared folder.
+
+    Steps only grow, so the largest step of a row is its present one; a round writes the rows that it moved.
+    """
+
+    SCHEMA = "url_ord long, var_idx int, __bucket long, base string, root string, step long"
+
+    def __init__(self, spark):
+        self.spark, self.path, self.rounds = spark, scratch_path(spark, "sku-moves"), 0
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """Write the round's rows; returns them as a table."""
+        own = f"{self.path}/round={self.rounds}"
+        self.rounds += 1
+        columns = [c.split()[0] for c in self.SCHEMA.split(", ")]
+        rows.selectExpr(*[f"CAST({c} AS {t}) AS {c}" for c, t in (x.split() for x in self.SCHEMA.split(", "))]).write.parquet(own)
+        return self.spark.read.schema(self.SCHEMA).parquet(own).select(*columns)
+
+    def latest(self) -> DataFrame:
+        """Present state of all rows that ever moved, with ``claim``."""
+        every = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        last = every.groupBy(*ORDER).agg(F.max(F.struct("step", "__bucket", "base", "root")).alias("s"))
+        return last.selectExpr(*ORDER, "s.__bucket", "s.base", "s.root", "s.step").selectExpr("*", f"{_CLAIM} AS claim")
+
+
+def _advanced(listed: DataFrame) -> DataFrame:
+    """Rows of the touched lists that move, with their new ``step``.
 
     ``floor_step`` is the first name a row can still get.  In list order the next
     step is ``rank + running max(floor_step - rank)``: at least the own floor, and
     one more than the row before.
     """
-    moved = claims.join(turned_away.select(*ORDER, F.lit(1).alias("away")), ORDER, "left").withColumn(
-        "floor_step", F.expr("step + coalesce(away, 0)")
-    )
-    roots = moved.where("away = 1").select("root").distinct()
-    listed = moved.where("floor_step > 0").join(roots, "root", "left_semi")
     placed = ranked(listed, ["root"], ORDER, "rank").withColumn("slack", F.expr("floor_step - rank"))
-    stepped = running_max(placed, ["root"], ORDER, "slack", "lead").selectExpr(*ORDER, "rank + lead AS new_step")
-    return claims.join(stepped, ORDER, "left").withColumn("step", F.coalesce("new_step", "step")).drop("new_step")
+    stepped = running_max(placed, ["root"], ORDER, "slack", "lead")
+    moved = stepped.selectExpr(*ORDER, "__bucket", "base", "root", "step", "rank + lead AS new_step").where("new_step > step")
+    return moved.selectExpr(*ORDER, "__bucket", "base", "root", "new_step AS step")
+
+
+def _touched_lists(away: DataFrame, moves: _Moves) -> DataFrame:
+    """All rows in the lists of the rows that were turned away: these and the ones that moved earlier."""
+    state = [*ORDER, "__bucket", "base", "root", "step"]
+    held = moves.latest().join(away.select("root").distinct(), "root", "left_semi").select(*state).withColumn("floor_step", F.col("step"))
+    pushed = away.select(*state).withColumn("floor_step", F.col("step") + 1)
+    return held.unionByName(pushed).groupBy(*state).agg(F.max("floor_step").alias("floor_step"))
+
 
+def _turned_away(base: DataFrame, delta: DataFrame, moves: _Moves) -> DataFrame:
+    """Rows whose claimed name is claimed by an earlier row too, looked for among the names that the last round claimed.
 
-def _turned_away(claims: DataFrame) -> DataFrame:
-    """Rows whose claimed name is claimed by an earlier row too."""
-    named = claims.selectExpr(*ORDER, f"{_CLAIM} AS claim")
+    All other names were settled before: nobody has come to them since.
+    """
+    names = delta.selectExpr(f"{_CLAIM} AS claim").distinct()
+    latest = moves.latest()
+    state = [*ORDER, "__bucket", "base", "root", "step", "claim"]
+    still = base.selectExpr(*ORDER, "__bucket", "base", "root", "0L AS step", "base AS claim").join(names, "claim", "left_semi")
+    claimants = still.join(latest.select(*ORDER), ORDER, "left_anti").select(*state).unionByName(
+        latest.join(names, "claim", "left_semi").select(*state)
+    )
     contested = (
-        named.groupBy("claim")
+        claimants.groupBy("claim")
         .agg(F.min(F.expr(_POSITION)).alias("best"), F.count(F.lit(1)).alias("claimants"))
         .where("claimants > 1")
         .select("claim", "best")
     )
-    return named.join(contested, "claim").where(f"{_POSITION} > best").select(*ORDER)
+    return claimants.join(contested, "claim").where(f"{_POSITION} > best").select(*state[:-1])
 
 
 def _stored(spark, frame: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     path = scratch_path(spark, name)
     frame.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
-def resolve_skus(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``(url_ord, var_idx, base, unique_sku)`` for rows with the product-row key columns."""
+def _settled(rows: DataFrame, rows_per_bucket: int) -> tuple[DataFrame, DataFrame]:
+    """The claims of all rows, written once, and the rows that ended up with another name than their base.
+
+    A semi-naive loop: a round looks at the names that the round before claimed, moves rows in the lists of
+    those that were turned away, and writes what it moved.
+    """
     spark = rows.sparkSession
+    base = _stored(spark, sku_claims(rows, rows_per_bucket), "sku-claims")
+    moves = _Moves(spark)
     # repeats of a base are turned away by its first row: known without a look at the claims
-    base_claims = sku_claims(rows, rows_per_bucket).selectExpr("*", "0L AS step")
-    base_claims = _stored(spark, base_claims, "sku-claims")
-    claims = _stored(spark, _advance(base_claims, base_claims.where("n > 1")), "sku-round")
-    while True:
-        turned_away = _stored(spark, _turned_away(claims), "sku-away")
-        if turned_away.isEmpty():
-            return claims.selectExpr(*ORDER, "base", f"{_CLAIM} AS unique_sku")
-        claims = _stored(spark, _advance(claims, turned_away), "sku-round")
+    repeats = base.where("n > 1").selectExpr(*ORDER, "__bucket", "base", "root", "0L AS step", "1L AS floor_step")
+    delta = moves.add(_advanced(repeats))
+    while not delta.isEmpty():
+        away = _stored(spark, _turned_away(base, delta, moves), "sku-away")
+        if away.isEmpty():
+            break
+        delta = moves.add(_advanced(_touched_lists(away, moves)))
+    return base, moves.latest()
+
+
+def resolve_skus(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``(url_ord, var_idx, base, unique_sku)`` for rows with the product-row key columns."""
+    base, moved = _settled(rows, rows_per_bucket)
+    return base.select(*ORDER, "base").join(moved.select(*ORDER, "claim"), ORDER, "left").selectExpr(
+        *ORDER, "base", "coalesce(claim, base) AS unique_sku"
+    )
 
 
 def unique_skus(rows: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Product rows with unique ``seller_sku``; ``(url_ord, var_idx)`` must be a key of the rows.
 
     The rows are written once to the shared folder first, so that pages are not
-    read and cut again for every round; the rounds only carry names and positions,
-    and at the end only changed names meet the rows again.
+    read and cut again for every round; the rounds only write the rows that they move,
+    and at the end only these meet the rows again.
     """
     columns = rows.columns
     stored = _stored(rows.sparkSession, rows, "product-rows")
     if not stored.groupBy(*ORDER).count().where("count > 1").isEmpty():
         raise ValueError("url_ord and var_idx must tell the product rows apart")
-    changed = resolve_skus(stored, rows_per_bucket).where("unique_sku <> base").select(*ORDER, "unique_sku")
+    changed = _settled(stored, rows_per_bucket)[1].selectExpr(*ORDER, "claim AS unique_sku")
     named = stored.join(changed, ORDER, "left").withColumn("seller_sku", F.coalesce("unique_sku", F.expr(sku_base())))
     return named.select(*columns)

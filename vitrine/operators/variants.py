@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from vitrine import fixed
 from vitrine.functions.content import find_size, variant_type
-from vitrine.functions.sqltext import each, first, first_filled, keep, let, lit, missing
+from vitrine.functions.sqltext import bind, each, first, first_filled, keep, leading, let, lit, missing
 from vitrine.functions.text import clean_text, json_object, title_case, unescape, unique_filled
 from vitrine.functions.urls import is_shop_furniture, normalize_image_url
 from vitrine.operators.facts import maybe_product_pages, product_facts
@@ -68,17 +68,41 @@ def option_tables(form: str = "form") -> str:
     return each(selects, table)
 
 
-def attribute_pairs(attributes: str, tables: str = "tables") -> str:
-    """``array<struct(type, value)>`` for the attributes of one variation, in their order."""
+def label_index(tables: str = "tables") -> str:
+    """``array<struct<key, place, label>>`` of a page's labels, sorted: of an attribute by its name, of an option by name and slug."""
+    none = "CAST(array() AS ARRAY<STRUCT<key: STRING, place: INT, label: STRING>>)"
+
+    def entry(key: str, label: str) -> str:
+        return f"named_struct('key', {key}, 'place', 0, 'label', {label})"
+
+    def of_table(t: str) -> str:
+        options = each(f"{t}.options", lambda o: entry(f"{_option_key(f'{t}.attribute', f'{o}.slug')}", f"{o}.label"))
+        return f"concat(array({entry(f'{t}.attribute', f'{t}.label')}), {options})"
+
+    # of tables with one name the last one counts whole, so options of the ones before must not be found
+    last = bind(tables, lambda all_: f"filter({all_}, (t, i) -> NOT exists(slice({all_}, i + 2, size({all_})), u -> u.attribute = t.attribute))")
+    listed = f"flatten({each(last, of_table)})"
+    return f"coalesce(sort_array(transform({listed}, (e, i) -> named_struct('key', e.key, 'place', i, 'label', e.label))), {none})"
+
+
+def _option_key(attribute: str, slug: str) -> str:
+    return f"concat({attribute}, chr(0), {slug})"
 
-    def table_of(name: str) -> str:
-        return f"try_element_at({keep(tables, lambda t: f'{t}.attribute = {name}')}, -1)"
+
+def label_of(key: str, index: str) -> str:
+    """Label of the last entry of the key by bisection, NULL without one; ``index`` is a name."""
+    until = leading(index, lambda e: f"{e}.key <= {key}")
+    return let(until, lambda n: f"CASE WHEN {n} > 0 AND {index}[{n} - 1].key = {key} THEN {index}[{n} - 1].label END")
+
+
+def attribute_pairs(attributes: str, index: str = "labels") -> str:
+    """``array<struct(type, value)>`` for the attributes of one variation, in their order."""
 
     def labelled(e: str) -> str:
         plain = f"replace(replace(replace({e}.key, 'attribute_pa_', ''), 'attribute_', ''), '_', ' ')"
-        label = first_filled(f"{table_of(f'{e}.key')}.label", title_case(plain))
-        listed = f"try_element_at({keep(f'{table_of(f'{e}.key')}.options', lambda o: f'{o}.slug = {e}.value')}, -1)"
-        value = first_filled(f"{listed}.label", clean_text(f"replace({e}.value, '-', ' ')"))
+        label = first_filled(let(f"{e}.key", lambda k: label_of(k, index)), title_case(plain))
+        listed = let(_option_key(f"{e}.key", f"{e}.value"), lambda k: label_of(k, index))
+        value = first_filled(listed, clean_text(f"replace({e}.value, '-', ' ')"))
         return f"named_struct('label', {label}, 'value', {value})"
 
     return each(
@@ -97,14 +121,14 @@ def with_variations(facts: DataFrame) -> DataFrame:
     )
     tabled = parsed.selectExpr("*", f"CASE WHEN size(raw_variations) > 0 THEN {option_tables()} END AS tables")
     keep_columns = [f"`{c}`" for c in facts.columns if c not in ("nodes", "elems")]
-    pairs = attribute_pairs("v.attributes")
-    return tabled.selectExpr(
-        *keep_columns,
-        f"""transform(raw_variations, (v, i) -> named_struct('idx', i + 1, 'variation', v,
+    pairs = attribute_pairs("v.attributes", "labels")
+    variations = f"""transform(raw_variations, (v, i) -> named_struct('idx', i + 1, 'variation', v,
             'attributes', coalesce(map_entries(v.attributes), array()),
             'pairs', coalesce({missing_pairs(pairs)}, array(named_struct('type', {lit(fixed.TYPE_OTHER)},
-                'value', CAST(i + 1 AS STRING)))))) AS variations""",
-    )
+                'value', CAST(i + 1 AS STRING))))))"""
+    # bound once a page: as a column the optimizer might sort the labels anew for every attribute
+    indexed = f"aggregate(CAST(array() AS ARRAY<INT>), {label_index()}, (a, i) -> a, labels -> {variations})"
+    return tabled.selectExpr(*keep_columns, f"{indexed} AS variations")
 
 
 def missing_pairs(pairs: str) -> str:
@@ -180,14 +204,16 @@ def _simple_row() -> str:
     )
 
 
-def product_rows(pages: DataFrame, shop: Shop, order: str = "page_id") -> DataFrame:
+def product_rows(pages: DataFrame, shop: Shop, order: str = "page_id", absolute: bool = False) -> DataFrame:
     """Pages to product rows, one per sellable item, with ``(url_ord, var_idx)`` as their order.
 
+    ``absolute``: the pages' addresses are normalized already.
+
     One narrow stage from scan to rows: a page's rows are built as an array in its
     own row and then unfolded, variable and simple products alike.
     """
     candidates = maybe_product_pages(pages).selectExpr(f"CAST({order} AS BIGINT) AS url_ord", "url", "html")
-    facts = with_variations(product_facts(candidates, shop))
+    facts = with_variations(product_facts(candidates, shop, absolute))
     ready = facts.selectExpr("*", "array_join(categories, ' | ') AS category", f"{find_size('title')} AS size")
     variable = f"transform(variations, v -> {_variable_row(shop)})"
     rows = f"CASE WHEN size(variations) > 0 THEN {variable} ELSE array({_simple_row()}) END"

@@ -175,6 +175,12 @@ _PATH = r"trim(regexp_extract({u}, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/')"
 _HOST = r"regexp_extract({u}, '^[a-z]+://([^/?#]*)', 1)"
 _BAD_PATHS = "|".join(fixed.NON_PRODUCT_PATH_PARTS)
 
+def _picked(test: str) -> str:
+    """Feed columns of the exportable rows that pass a test."""
+    rows = _feed("picked", f", picked AS (SELECT * FROM product_rows WHERE images <> '' AND {test})")
+    return f"SELECT listing_id, seller_sku, item_name, map_price FROM ({rows})"
+
+
 ORACLES: dict[str, str] = {
     "page_scan": "SELECT page_id, url, length(html) AS html_chars FROM pages",
     "sitemap_locs": """SELECT 'https://shop.example/product-sitemap' || (page_id // 1000) || '.xml' AS url,
@@ -324,4 +330,11 @@ ORACLES: dict[str, str] = {
     "site_feed": _feed("exported", f""", exported AS (SELECT * FROM product_rows WHERE images <> '')"""),
     "unique_skus_colliding": """SELECT p_partkey, 'b' || (p_partkey // 4) || CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN '-x'
           WHEN 2 THEN '-x-x' ELSE '-x-2' END AS seller_sku FROM part""",
+    "html_files": """SELECT page_id, row_number() OVER (ORDER BY CAST(page_id AS VARCHAR) || '/') - 1 AS place, md5(html) AS html_md5 FROM pages""",
+    "feed_in_order": f"""SELECT row_no, listing_id, seller_sku, product_url AS reference_link, main_image_url FROM (
+        WITH {ROWS} {UNIQUE.format(rows="product_rows", suffix=_SUFFIX.format(v="variation_variant_1"))}
+        SELECT *, row_number() OVER (ORDER BY url_ord, var_idx) - 1 AS row_no, nullif(string_split(images, ' | ')[1], '') AS main_image_url FROM uniquely)""",
+    "single_product_feed": _picked("url_ord = (SELECT min(p_partkey) FROM part WHERE p_partkey % 20 = 5)"),
+    "category_feed": _picked("url_ord % 10 + 10 * (url_ord // 2000) = 5"),
+    "sitemap_feed": _picked("url_ord // 1000 = 0"),
 }

@@ -18,10 +18,10 @@ from vitrine.functions.urls import (
     slug_from_url,
 )
 from vitrine.operators import discovery, export, facts, skus, variants
-from vitrine.operators.nodes import attr, element_scopes, elements, inside, node_text, with_nodes
+from vitrine.operators.nodes import attr, element_scopes, elements, keep_inside, node_text, with_nodes
 from vitrine.plans import jobs, render
 from vitrine.session import scratch_path
-from vitrine.sources.pages import read_pages, read_raw_csv
+from vitrine.sources.pages import read_addresses, read_html_files, read_pages, read_raw_csv
 
 SHOP = render.SHOP
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def _pages(spark: SparkSession, sf: str) -> DataFrame:
     return read_pages(spark, f"{sf}/pages.parquet", spark.sparkContext.defaultParallelism)
 
 
+def _addresses(spark: SparkSession, sf: str) -> DataFrame:
+    return read_addresses(spark, f"{sf}/pages.parquet")
+
+
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -63,25 +67,25 @@ def _single_fact(name: str) -> Query:
 
 @query
 def page_scan(spark, sf):
-    return _pages(spark, sf).selectExpr("page_id", "url", "length(html) AS html_chars")
+    return read_pages(spark, f"{sf}/pages.parquet").selectExpr("page_id", "url", "length(html) AS html_chars")
 
 
 @query
 def sitemap_locs(spark, sf):
-    places = _pages(spark, sf).selectExpr("page_id AS place", "url")
+    places = _addresses(spark, sf).selectExpr("page_id AS place", "url")
     return discovery.sitemap_locs(render.sitemap_bodies(places, "https://shop.example/product-sitemap"))
 
 
 @query
 def sitemap_children(spark, sf):
-    places = _pages(spark, sf).selectExpr("page_id AS place", "url")
+    places = _addresses(spark, sf).selectExpr("page_id AS place", "url")
     index = render.sitemap_index(places, "https://shop.example/product-sitemap", "https://shop.example/sitemap_index.xml")
     return discovery.sitemap_locs(index).where(discovery.is_product_sitemap("loc")).select("loc")
 
 
 @query
 def api_links(spark, sf):
-    places = _pages(spark, sf).selectExpr("page_id AS place", "url")
+    places = _addresses(spark, sf).selectExpr("page_id AS place", "url")
     return discovery.api_links(render.api_bodies(places))
 
 
@@ -102,6 +106,18 @@ def raw_csv_roundtrip(spark, sf):
     return export.raw_export(read_raw_csv(spark, path))
 
 
+@query
+def html_files(spark, sf):
+    """The pages written as a file each and read back, numbered in path order."""
+    path = scratch_path(spark, "html-files")
+    _pages(spark, sf).select("page_id", "html").write.partitionBy("page_id").text(path)
+    files = read_html_files(spark, path)
+    return files.selectExpr(
+        "CAST(regexp_extract(url, 'page_id=([0-9]+)', 1) AS BIGINT) AS page_id", "page_id AS place",
+        "md5(regexp_replace(html, '\\n$', '')) AS html_md5",
+    )
+
+
 # --- sinks -------------------------------------------------------------------
 
 
@@ -115,6 +131,12 @@ def feed_export(spark, sf):
     return jobs.page_feed(render.product_pages(spark, sf), SHOP)
 
 
+@query
+def feed_in_order(spark, sf):
+    shown = ["row_no", "listing_id", "seller_sku", "reference_link", "main_image_url"]
+    return export.feed_in_order(skus.unique_skus(_rendered_rows(spark, sf))).select(*shown)
+
+
 # --- page facts ----------------------------------------------------------------
 
 
@@ -153,7 +175,7 @@ QUERIES["page_availability"] = _single_fact("availability")
 
 @query
 def url_slug(spark, sf):
-    return _pages(spark, sf).selectExpr("page_id", f"{slug_from_url('url')} AS slug")
+    return _addresses(spark, sf).selectExpr("page_id", f"{slug_from_url('url')} AS slug")
 
 
 @query
@@ -223,7 +245,7 @@ def product_pages(spark, sf):
 @query
 def product_urls(spark, sf):
     flat = "regexp_replace(url, '/(en|de)/', '/')"
-    return _pages(spark, sf).selectExpr(
+    return _addresses(spark, sf).selectExpr(
         "page_id", f"{flat} AS flat_url", f"{is_probable_product_url(flat, 'example.com')} AS is_probable"
     )
 
@@ -289,14 +311,14 @@ def image_filter(spark, sf):
 
 def _listed(spark, sf):
     """Page addresses as a URL list, every third one without a stored page."""
-    return _pages(spark, sf).selectExpr(
+    return _addresses(spark, sf).selectExpr(
         "CASE WHEN page_id % 3 = 2 THEN concat(url, '-gone') ELSE url END AS url", "page_id AS position"
     )
 
 
 @query
 def url_page_join(spark, sf):
-    pages = _pages(spark, sf)  # every second address is stored twice
+    pages = read_pages(spark, f"{sf}/pages.parquet")  # every second address is stored twice
     again = pages.where("page_id % 2 = 0").selectExpr("page_id + 1000000000 AS page_id", "url", "'' AS html")
     joined = jobs.fetched(_listed(spark, sf), pages.unionByName(again), SHOP)
     return joined.selectExpr("position", "url", "length(html) AS html_chars")
@@ -304,16 +326,13 @@ def url_page_join(spark, sf):
 
 @query
 def url_page_rejects(spark, sf):
-    return jobs.not_fetched(_listed(spark, sf), _pages(spark, sf), SHOP)
+    return jobs.not_fetched(_listed(spark, sf), _addresses(spark, sf), SHOP)
 
 
 @query
 def scoped_nodes(spark, sf):
     noded = with_nodes(_pages(spark, sf)).selectExpr("page_id", "nodes", f"{elements('nodes')} AS elems")
-    links = let(
-        keep("elems", lambda e: f"{e}.tag = 'nav'"),
-        lambda s: keep("elems", lambda e: f"{e}.tag = 'a' AND {inside(e, s)}"),
-    )
+    links = keep_inside("elems", keep("elems", lambda e: f"{e}.tag = 'nav'"), lambda e: f"{e}.tag = 'a'")
     shown = each(
         links,
         lambda a: f"named_struct('href', {attr(a, 'href')}, 'text', {clean_text(node_text('nodes', a), decode=0)})",
@@ -328,7 +347,7 @@ def scoped_nodes(spark, sf):
 
 @query
 def url_dedupe(spark, sf):
-    pages = _pages(spark, sf)
+    pages = _addresses(spark, sf)
     doubled = pages.selectExpr("concat(' ', url) AS url", "page_id + 1000000000 AS position").unionByName(
         pages.selectExpr("url", "page_id AS position")
     )
@@ -353,8 +372,12 @@ def first_node(spark, sf):
 
 @query
 def run_counts(spark, sf):
+    """Counts of a run that writes feed and raw export, each address listed twice."""
     pages = render.product_pages(spark, sf)
-    return export.run_counts(pages.select("url"), jobs.exportable(variants.product_rows(pages, SHOP)))
+    counts = jobs.export_site(
+        _twice_listed(pages), pages, SHOP, scratch_path(spark, "feed"), scratch_path(spark, "raw")
+    )
+    return spark.createDataFrame([(counts.urls_found, counts.rows_exported)], "urls_found bigint, rows_exported bigint")
 
 
 def _sku_input(spark, sf):
@@ -391,7 +414,7 @@ def node_scopes(spark, sf):
 
 @query
 def url_limit(spark, sf):
-    urls = _pages(spark, sf).selectExpr("url", "page_id AS position")
+    urls = _addresses(spark, sf).selectExpr("url", "page_id AS position")
     return discovery.limited(urls, 100)
 
 
@@ -404,7 +427,7 @@ def text_truncate(spark, sf):
 
 
 def _some(spark, sf, test):
-    return _pages(spark, sf).where(test).selectExpr("url", "page_id AS position")
+    return _addresses(spark, sf).where(test).selectExpr("url", "page_id AS position")
 
 
 @query
@@ -427,7 +450,7 @@ def next_page_chain(spark, sf):
     """Pages of one host point to the next page of the host, the last one back to the first."""
     from pyspark.sql import Window
 
-    hosted = _pages(spark, sf).selectExpr("page_id", "regexp_extract(url, '^(https?://[^/]+)', 1) AS host")
+    hosted = _addresses(spark, sf).selectExpr("page_id", "regexp_extract(url, '^(https?://[^/]+)', 1) AS host")
     # blocks of page ids keep the windows below small on any host
     block = Window.partitionBy("host", F.expr("page_id DIV 100000")).orderBy("page_id")
     chained = hosted.select(
@@ -575,3 +598,31 @@ def all_site_urls(spark, sf):
         bodies, render.api_bodies(urls), render.home_pages(spark, sf), render.listing_pages(spark, sf), SHOP
     )
     return discovery.densely_numbered(found).selectExpr("url", "position AS place")
+
+
+def _mode_rows(spark, sf, mode, url):
+    """A run from one address; stored pages have the addresses that listings and sitemaps name."""
+    urls = _urls_of(render.parts(spark, sf).selectExpr("k AS page_id", "url"))
+    prefix = "https://shop.example/product-sitemap-part"
+    sources = jobs.Sources(
+        render.sitemap_bodies(urls, prefix), render.api_bodies(urls), render.home_pages(spark, sf), render.listing_pages(spark, sf)
+    )
+    pages = render.product_pages(spark, sf).selectExpr("page_id", "regexp_extract(url, '^([^?]*)', 1) AS url", "html")
+    return jobs.mode_feed(mode, url, sources, pages, SHOP).selectExpr("listing_id", "seller_sku", "item_name", "map_price")
+
+
+@query
+def single_product_feed(spark, sf):
+    """The product with the smallest number that has variations."""
+    url = render.parts(spark, sf).where("k % 20 = 5").orderBy("k").first()["url"]
+    return _mode_rows(spark, sf, "single_product", url)
+
+
+@query
+def category_feed(spark, sf):
+    return _mode_rows(spark, sf, "category", "https://shop.example/cat/c5/0/")
+
+
+@query
+def sitemap_feed(spark, sf):
+    return _mode_rows(spark, sf, "sitemap", "https://shop.example/product-sitemap-part0.xml")
