@@ -49,15 +49,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
+def scratch_mark() -> int:
+    """How many folders this process has written; ``clear_scratch`` deletes those after a mark."""
+    return len(_written)
+
+
+def clear_scratch(spark: SparkSession, since: int = 0, kept: int = 0) -> int:
     """Delete what operators of this process left in the shared folder; returns the number of folders.
 
-    Call it once their results are written: lazy results still read these folders.
+    Only folders written after the mark ``since``, and not the last ``kept`` of them.  Call it once the
+    results are written: lazy results still read these folders.
     """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     configuration = spark.sparkContext._jsc.hadoopConfiguration()
     gone = 0
-    while _written:
-        path = hadoop.Path(_written.pop())
+    end = len(_written) - kept
+    for written in _written[since:end]:
+        path = hadoop.Path(written)
         gone += path.getFileSystem(configuration).delete(path, True)
+    del _written[since:end]
     return gone
