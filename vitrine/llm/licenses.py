@@ -17,8 +17,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.functions.sqltext import bind
 from vitrine.llm.common import GAP, LOWER, UPPER
-from vitrine.llm.spans import literal, matches
+from vitrine.llm.spans import holds, literal, matches
 
 #: Base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -156,18 +157,22 @@ def scanned(docs: DataFrame, keep: list[str], licenses: tuple[License, ...] = LI
     table = "array(" + ", ".join(f"named_struct('rank', {i}, 'label', '{r.label}', 'keywords', array({', '.join(map(literal, r.keyword.split('|')))}), 'pattern', {literal(r.pattern)}, 'score', {r.score}D)" for i, r in enumerate(ordered)) + ")"
     label = "case " + " ".join(f"when {literal(p)} = lower(regexp_replace(m.value, {literal(f'{RAW_GAP}++')}, ' ')) then '{k}'" for p, k in BASE.items()) + " end"
     # A place's word start: words before it, counted gap by gap, as a match never cuts a word.
-    places = f"transform({matches('text', BASE_PATTERN)}, m -> named_struct('start', cast({word_count('substring(text, 1, cast(m.start as int))')} as bigint), 'label', {label}))"
+    places = f"transform({matches('text', BASE_PATTERN, count=word_count)}, m -> named_struct('start', m.before, 'label', {label}))"
     norm = f"concat(' ', array_join(array_remove(split(translate(text, '{UPPER}', '{LOWER}'), {literal(f'{GAP}++')}, -1), ''), ' '), ' ')"
     one = matches("norm", "r.pattern").replace(literal("r.pattern"), "r.pattern")
-    hits = f"""flatten(transform(filter({table}, r -> exists(r.keywords, k -> contains(norm, concat(' ', k)) or contains(norm, concat(k, ' ')))),
-        r -> transform({one}, m -> named_struct('rank', r.rank, 'from', m.start, 'to', m.end, 'label', r.label, 'score', r.score))))"""
+    by_rule = f"""filter(transform(filter({table}, r -> exists(r.keywords, k -> contains(norm, concat(' ', k)) or contains(norm, concat(k, ' ')))),
+        r -> named_struct('rank', r.rank, 'label', r.label, 'score', r.score, 'spans', {one})), r -> size(r.spans) > 0)"""
     none = "array<struct<rank: int, from: bigint, to: bigint, label: string, score: double>>"
-    kept = f"""aggregate(array_sort(hits, (a, b) -> case when a.rank <> b.rank then a.rank - b.rank when a.to - a.from <> b.to - b.from then cast(b.to - b.from - a.to + a.from as int)
-          when a.from < b.from then -1 when a.from > b.from then 1 else 0 end), cast(array() as {none}),
-        (acc, h) -> if(exists(acc, k -> k.from <= h.from and h.to <= k.to), acc, concat(acc, array(h))))"""
+
+    # Whatever lies in a suppressed detection lies in the one that suppressed it, so all earlier rules' detections count alike.
+    def kept(found: str) -> str:
+        inside = f"exists(slice({found}, 1, i), q -> {holds('q.spans', 'h.start', 'h.end')})"
+        shown = "named_struct('rank', r.rank, 'from', h.start, 'to', h.end, 'label', r.label, 'score', r.score)"
+        return f"flatten(transform({found}, (r, i) -> transform(filter(r.spans, h -> not {inside}), h -> {shown})))"
+
     text = docs.select(F.struct(*keep).alias("kept"), F.coalesce("text", F.lit("")).alias("text"))
     counted = text.selectExpr("kept", f"cast({word_count('text')} as bigint) as n_words", f"{places} as places", f"if(text rlike {literal(gate)}, {norm}, null) as norm")
-    return counted.selectExpr("kept", "n_words", "places", f"if(norm is null, cast(array() as {none}), {hits}) as hits").selectExpr("kept", "n_words", "places", f"{kept} as detections")
+    return counted.selectExpr("kept", "n_words", "places", f"if(norm is null, cast(array() as {none}), {bind(by_rule, kept)}) as detections")
 
 
 def licenses(docs: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 """Personal data by bootstrapped contextual extraction.
 
 Four base kinds (mail addresses, IPv4 addresses, payment cards, phone numbers) are found by patterns and
-checks. They seed a graph of contexts (the two letter words before an identifier) and identifiers: a context
-is as sure as the share of its documents in which an accepted identifier follows it, an identifier is as
+checks. They seed a graph of contexts (the two letter words before an identifier, and the two behind it) and identifiers: a context
+is as sure as the share of its documents in which an accepted identifier stands there, an identifier is as
 sure as its contexts make it, and both are rescored for a few rounds. Unseen identifiers (tokens with four
 or more digits) in contexts that end up sure become spans of kind ``context``. Base spans always stay.
 
-Everything is DataFrame and SQL. Contexts are counted over whole texts, in blocks of ``block`` contexts.
+Everything is DataFrame and SQL. Contexts are counted over whole texts in one pass: the distinct word pairs of a text meet
+the written contexts, after a bitmap of these of fixed size has left out nearly all other pairs. Texts are cut into
+pieces once, so contexts and replacements cost the same anywhere in a long text.
 
 Cases: null text is empty. A span that overlaps a base span is never added. Repeated rows and documents
 that share or lack a ``doc_id`` are judged each: a row is known by a key that is written with it. Empty
@@ -15,13 +17,13 @@ tables give no rows. Further columns are not read by ``pii``; ``masked`` returns
 
 from __future__ import annotations
 
-from itertools import batched
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.functions.sqltext import let
 from vitrine.llm.common import stage
-from vitrine.llm.spans import joined, literal, matches, of_kind
+from vitrine.llm.spans import PIECE, cut, joined, literal, matches, meets, merged, of_kind, pieces
+from vitrine.operators.lookup import maybe_listed
 
 #: The base kinds in their order. The patterns find the same matches as the stated ones, without
 #: trying the inside of a run again: a match begins at a run's start or where the last match ended.
@@ -67,44 +69,53 @@ def words(text: str) -> str:
     return f"split(lower({text}), {literal(r'[^\p{L}]+')})"
 
 
-def context(text: str, start: str) -> str:
-    """SQL: the last two letter words in the ``NEAR`` characters before ``start``; null with fewer."""
-    left = f"filter({words(f'substring({text}, greatest(cast({start} as int) - {NEAR}, 0) + 1, least(cast({start} as int), {NEAR}))')}, w -> w <> '')"
-    return f"transform(array({left}), w -> if(size(w) >= 2, concat(w[size(w) - 2], ' ', w[size(w) - 1]), null))[0]"
+def contexts(parts: str, start: str, end: str) -> str:
+    """SQL for array<string>: the last two letter words in the ``NEAR`` characters before ``start``, and the first two behind ``end``."""
+
+    def pair(piece: str, side: str, at: str) -> str:
+        return let(f"filter({words(piece)}, w -> w <> '')", lambda w: f"if(size({w}) >= 2, concat('{side} ', {at.format(w=w)}), null)")
+
+    left = pair(cut(parts, f"greatest({start} - {NEAR}, 0L)", start), "<", "{w}[size({w}) - 2], ' ', {w}[size({w}) - 1]")
+    right = pair(cut(parts, end, f"{end} + {NEAR}"), ">", "{w}[0], ' ', {w}[1]")
+    return f"filter(array({left}, {right}), c -> c is not null)"
 
 
 def occurrences(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """kept, row_key, base (kind, start, end) and seen: seeds and candidates with value and context."""
+    """kept, row_key, base (kind, start, end) and seen: seeds and candidates with value and contexts."""
     text = docs.select(F.struct(*keep).alias("kept"), F.coalesce("text", F.lit("")).alias("text"))
     found = text.selectExpr("kept", "text", *(f"{sql} as {kind}" for kind, sql in base_spans("text").items()))
     based = found.selectExpr("kept", "text", *KINDS, "concat(" + ", ".join(of_kind(k, k) for k in KINDS) + ") as base")
-    tokens = f"filter({matches('text', TOKEN, '[0-9][^ ]*[0-9]')}, c -> not exists(base, b -> c.start < b.end and b.start < c.end))"
-    seen = lambda spans, seed: f"transform({spans}, s -> named_struct('start', s.start, 'end', s.end, 'value', s.value, 'context', {context('text', 's.start')}, 'seed', {seed}))"
-    return based.selectExpr(
+    free = " or ".join(meets(k, "c.start", "c.end") for k in KINDS)
+    tokens = f"filter({matches('text', TOKEN, '[0-9][^ ]*[0-9]')}, c -> not ({free}))"
+    tokened = based.selectExpr("kept", "text", *KINDS, "base", f"{tokens} as tokens")
+    cutting = tokened.selectExpr("kept", *KINDS, "base", "tokens", f"if(size(base) + size(tokens) > 0, {pieces('text')}, cast(array() as array<string>)) as parts")
+    seen = lambda spans, seed: f"transform({spans}, s -> named_struct('start', s.start, 'end', s.end, 'value', s.value, 'contexts', {contexts('parts', 's.start', 's.end')}, 'seed', {seed}))"
+    return cutting.selectExpr(
         "kept", "monotonically_increasing_id() as row_key", "base",
-        f"concat({', '.join(seen(k, 'true') for k in KINDS)}, {seen(tokens, 'false')}) as seen",
+        f"concat({', '.join(seen(k, 'true') for k in KINDS)}, {seen('tokens', 'false')}) as seen",
     )
 
 
-def _context_documents(docs: DataFrame, contexts: DataFrame, block: int) -> DataFrame:
-    """(context, n): documents that hold the context at all; ``contexts`` are asked for block by block."""
-    out = docs.sparkSession.createDataFrame([], "context string, n bigint")
-    for names in batched((r["context"] for r in contexts.select("context").toLocalIterator()), block):
-        pairs = f"transform(array(filter({words('text')}, w -> w <> '')), w -> zip_with(slice(w, 1, greatest(size(w) - 1, 0)), slice(w, 2, greatest(size(w) - 1, 0)), (a, b) -> concat(a, ' ', b)))[0]"
-        own = docs.selectExpr(f"{pairs} as pairs").select(F.explode(F.array_distinct(F.filter("pairs", lambda p: p.isin(*names)))).alias("context"))
-        out = out.unionByName(own.groupBy("context").agg(F.count(F.lit(1)).alias("n")))
-    return out
+def _context_documents(docs: DataFrame, many: DataFrame) -> DataFrame:
+    """(context, n): documents that hold the words of the context at all, for every context of ``many``."""
+    listed = many.selectExpr("context", "substring(context, 3) as pair")
+    distinct = stage(listed.select("pair").distinct(), "pii-pairs")
+    pairs = let(f"filter({words('text')}, w -> w <> '')", lambda w: f"zip_with(slice({w}, 1, greatest(size({w}) - 1, 0)), slice({w}, 2, greatest(size({w}) - 1, 0)), (a, b) -> concat(a, ' ', b))")
+    held = docs.selectExpr(f"explode(array_distinct({pairs})) as pair").withColumn("_hash", F.xxhash64("pair"))
+    near = maybe_listed(held, distinct.select(F.xxhash64("pair").alias("_hash")), "_hash")
+    counted = near.join(distinct, "pair", "left_semi").groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
+    return listed.join(counted, "pair").select("context", "n")
 
 
-def sure_contexts(docs: DataFrame, seen: DataFrame, support: int = 3, least: float = 0.5, rounds: int = 3, block: int = 5_000) -> DataFrame:
+def sure_contexts(docs: DataFrame, seen: DataFrame, support: int = 3, least: float = 0.5, rounds: int = 3) -> DataFrame:
     """Contexts that end up with a score of ``least`` or more and ``support`` accepted identifiers."""
-    each = seen.select("row_key", F.inline("seen")).where(F.col("context").isNotNull())
+    each = seen.select("row_key", F.inline("seen")).select("row_key", "value", "seed", F.explode("contexts").alias("context"))
     edges = stage(
         each.groupBy("context", "value", "row_key").agg(F.max("seed").alias("seed"))
         .groupBy("context", "value").agg(F.count(F.lit(1)).alias("docs"), F.max("seed").alias("seed")), "pii-edges",
     )
     many = edges.groupBy("context").agg(F.count(F.lit(1)).alias("values")).where(F.col("values") >= support).select("context")
-    held = stage(_context_documents(docs, many, block), "pii-contexts")
+    held = stage(_context_documents(docs, stage(many, "pii-many")), "pii-contexts")
     graph = stage(edges.join(held, "context"), "pii-graph")
     trust = graph.groupBy("value").agg(F.max("seed").cast("double").alias("trust"))
     scores = None
@@ -125,7 +136,7 @@ def identified(docs: DataFrame, keep: list[str]) -> DataFrame:
     seen = stage(occurrences(docs, keep), "pii-seen")
     sure = sure_contexts(docs.select(F.coalesce("text", F.lit("")).alias("text")), seen)
     added = (
-        seen.select("row_key", F.inline("seen")).where("not seed").join(sure, "context")
+        seen.select("row_key", F.inline("seen")).where("not seed").select("row_key", "start", "end", F.explode("contexts").alias("context")).join(sure, "context")
         .groupBy("row_key").agg(F.array_sort(F.collect_set(F.struct(F.lit(ADDED).alias("kind"), "start", "end"))).alias("added"))
     )
     return seen.join(added, "row_key", "left").select(
@@ -147,12 +158,10 @@ def masked(docs: DataFrame) -> DataFrame:
     Overlapping spans are replaced together, under the first one's kind; ``n_chars`` follows the text.
     """
     columns = docs.columns
-    spans = "array_sort(transform(concat(base, added), s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind)))"
-    replaced = f"""transform(array(aggregate({spans}, named_struct('at', 0L, 'out', ''),
-        (acc, s) -> if(s.start < acc.at, named_struct('at', greatest(acc.at, s.end), 'out', acc.out),
-            named_struct('at', s.end, 'out', concat(acc.out, substring(kept.text, cast(acc.at + 1 as int), cast(s.start - acc.at as int)), '<', upper(s.kind), '>'))))),
-        z -> concat(z.out, substring(kept.text, cast(z.at + 1 as int))))[0]"""
-    text = f"if(kept.text is null or size(base) + size(added) = 0, kept.text, {replaced})"
-    out = identified(docs, columns).selectExpr("kept", f"{text} as masked")
+    found = identified(docs, columns).selectExpr("kept", f"{merged('concat(base, added)')} as spans")
+    cutting = found.selectExpr("kept", "spans", f"if(size(spans) > 0, {pieces('kept.text')}, null) as parts")
+    shown = f"flatten(transform(spans, (s, i) -> array({cut('parts', 'if(i = 0, 0L, spans[i - 1].end)', 's.start')}, concat('<', upper(s.kind), '>'))))"
+    tail = cut("parts", "spans[size(spans) - 1].end", f"cast(size(parts) as bigint) * {PIECE}")
+    out = cutting.selectExpr("kept", f"if(size(spans) = 0, kept.text, array_join(concat({shown}, array({tail})), '')) as masked")
     changed = {"text": "masked", "n_chars": "if(masked = kept.text, kept.n_chars, length(masked))"}
     return out.selectExpr(*(f"{changed.get(c, f'kept.`{c}`')} as `{c}`" for c in columns))
