@@ -18,6 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.llm.common import stage
 from vitrine.llm.spans import joined, literal, matches
 
 SPANS = "array<struct<kind: string, start: bigint, end: bigint>>"
@@ -57,24 +58,51 @@ def _scanned(rule: Rule) -> str:
     return f"transform({hits}, s -> named_struct('kind', '{rule.kind}', 'start', s.start, 'end', s.end))"
 
 
+#: Bits of the filter that picks the due rows where their texts stand; it bounds the broadcast, not the blobs.
+FILTER_BITS, WORD = 1 << 25, 64
+PLACE = "xxhash64(text, doc_id)"
+
+
 def with_blob(paths: DataFrame, keep: list[str]) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return paths.select(*([F.struct(*keep).alias("kept")] if keep else []), F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("text"))
+    """kept, blob and place of every path; no texts."""
+    whole = paths.selectExpr(f"struct({', '.join(f'`{c}`' for c in keep)}) as kept" if keep else "true as kept", "doc_id", "coalesce(text, '') as text")
+    return whole.selectExpr("kept", "sha2(cast(text as binary), 256) as blob", f"{PLACE} as place")
 
 
-def scan(paths: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
-    """New ledger rows: what the blobs of ``paths`` hold by rule versions that had not seen them."""
-    blobs = with_blob(paths, []).select("blob", "text").dropDuplicates(["blob"])
+def due_pairs(blobs: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None) -> DataFrame:
+    """blob, place (of one path that holds it) and due (rule kinds) of the blobs that some current rule version has not seen."""
+    first = blobs.groupBy("blob").agg(F.min("place").alias("place"))
+    every = ", ".join(f"'{r.kind}@{r.version}'" for r in rules)
     if ledger is None:
-        due = blobs.withColumn("known", F.expr("cast(array() as array<string>)"))
-    else:
-        known = ledger.groupBy("blob").agg(F.collect_set(F.concat_ws("@", "rule", F.col("version").cast("string"))).alias("known"))
-        due = blobs.join(known, "blob", "left").withColumn("known", F.expr("coalesce(known, cast(array() as array<string>))"))
-    each = ", ".join(
-        f"if(array_contains(known, '{r.kind}@{r.version}'), null, named_struct('rule', '{r.kind}', 'version', {r.version}, 'spans', {_scanned(r)}))"
-        for r in rules
-    )
-    return due.selectExpr("blob", f"inline(filter(array({each}), r -> r is not null))").select("blob", "rule", "version", "spans")
+        return first.selectExpr("blob", "place", f"array({every}) as due")
+    known = ledger.groupBy("blob").agg(F.collect_set(F.concat_ws("@", "rule", F.col("version").cast("string"))).alias("known"))
+    due = first.join(known, "blob", "left").selectExpr("blob", "place", f"array_except(array({every}), coalesce(known, cast(array() as array<string>))) as due")
+    return due.where("size(due) > 0")
+
+
+def _due_filter(due: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """(word, bits): per rule a bitmap of the places that are due for it; at most ``FILTER_BITS / WORD`` rows."""
+    hashed = due.selectExpr("due", f"pmod(xxhash64(place), {FILTER_BITS}L) as h").selectExpr("due", f"h div {WORD} as word", f"shiftleft(1L, cast(h % {WORD} as int)) as bit")
+    bits = ", ".join(f"bit_or(if(array_contains(due, '{r.kind}@{r.version}'), bit, 0L))" for r in rules)
+    return hashed.groupBy("word").agg(F.expr(f"array({bits})").alias("bits"))
+
+
+def scan(paths: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None, blobs: DataFrame | None = None) -> DataFrame:
+    """New ledger rows: what the blobs of ``paths`` hold by rule versions that had not seen them.
+
+    ``blobs`` is ``with_blob`` of the paths, if the caller has written it. One path per blob is chosen on slim rows;
+    its text is scanned where it is read, as a broadcast bitmap of fixed size tells there what is due.
+    A place that the bitmap takes for another's is scanned in vain, and its rows are left out at the end.
+    """
+    due = stage(due_pairs(with_blob(paths, []) if blobs is None else blobs, rules, ledger), "ledger-due")
+    whole = paths.selectExpr("doc_id", "coalesce(text, '') as text").selectExpr("text", f"{PLACE} as place", f"pmod(xxhash64({PLACE}), {FILTER_BITS}L) as h")
+    marked = whole.join(F.broadcast(_due_filter(due, rules)), F.expr(f"h div {WORD} = word"))
+    asked = [f"getbit(bits[{i}], cast(h % {WORD} as int)) = 1" for i in range(len(rules))]
+    each = ", ".join(f"if({a}, named_struct('rule', '{r.kind}', 'version', {r.version}, 'spans', {_scanned(r)}), null)" for r, a in zip(rules, asked, strict=True))
+    found_here = marked.where(" or ".join(asked)).selectExpr("sha2(cast(text as binary), 256) as blob", "place", f"inline(filter(array({each}), r -> r is not null))")
+    pairs = due.selectExpr("blob", "place", "explode(due) as pair")
+    new = found_here.withColumn("pair", F.concat_ws("@", "rule", F.col("version").cast("string"))).join(pairs, ["blob", "place", "pair"])
+    return new.dropDuplicates(["blob", "rule", "version"]).select("blob", "rule", "version", "spans")
 
 
 def found(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -86,21 +114,33 @@ def found(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return merged.selectExpr("blob", f"transform({by_start}, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end)) as spans")
 
 
-def findings(paths: DataFrame, ledger: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """kept, blob and spans of every path; the ledger must cover the paths' blobs."""
+def found_in(blobs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """kept, blob and spans of every path of ``with_blob``; the ledger must cover the paths' blobs."""
     return (
-        with_blob(paths, keep).select("kept", "blob").join(found(ledger, rules), "blob", "left")
+        blobs.select("kept", "blob").join(found(ledger, rules), "blob", "left")
         .selectExpr("kept", "blob", f"coalesce(spans, cast(array() as {SPANS})) as spans")
     )
 
 
-def secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every document."""
-    new = scan(docs, RULES, ledger)
-    whole = new if ledger is None else ledger.unionByName(new)
+def findings(paths: DataFrame, ledger: DataFrame, keep: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The same, of the paths themselves."""
+    return found_in(with_blob(paths, keep), ledger, rules)
+
+
+def secrets(docs: DataFrame, ledger: DataFrame | None = None, increments: int = 2) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every document.
+
+    The paths come in ``increments``, by a hash of their ids: each scans what the ledger, written after the one before, doesn't hold yet.
+    """
+    blobs = stage(with_blob(docs, ["doc_id"]), "ledger-paths")
+    turn = lambda column: F.pmod(F.xxhash64(column), F.lit(increments))
+    whole = ledger
+    for k in range(increments):
+        new = stage(scan(docs.where(turn("doc_id") == k), RULES, whole, blobs.where(turn("kept.doc_id") == k)), "ledger-new")
+        whole = new if whole is None else whole.unionByName(new)
     kinds = ", ".join(f"'{r.kind}'" for r in BASE)
     counts = [f"cast(size(filter(base, s -> s.kind = '{r.kind}')) as bigint) as n_{r.kind}" for r in BASE]
     return (
-        findings(docs, whole, ["doc_id"]).selectExpr("kept.doc_id as doc_id", "spans", f"filter(spans, s -> s.kind in ({kinds})) as base")
+        found_in(blobs, whole).selectExpr("kept.doc_id as doc_id", "spans", f"filter(spans, s -> s.kind in ({kinds})) as base")
         .selectExpr("doc_id", *counts, f"sha2({joined('base')}, 256) as base_sha256", f"{joined('spans')} as spans")
     )
