@@ -1,7 +1,7 @@
 import numpy as np
 from helpers import SF
 
-from vitrine.llm.nearest import nearest
+from vitrine.llm.nearest import Shard, nearest
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, score string, rank int"
 
@@ -65,5 +65,22 @@ def test_hard_rows(spark):
         (0, [1.0, 2.0]), (0, [1.0, 2.0]), (20, None), (40, []), (60, [0.0, 0.0]), (80, [nan, 1.0]), (100, [inf, 1.0]), (120, [None, 1.0]),
         (None, [1.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 0.0, 0.0]), (140, [0.0, 1.0, 0.0]), (160, [2.0, 2.0]), (160, [5.0, 5.0]),
     ]
-    assert found(spark, rows) == {0: [(160, 6.0), (1, 5.0)], 160: [(1, 8.0), (0, 6.0)], 140: [(2, 0.0)]}
+    got = {}
+    for r in nearest(frame(spark, rows)).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    # two vectors under id 160: each a candidate for the other, each with ranks of its own
+    assert {q: sorted(v) for q, v in got.items()} == {
+        0: [(1, 160, 15.0), (2, 160, 6.0), (3, 1, 5.0)], 140: [(1, 2, 0.0)],
+        160: [(1, 1, 20.0), (1, 160, 20.0), (2, 1, 8.0), (2, 160, 20.0), (3, 0, 6.0), (3, 0, 15.0)],
+    }
     assert found(spark, []) == {}
+
+
+def test_small_shards_ascend_to_the_root():
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((300, 16))
+    shard = Shard(np.arange(300), np.arange(300), x, 20, 128, 16, 0.5, 1024)
+    every = [np.sort(c).tolist() for c in shard.forest.candidates(x[:5], shard.enough)]
+    assert every == [list(range(300))] * 5
+    few = [len(c) for c in shard.forest.candidates(x[:5], 150)]
+    assert all(0 < n < 300 for n in few)

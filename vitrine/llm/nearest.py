@@ -6,16 +6,18 @@ trees ascend together, one bit at a time, until the prefix ranges hold enough ca
 scored with their true inner product in double precision, and Spark merges the shards' best.
 
 Largest inner product becomes smallest angle by one more component, which fills every indexed vector up to
-the shard's greatest norm and is zero for queries. Equal vectors are one entry of a shard, with the ids that
+the shard's greatest norm and is zero for queries. Equal vectors are one entry of a shard, with the rows that
 can be among the nearest: one more than the number of neighbours. The ascent stops at ``effort`` times the
-shard's entries, counted with repeats over trees, and at ``least`` entries anyway; nothing found is cut off.
+shard's entries, counted with repeats over trees; in a shard of up to ``least`` entries it goes on to the root, where
+every entry is a candidate. Nothing found is cut off.
 
-Queries go out in waves of ``wave`` rows, a broadcast each, so the query set may grow with the table.
+Queries go out in waves of ``wave`` rows, a broadcast each; a wave's results are written before the next one goes out,
+so the query set may grow with the table.
 
 Cases: vectors that are null, empty, all zero or hold null or non-finite components take no part, nor do
 rows without an id. A vector meets only vectors of its own length. Rows that repeat an id and a vector
-count once; of different vectors under one id, the smallest in array order counts. Ties go to the smaller
-id. Fewer candidates than neighbours are all returned. Empty tables give no rows. Further columns are not
+count once; different vectors under one id are rows of their own, each a candidate for the others, and each a query with its
+own ranks. Ties go to the smaller id. Fewer candidates than neighbours are all returned. Empty tables give no rows. Further columns are not
 read.
 """
 
@@ -32,9 +34,9 @@ from vitrine.llm.common import map_arrow, stage, union_all
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, embedding: one row per id."""
+    """vec_id, embedding and row, its key: one row per id and vector."""
     sound = F.exists("embedding", lambda x: x != 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(F.col("vec_id").isNotNull() & sound).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(F.col("vec_id").isNotNull() & sound).distinct().withColumn("row", F.xxhash64("vec_id", "embedding"))
 
 
 class Forest:
@@ -94,33 +96,33 @@ class Forest:
 class Shard:
     """Vectors of one length in an index shard."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, neighbours: int, trees: int, seed: int, effort: float, least: int):
-        order = np.argsort(ids, kind="stable")
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, x: np.ndarray, neighbours: int, trees: int, seed: int, effort: float, least: int):
+        order = np.lexsort((rows, ids))
         _, first, entry = np.unique(x[order], axis=0, return_index=True, return_inverse=True)
         self.x, self.neighbours = x[order][first], neighbours
         by_entry = np.argsort(entry, kind="stable")
         starts = np.searchsorted(entry[by_entry], np.arange(len(first) + 1))
-        self.ids = [ids[order][by_entry[a : min(b, a + neighbours + 1)]] for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        self.single = np.array([i[0] for i in self.ids]) if all(len(i) == 1 for i in self.ids) else None
-        self.enough = max(least, int(effort * len(self.x)))
-        self.forest = Forest(self.x, trees, seed) if len(self.x) > least else None
+        self.ids, self.rows = ids[order], rows[order]
+        self.held = [by_entry[a : min(b, a + neighbours + 1)] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        self.single = np.array([h[0] for h in self.held]) if all(len(h) == 1 for h in self.held) else None
+        self.enough = trees * len(self.x) if len(self.x) <= least else max(least, int(effort * len(self.x)))
+        self.forest = Forest(self.x, trees, seed)
 
     def search(self, own: np.ndarray, queries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Per query: ids and scores of the nearest found, its own id left out."""
-        every = np.arange(len(self.x))
-        found = self.forest.candidates(queries, self.enough) if self.forest else (every for _ in queries)
-        for me, q, entries in zip(own, queries, found, strict=True):
+        """Per query: ids and scores of the nearest found, its own row left out."""
+        for me, q, entries in zip(own, queries, self.forest.candidates(queries, self.enough), strict=True):
             scores = (self.x[entries] * q).sum(axis=1)
             if len(scores) > self.neighbours + 1:  # ties at the border stay in
                 border = np.partition(scores, -self.neighbours - 1)[-self.neighbours - 1]
                 entries, scores = entries[scores >= border], scores[scores >= border]
             if self.single is not None:
-                ids = self.single[entries]
+                places = self.single[entries]
             else:
-                held = [self.ids[e] for e in entries]
-                ids = np.concatenate(held) if held else np.zeros(0, dtype=np.int64)
+                held = [self.held[e] for e in entries]
+                places = np.concatenate(held) if held else np.zeros(0, dtype=np.int64)
                 scores = np.repeat(scores, [len(h) for h in held])
-            ids, scores = ids[ids != me], scores[ids != me]
+            other = self.rows[places] != me
+            ids, scores = self.ids[places[other]], scores[other]
             best = np.lexsort((ids, -scores))[: self.neighbours]
             yield ids[best], scores[best]
 
@@ -139,36 +141,41 @@ def nearest(vectors: DataFrame, every: int = 20, neighbours: int = 20, shard_row
     parts = []
     for k in range(waves):
         sent = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(waves)) == k).collect()
-        queries: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        queries: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for size in sorted({len(r["embedding"]) for r in sent}):
             own = [r for r in sent if len(r["embedding"]) == size]
-            queries[size] = (np.array([r["vec_id"] for r in own]), np.array([r["embedding"] for r in own]))
+            queries[size] = tuple(np.array([r[c] for r in own]) for c in ("vec_id", "row", "embedding"))
         shared = rows.sparkSession.sparkContext.broadcast(queries)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             held = [b for b in batches if b.num_rows]
             if not held:
                 return
-            ids = np.concatenate([b.column("vec_id").to_numpy() for b in held])
+            ids, keys = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("vec_id", "row"))
             sizes, flat = zip(*(_matrix(b.column("embedding")) for b in held), strict=True)
             sizes, flat = np.concatenate(sizes), np.concatenate(flat)
             starts = np.cumsum(sizes) - sizes
-            for size, (own, asked_for) in shared.value.items():
+            for size, (own, own_rows, asked_for) in shared.value.items():
                 mine = np.flatnonzero(sizes == size)
                 if not len(mine):
                     continue
                 x = flat[starts[mine][:, None] + np.arange(size)]
-                shard = Shard(ids[mine], x, neighbours, trees, size, effort, least)
+                shard = Shard(ids[mine], keys[mine], x, neighbours, trees, size, effort, least)
                 for first in range(0, len(own), 2048):
                     block = slice(first, first + 2048)
-                    found = list(shard.search(own[block], asked_for[block]))
+                    found = list(shard.search(own_rows[block], asked_for[block]))
+                    sizes_found = [len(f[0]) for f in found]
                     yield pa.RecordBatch.from_pydict({
-                        "query_id": pa.array(np.repeat(own[block], [len(f[0]) for f in found]), pa.int64()),
+                        "query_id": pa.array(np.repeat(own[block], sizes_found), pa.int64()),
+                        "query_row": pa.array(np.repeat(own_rows[block], sizes_found), pa.int64()),
                         "vec_id": pa.array(np.concatenate([f[0] for f in found]), pa.int64()),
                         "score": pa.array(np.concatenate([f[1] for f in found]), pa.float64()),
                     })
 
         dealt = rows.repartition(max(1, -(-counts["all"] // shard_rows)))
-        parts.append(map_arrow(dealt, run, "query_id long, vec_id long, score double"))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        found = map_arrow(dealt, run, "query_id long, query_row long, vec_id long, score double")
+        parts.append(found if waves == 1 else stage(found, "nearest-wave"))
+        if waves > 1:
+            shared.unpersist()
+    place = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id"))
     return union_all(parts).withColumn("rank", place).where(F.col("rank") <= neighbours).select("query_id", "rank", "vec_id", "score")
