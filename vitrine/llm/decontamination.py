@@ -10,8 +10,8 @@ A word that no item holds cannot lie in an occurrence, nor can a run of item wor
 the shortest window. Such words are left out before indexing and equal runs are indexed once; this loses
 no occurrence.
 
-Items are read in blocks of about ``block_bytes`` of text, each a broadcast of that size; every block
-makes its own pass over the documents, so the size of the benchmark is not limited by memory.
+Items are read in blocks of about ``block_bytes`` of text, each a broadcast of that size. Of several blocks one is held at a
+time: its hits are written before the next one is read, so the size of the benchmark is not limited by memory.
 
 Cases: null or wordless texts have no words and are never contaminated; null or wordless items have no
 window. Null item ids are named by the empty string. Repeated items with one id count once in
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import byte_table, map_arrow, texts_of, with_kept
+from vitrine.llm.common import byte_table, map_arrow, stage, texts_of, union_all, with_kept
 
 WINDOW = 13
 SAMPLED = 8
@@ -214,55 +214,75 @@ def shard_hits(texts: list[bytes | None], phrases: Phrases) -> list[tuple[int, l
     return out
 
 
-def blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Phrases]:
-    """The items, dealt by a hash into blocks of about ``block_bytes`` of text."""
+def blocks(benchmark: DataFrame, block_bytes: int) -> tuple[int, Iterator[Phrases]]:
+    """The items, dealt by a hash into blocks of about ``block_bytes`` of text: their number, and one after the other."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("binary").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // block_bytes) or 1
-    for k in range(count):
-        own = items if count == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k)
-        yield Phrases([(r["item"], bytes(r["text"]) if r["text"] is not None else None) for r in own.collect()])
 
+    def each() -> Iterator[Phrases]:
+        for k in range(count):
+            own = items if count == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k)
+            yield Phrases([(r["item"], bytes(r["text"]) if r["text"] is not None else None) for r in own.collect()])
 
-def _pass(docs: DataFrame, phrases: Phrases) -> DataFrame:
-    """Adds a block's spans and items to those of earlier blocks."""
+    return count, each()
+
+
+HITS = "n_words long, spans array<struct<start: long, end: long>>, items array<string>"
+
+
+def _pass(docs: DataFrame, phrases: Phrases, only_hits: bool = False) -> DataFrame:
+    """``kept`` with the spans and items of a block; with ``only_hits`` only of rows that have any."""
     shared = docs.sparkSession.sparkContext.broadcast(phrases)
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch).cast(pa.binary()).to_pylist()
-            spans, items = batch.column("spans").to_pylist(), batch.column("items").to_pylist()
-            words: list[int] = []
+            found: list[tuple[int, list[tuple[int, int]], list[str]]] = []
             first = 0
             while first < len(texts):
                 end, size = first, 0
                 while end < len(texts) and (end == first or size < SHARD_BYTES):
                     size += len(texts[end] or b"")
                     end += 1
-                for k, (n, new, names) in enumerate(shard_hits(texts[first:end], shared.value), first):
-                    words.append(n)
-                    spans[k] = [*spans[k], *({"start": a, "end": b} for a, b in new)]
-                    items[k] = [*items[k], *names]
+                found += shard_hits(texts[first:end], shared.value)
                 first = end
-            shown = [c for c in ("kept", "text") if c in batch.schema.names]
+            kept = batch.column("kept")
+            if only_hits:
+                rows = [i for i, (_, spans, _) in enumerate(found) if spans]
+                found, kept = [found[i] for i in rows], kept.take(pa.array(rows, pa.int64()))
+            spans = [[{"start": a, "end": b} for a, b in s] for _, s, _ in found]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in shown), pa.array(words, pa.int64()), pa.array(spans, spans_type), pa.array(items, pa.list_(pa.string()))],
-                names=[*shown, "n_words", "spans", "items"],
+                [kept, pa.array([n for n, _, _ in found], pa.int64()), pa.array(spans, spans_type), pa.array([i for _, _, i in found], pa.list_(pa.string()))],
+                names=["kept", "n_words", "spans", "items"],
             )
 
-    return map_arrow(docs, run, docs.schema)
+    fields = docs.sparkSession.createDataFrame([], HITS).schema.fields
+    schema = docs.select("kept").schema
+    for f in fields:
+        schema = schema.add(f)
+    return map_arrow(docs, run, schema)
+
+
+def _by_blocks(docs: DataFrame, keep: list[str], each: Iterator[Phrases]) -> DataFrame:
+    """Like ``_pass`` for any number of blocks: one is held at a time, its hits are written before the next one is read."""
+    numbered = stage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("own"), "text"), "decontamination-texts")
+    texts = numbered.select(F.struct("row").alias("kept"), "text")
+    hits = [stage(_pass(texts, phrases, only_hits=True).select("kept.row", "spans", "items"), "decontamination-hits") for phrases in each]
+    by_row = union_all(hits).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    words = _pass(texts, Phrases([])).select("kept.row", "n_words")
+    spans, items = (f"coalesce({c}, cast(array() as {t})) as {c}" for c, t in (("spans", "array<struct<start: bigint, end: bigint>>"), ("items", "array<string>")))
+    return numbered.select("row", "own").join(words, "row").join(by_row, "row", "left").selectExpr("own as kept", "n_words", spans, items)
 
 
 def find_spans(docs: DataFrame, benchmark: DataFrame, keep: list[str], block_bytes: int = 8 << 20) -> DataFrame:
     """kept (struct of ``keep``), n_words, spans (merged, in words, end exclusive), items (sorted)."""
-    out = with_kept(docs, keep).select(
-        "*", F.lit(0).cast("long").alias("n_words"),
-        F.expr("cast(array() as array<struct<start: bigint, end: bigint>>)").alias("spans"),
-        F.expr("cast(array() as array<string>)").alias("items"),
-    )
-    for phrases in blocks(benchmark, block_bytes):
-        out = _pass(out, phrases)
+    count, each = blocks(benchmark, block_bytes)
+    if count == 1:
+        out = _pass(with_kept(docs, keep), next(each))
+    else:
+        out = _by_blocks(docs, keep, each)
     merged = F.expr("""
         aggregate(array_sort(spans), cast(array() as array<struct<start: bigint, end: bigint>>), (acc, s) ->
           if(size(acc) > 0 and s.start <= element_at(acc, -1).end,
