@@ -3,9 +3,8 @@ import re
 
 import xxhash
 from helpers import SF, docs, empty, hard_rows
-from pyspark.sql import functions as F
 
-from vitrine.llm.simhash import keep_one, links, simhash
+from vitrine.llm.simhash import links, simhash
 
 
 def brute(text):
@@ -39,8 +38,6 @@ def test_whole_table_against_brute_force(spark):
     got = simhash(table).collect()
     assert len(got) == len(prints)
     assert all(r["fingerprint"] == f"{prints[r['doc_id']]:016x}" and r["component_id"] == want[r["doc_id"]] for r in got)
-    kept = keep_one(table)
-    assert kept.columns == table.columns and {r["doc_id"] for r in kept.collect()} == set(want.values())
 
 
 def test_links_are_all_pairs_within_two_bits(spark):
@@ -65,9 +62,6 @@ def test_hard_rows(spark):
     zero = [r for r in out if r["fingerprint"] == "0" * 16]
     assert len(zero) == 4 and {r["component_id"] for r in zero} == {1}
     assert simhash(empty(spark)).count() == 0
-    kept = keep_one(table)
-    ids = [r["doc_id"] for r in kept.where(F.col("doc_id").isNotNull()).collect()]
-    assert kept.columns == table.columns and ids.count(4) == 1 and 2 not in ids and 3 not in ids and 1 in ids
 
 
 def test_a_hot_group_stays_linear(spark):

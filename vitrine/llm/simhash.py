@@ -82,17 +82,3 @@ def simhash(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint and component_id of every document."""
     prints = stage(fingerprints(docs, ["doc_id"]).select("kept.doc_id", "fp"), "simhash-prints")
     return prints.join(grouped(prints), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of every group, all columns: that of the smallest doc_id, of repeats the smallest row.
-
-    Rows without a doc_id stay: nothing tells them apart as copies of a kept document.
-    """
-    prints = stage(fingerprints(docs, ["doc_id"]).select("kept.doc_id", "fp"), "simhash-prints")
-    kept = grouped(prints).select("component_id").distinct().select(F.col("component_id").alias("doc_id"), F.lit(True).alias("_kept"))
-    columns = docs.columns
-    packed = docs.select(F.struct(*columns).alias("_row"), "doc_id")
-    named = packed.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("_row").alias("_row"))
-    nameless = packed.where(F.col("doc_id").isNull()).select("doc_id", "_row")
-    return named.unionByName(nameless).select("_row.*")
