@@ -1,3 +1,8 @@
+import math
+import re
+import zlib
+from collections import Counter
+
 from helpers import SF, docs, empty, hard_rows
 from pyspark.sql import functions as F
 
@@ -11,6 +16,51 @@ def test_held_out_accuracy(spark):
     assert right / out.count() >= 0.97
 
 
+def plain(rows, learn, langs):
+    """Scores by the definition, a word at a time: known words, else the longest known n-grams."""
+    counts = {lang: Counter() for lang in langs}
+    for text, lang in learn:
+        counts[lang].update(re.findall(r"[^\W\d_]+", text.lower()))
+    tables = []
+    for size in range(6):
+        seen = {lang: Counter() for lang in langs}
+        for lang in langs:
+            for w, n in counts[lang].items():
+                padded = f"^{w}$" if size > 1 else w
+                for g in [w] if not size else [padded[k : k + size] for k in range(len(padded) - size + 1)]:
+                    seen[lang][g] += n
+        sums = Counter()
+        for lang in langs:
+            sums.update(seen[lang])
+        known = sorted(sums, key=lambda g: (-sums[g], g))[: 40_000 if size else None]
+        total = {lang: sum(seen[lang][g] for g in known) for lang in langs}
+        tables.append({g: [math.log((seen[lang][g] + 0.5) / (total[lang] + 0.5 * len(known))) for lang in langs] for g in known})
+    out = {}
+    for d, text in rows:
+        score = [0.0] * len(langs)
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            found = [tables[0][w]] if w in tables[0] else []
+            for size in range(5, 0, -1):
+                padded = f"^{w}$" if size > 1 else w
+                found = found or [tables[size][g] for k in range(len(padded) - size + 1) if (g := padded[k : k + size]) in tables[size]]
+            for j in range(len(langs)):
+                score[j] += sum(f[j] for f in found) / len(found) if found else 0.0
+        best = max(range(len(langs)), key=lambda j: (score[j], -j))
+        out[d] = (langs[best], 1 / sum(math.exp(s - score[best]) for s in score))
+    return out
+
+
+def test_table_against_the_definition(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in table.collect()]
+    learn = [(r["text"], r["lang"]) for r in table.collect() if r["text"] and r["lang"] and zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    langs = sorted({lang for _, lang in learn})
+    want = plain(rows, learn, langs)
+    for r in language_id(table).collect():
+        if r["lang_pred"] != "und":
+            assert r["lang_pred"] == want[r["doc_id"]][0] and abs(r["score"] - want[r["doc_id"]][1]) < 1e-6
+
+
 def test_backoff_goes_to_the_longest_known_grams():
     model = Model([("de", "straße", 5), ("en", "street", 5), ("de", "und", 9), ("en", "and", 9)])
     scorer = Scorer(model)
