@@ -42,6 +42,7 @@ TOKEN = (
     rf"(?<![{TOKEN_PART}])(?=(?:[A-Za-z._%+@/-]*+[0-9]){{4}})[{TOKEN_PART}]{{5,63}}(?<=[A-Za-z0-9])(?![A-Za-z0-9_%+@-]|[./]++[A-Za-z0-9])"
 )
 NEAR = 100
+PART = 64
 
 
 def _luhn(value: str) -> str:
@@ -96,15 +97,27 @@ def occurrences(docs: DataFrame, keep: list[str]) -> DataFrame:
     )
 
 
-def _context_documents(docs: DataFrame, many: DataFrame) -> DataFrame:
-    """(context, n): documents that hold the words of the context at all, for every context of ``many``."""
-    listed = many.selectExpr("context", "substring(context, 3) as pair")
+def _pair_documents(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """(pair, n): documents that hold the words one after the other, for the pairs of ``listed``."""
     distinct = stage(listed.select("pair").distinct(), "pii-pairs")
     pairs = let(f"filter({words('text')}, w -> w <> '')", lambda w: f"zip_with(slice({w}, 1, greatest(size({w}) - 1, 0)), slice({w}, 2, greatest(size({w}) - 1, 0)), (a, b) -> concat(a, ' ', b))")
     held = docs.selectExpr(f"explode(array_distinct({pairs})) as pair").withColumn("_hash", F.xxhash64("pair"))
     near = maybe_listed(held, distinct.select(F.xxhash64("pair").alias("_hash")), "_hash")
-    counted = near.join(distinct, "pair", "left_semi").groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
-    return listed.join(counted, "pair").select("context", "n")
+    return near.join(distinct, "pair", "left_semi").groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _context_documents(docs: DataFrame, many: DataFrame) -> DataFrame:
+    """(context, n): documents that hold the words of the context at all, for every context of ``many`` (context, most).
+
+    Words that already more than ``most`` documents of a ``PART``-th hold are too frequent whatever the others hold: their count
+    stops there. All other contexts are counted over all documents.
+    """
+    listed = many.selectExpr("context", "most", "substring(context, 3) as pair")
+    some = listed.join(_pair_documents(docs.where(F.pmod(F.xxhash64("text"), F.lit(PART)) == 0), listed), "pair", "left")
+    first = stage(some.select("context", "pair", "most", F.coalesce("n", F.lit(0)).alias("n")), "pii-frequent")
+    rare = first.where("n <= most").select("context", "pair")
+    counted = rare.join(_pair_documents(docs, rare), "pair").select("context", "n")
+    return first.where("n > most").select("context", "n").unionByName(counted)
 
 
 def sure_contexts(docs: DataFrame, seen: DataFrame, support: int = 3, least: float = 0.5, rounds: int = 3) -> DataFrame:
@@ -114,18 +127,25 @@ def sure_contexts(docs: DataFrame, seen: DataFrame, support: int = 3, least: flo
         each.groupBy("context", "value", "row_key").agg(F.max("seed").alias("seed"))
         .groupBy("context", "value").agg(F.count(F.lit(1)).alias("docs"), F.max("seed").alias("seed")), "pii-edges",
     )
-    many = edges.groupBy("context").agg(F.count(F.lit(1)).alias("values")).where(F.col("values") >= support).select("context")
-    held = stage(_context_documents(docs, stage(many, "pii-many")), "pii-contexts")
-    graph = stage(edges.join(held, "context"), "pii-graph")
-    trust = graph.groupBy("value").agg(F.max("seed").cast("double").alias("trust"))
-    scores = None
+    trust = edges.groupBy("value").agg(F.max("seed").cast("double").alias("trust"))
+    # no more documents than these may hold the words, if half of them (``least``) are to hold identifiers there
+    reach = edges.groupBy("context").agg((F.sum("docs") / least).alias("most"))
+    held = scores = None
     for _ in range(rounds):
+        # only contexts with so many accepted identifiers can be sure; what they stand among is counted once
+        open_ones = edges.join(trust, "value").groupBy("context").agg(F.sum((F.col("trust") >= least).cast("int")).alias("accepted")).where(F.col("accepted") >= support).select("context")
+        open_ones = open_ones.join(reach, "context")
+        fresh = stage(open_ones if held is None else open_ones.join(held, "context", "left_anti"), "pii-open")
+        if held is None or not fresh.isEmpty():
+            more = stage(_context_documents(docs, fresh), "pii-contexts")
+            held = more if held is None else held.unionByName(more)
+        graph = edges.join(held, "context")
         scores = stage(
             graph.join(trust, "value").groupBy("context")
             .agg((F.sum(F.col("trust") * F.col("docs")) / F.greatest(F.max("n"), F.sum("docs"))).alias("score"), F.sum((F.col("trust") >= least).cast("int")).alias("accepted"))
             .where((F.col("score") >= least) & (F.col("accepted") >= support)), "pii-scores",
         )
-        trust = graph.join(scores, "context", "left").groupBy("value").agg(
+        trust = edges.join(scores, "context", "left").groupBy("value").agg(
             F.greatest(F.max("seed").cast("double"), 1 - F.exp(F.sum(F.log(F.greatest(1 - F.coalesce("score", F.lit(0.0)), F.lit(1e-9)))))).alias("trust")
         )
     return scores.select("context")
