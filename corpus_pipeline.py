@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm.common import stage, table
+from vitrine.llm.common import release, stage, table
 from vitrine.llm.decontamination import drop_contaminated
 from vitrine.llm.language_id import keep_identified
 from vitrine.llm.near_duplicates import keep_one
@@ -55,4 +55,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         begun = scratch_mark()
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
         clear_scratch(spark, begun, kept=1)  # what the stage's operators wrote; its own rows stay
+        release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)

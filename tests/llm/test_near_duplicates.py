@@ -121,3 +121,22 @@ def test_fingerprint_is_the_majority():
     assert len(shingles(b"a b", memo)) == 1 and len(shingles(b" ", memo)) == 0
     one = wide_fingerprint(hashes[:1], 3)
     assert (wide_fingerprint(np.repeat(hashes[:1], 3), 3) == one).all() and (wide_fingerprint(hashes[:0], 3) == 0).all()
+
+
+def test_links_between_settled_groups_are_kept(spark):
+    """A chain of sliding windows is one group, though its ends are far apart and most of its nodes find a leader early."""
+    rng = random.Random(4)
+    texts = []
+    for _ in range(6):
+        words = [f"{rng.choice(WORDS)}{i}" for i in range(700)]
+        texts += [" ".join(words[k : k + 104]) for k in range(0, 590, 5)]
+    got = {r["doc_id"]: r["root"] for r in grouped(docs(spark, texts)).collect()}
+    assert len(set(got.values())) == 6
+
+
+def test_pairs_of_different_roots_are_fetched_from_their_members(spark):
+    plan = Layout(1, 16, 1, 64, 64)
+    rows = [(1, 0, 1, False), (2, 0, 1, False), (3, 1, 3, False), (4, 0x8000, 3, False), (5, 0x8001, 5, True), (6, 0xFF, 6, True)]
+    frame = spark.createDataFrame([(n, [f], r, a) for n, f, r, a in rows], "node bigint, fp array<bigint>, root bigint, alone boolean")
+    got = [tuple(r) for r in ball_pairs(frame, plan).collect()]
+    assert sorted(got) == [(1, 3), (1, 4), (2, 3), (2, 4), (3, 5), (4, 5)]

@@ -6,10 +6,11 @@ segments is chosen such that a pair of Jaccard ``similar`` has a segment with at
 segment has a few bits more than the table's count of distinct documents needs (``Layout``).
 
 Documents of equal shingle sets are one node. First every node is compared with the few smallest nodes of its segment values that it shares most segments with:
-this settles large groups of near copies without all of their pairs. Then the nodes that stand for the others look up the Hamming
-ball of radius one about each segment (a node probes only the values with one bit more, so every pair meets once). Fetched
+this settles large groups of near copies without all of their pairs. Then all nodes look up the Hamming
+ball of radius one about each segment (a node probes only the values with one bit more, so every pair meets once), and every pair is
+fetched whose nodes the first step has not put into one group; within a group a further link changes nothing. Fetched
 pairs are verified twice: by the complete distance of the fingerprints, then by the exact Jaccard of the shingle sets of their texts.
-Groups are connected components of what passes. A node that another one stands for is not looked up again in the second step.
+Groups are connected components of what passes.
 
 Cases: null, empty and wordless texts have no shingle and are one node, near no other. Fewer words than a shingle are one
 shingle. Rows that share ``doc_id`` and text are copies; rows that share ``doc_id`` alone are different documents. Null ids come last
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.llm.common import byte_table, components, map_arrow, stage
+from vitrine.llm.common import byte_table, components, map_arrow, release, stage
 from vitrine.operators.lookup import maybe_listed
 
 SHINGLE, SIMILAR, RECALL = 5, 0.8, 0.95
@@ -148,10 +149,10 @@ def _distance(a: str, b: str) -> str:
     return f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
 
 
-def _index(table: DataFrame, plan: Layout, similar: float | None) -> DataFrame:
-    """node, size, w0 ... (the early words) and key of every segment."""
+def _index(table: DataFrame, plan: Layout, similar: float | None, *more: str) -> DataFrame:
+    """node, size, w0 ... (the early words), ``more`` columns and key of every segment."""
     words = [f"fp[{k}] as w{k}" for k in range(plan.early)]
-    return table.where("node <> 0").selectExpr("node", "size" if similar else "1 as size", *words, f"explode({_segments(plan)}) as key")
+    return table.where("node <> 0").selectExpr("node", "size" if similar else "1 as size", *words, *more, f"explode({_segments(plan)}) as key")
 
 
 def _side(plan: Layout, of: str) -> list[str]:
@@ -176,15 +177,40 @@ def leader_pairs(table: DataFrame, plan: Layout, similar: float | None = None) -
     return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")).withColumn("place", place).where(F.col("place") <= LEADERS).select("a", "b")
 
 
+def _heads(index: DataFrame, plan: Layout) -> DataFrame:
+    """One row per key and root; of a root with several nodes without size and words, so that a group is not met node by node."""
+    columns = ["size", *(f"w{k}" for k in range(plan.early))]
+    many = index.where("not alone").select("key", "root").distinct()
+    return index.where("alone").select("key", "root", *columns).unionByName(many, allowMissingColumns=True)
+
+
 def ball_pairs(table: DataFrame, plan: Layout, similar: float | None = None) -> DataFrame:
-    """(a, b): nodes that may be near and have a segment in which they differ in one bit at most."""
-    index = stage(_index(table, plan, similar), "near-index")
+    """(a, b): nodes that may be near and have a segment in which they differ in one bit at most.
+
+    With the columns ``root`` and ``alone`` (it is the only node of its root) only pairs of different roots.
+    """
+    table = table if "root" in table.columns else table.selectExpr("*", "node as root", "true as alone")
+    index = stage(_index(table, plan, similar, "root", "alone"), "near-index")
+    heads = _heads(index, plan).withColumnRenamed("root", "node")
     zeros = f"filter(sequence(0, {plan.bits - 1}), i -> getbit(key, i) = 0)"
     ball = f"explode(concat(array(named_struct('equal', true, 'key', key)), transform({zeros}, i -> named_struct('equal', false, 'key', key | shiftleft(1L, i))))) as met"
-    probes = index.selectExpr(*_side(plan, "a"), ball).select("*", "met.*").drop("met")
-    fetched = probes.join(index.selectExpr("key", *_side(plan, "b")), "key")
+    probes = heads.selectExpr(*_side(plan, "a"), "if(size is null, key, null) as home", ball).select("*", "met.*").drop("met")
     # equal values meet from both sides
-    return fetched.where(f"a <> b and (not equal or a < b) and {_may_be_near(plan, similar)}").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
+    met = probes.join(heads.selectExpr("key", *_side(plan, "b")), "key").where(
+        f"a <> b and (not equal or a < b) and (na is null or nb is null or {_may_be_near(plan, similar)})"
+    )
+    fetched = stage(met.selectExpr("a", "b", "key", "home", "na is null as many_a", "nb is null as many_b"), "near-fetched")
+    members = index.where("not alone").select("key", "root", "node", "size", *(f"w{k}" for k in range(plan.early)))
+    nodes_of = table.where("alone").selectExpr("node", "size" if similar else "1 as size", *(f"fp[{k}] as w{k}" for k in range(plan.early)))
+    groups = fetched.where("many_a or many_b")
+    side_a = groups.where("many_a").withColumnsRenamed({"a": "ra", "b": "rb"}).join(members.selectExpr("key as home", "root as ra", *_side(plan, "a")), ["home", "ra"])
+    lone_a = groups.where("not many_a").withColumnsRenamed({"a": "ra", "b": "rb"}).join(nodes_of.selectExpr("node as ra", *_side(plan, "a")), "ra")
+    left = side_a.unionByName(lone_a)
+    side_b = left.where("many_b").join(members.selectExpr("key", "root as rb", *_side(plan, "b")), ["key", "rb"])
+    lone_b = left.where("not many_b").join(nodes_of.selectExpr("node as rb", *_side(plan, "b")), "rb")
+    expanded = side_b.unionByName(lone_b).where(_may_be_near(plan, similar)).select("a", "b")
+    every = fetched.where("not (many_a or many_b)").select("a", "b").unionByName(expanded)
+    return every.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
 
 
 def verified(docs: DataFrame, table: DataFrame, pairs: DataFrame, plan: Layout, similar: float, size: int) -> DataFrame:
@@ -225,8 +251,10 @@ def grouped(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE) -> D
     table = stage(rows.groupBy("node").agg(F.min("at").alias("at"), F.first("size").alias("size"), F.first("fp").alias("fp")), "near-nodes")
     first = stage(verified(docs, table, leader_pairs(table, plan, similar), plan, similar, size), "near-first")
     settled = stage(components(first, "near-first").selectExpr("id as node", "component_id as root"), "near-settled")
-    stands = stage(table.join(settled.where("node <> root"), "node", "left_anti"), "near-stands")
-    second = verified(docs, stands, ball_pairs(stands, plan, similar), plan, similar, size)
+    rooted = stage(table.join(settled, "node", "left").selectExpr(*table.columns, "coalesce(root, node) as root", "root is null as alone"), "near-rooted")
+    release(docs.sparkSession)
+    second = stage(verified(docs, rooted, ball_pairs(rooted, plan, similar), plan, similar, size), "near-second")
+    release(docs.sparkSession)
     roots = components(first.unionByName(second), "near").selectExpr("id as node", "component_id as root")
     return rows.join(roots, "node", "left").select("doc_id", "at", F.coalesce("root", "node").alias("root"))
 
