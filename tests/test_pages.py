@@ -133,3 +133,15 @@ def test_flags_by_their_json_type(spark):
 def test_variations_false_is_a_simple_product(spark):
     rows = product_rows(spark.createDataFrame([(1, "u", variable("false"))], PAGES), SHOP).collect()
     assert len(rows) == 1 and rows[0].raw_variation == ""
+
+
+def test_ends_of_elements_without_tags_inside(spark):
+    """Their ends come from the next tag, and their openings still end what they end."""
+    from vitrine.operators.nodes import page_nodes
+
+    odd = "<p>a<p>b</p><b>c</b><b></i></b><li>d</li><ul><li>e<li>f</li></ul><B>g</b><br></br><h1></h1></h1><i><i>h</i></i><td>x</td></td>"
+    got = page_nodes(spark.createDataFrame([(1, odd)], "page_id bigint, html string")).where("kind = 'o'").orderBy("ord")
+    assert [(r["tag"], r["ord"], r["end"]) for r in got.collect()] == [
+        ("p", 0, 2), ("p", 2, 4), ("b", 5, 7), ("b", 8, 10), ("li", 11, 13), ("ul", 14, 20), ("li", 15, 17), ("li", 17, 19),
+        ("b", 21, 23), ("h1", 26, 27), ("i", 29, 33), ("i", 30, 32), ("td", 34, 36),
+    ]

@@ -55,7 +55,7 @@ def _token_node(t: str) -> str:
         pattern = lit(ATTRIBUTE)
 
         def value(v: str) -> str:
-            bare = f"CASE WHEN {v} RLIKE '^[\"\\']' THEN substring({v}, 2, length({v}) - 2) ELSE {v} END"
+            bare = f"CASE WHEN startswith({v}, '\"') OR startswith({v}, '\\'') THEN substring({v}, 2, length({v}) - 2) ELSE {v} END"
             return unescape(bare)
 
         return f"""zip_with(regexp_extract_all({body}, {pattern}, 1), regexp_extract_all({body}, {pattern}, 2),
@@ -63,8 +63,8 @@ def _token_node(t: str) -> str:
 
     def shaped(k: str) -> str:
         def opened(g: str) -> str:
-            kind = f"CASE WHEN {g} IN ({lits(VOID_TAGS)}) OR {t} RLIKE '/\\\\s*>$' THEN 'v' ELSE 'o' END"
-            attrs = f"""CASE WHEN {t} RLIKE '\\\\s' THEN {attributes(g)}
+            kind = f"CASE WHEN {g} IN ({lits(VOID_TAGS)}) OR contains({t}, '/') AND {t} RLIKE '/\\\\s*>$' THEN 'v' ELSE 'o' END"
+            attrs = f"""CASE WHEN contains({t}, ' ') OR {t} RLIKE '\\\\s' THEN {attributes(g)}
                 ELSE CAST(array() AS ARRAY<STRUCT<k: STRING, v: STRING>>) END"""
             return f"named_struct('kind', {kind}, 'tag', {g}, 'attrs', {attrs}, 'text', {t})"
 
@@ -74,9 +74,14 @@ def _token_node(t: str) -> str:
             WHEN {k} = 'c' THEN named_struct('kind', {k}, 'tag', {tag}, 'attrs', {none}, 'text', {t})
             ELSE named_struct('kind', {k}, 'tag', '', 'attrs', {none}, 'text', {t}) END"""
 
-    kind = f"""CASE WHEN NOT startswith({t}, '<') THEN 't'
-        WHEN {t} RLIKE '^(?i:<script\\\\b|<style\\\\b)' OR {t} RLIKE '^</?[!?]' THEN 'x'
-        WHEN {t} RLIKE '^<[A-Za-z]' THEN 'o' WHEN {t} RLIKE '^</[A-Za-z]' THEN 'c' ELSE 't' END"""
+    def marked(c: str) -> str:
+        # the second character decides, except in </ and <s
+        return f"""CASE WHEN {c} IN ('!', '?') THEN 'x'
+            WHEN {c} = '/' THEN CASE WHEN {t} RLIKE '^</[!?]' THEN 'x' WHEN {t} RLIKE '^</[A-Za-z]' THEN 'c' ELSE 't' END
+            WHEN {c} IN ('s', 'S') AND {t} RLIKE '^(?i:<script\\\\b|<style\\\\b)' THEN 'x'
+            WHEN {c} BETWEEN 'a' AND 'z' OR {c} BETWEEN 'A' AND 'Z' THEN 'o' ELSE 't' END"""
+
+    kind = f"CASE WHEN startswith({t}, '<') THEN {let(f'substring({t}, 2, 1)', marked)} ELSE 't' END"
     return let(kind, shaped)
 
 
@@ -127,33 +132,48 @@ def _pops(stack: str, x: str) -> str:
         everything = tuple(t for group in CONTAINER_RANKS for t in group)
         return f"CASE{cases} WHEN {x}.tag = 'html' THEN false ELSE {s} RLIKE {_any_tag(everything)} END"
 
-    return f"""CASE WHEN {x}.kind = 'o' THEN CASE{opening} ELSE 0 END
+    return f"""CASE WHEN {x}.kind <> 'c' THEN CASE{opening} ELSE 0 END
         ELSE {unless_blocked(f"locate(concat('<', {_name(f'{x}.tag')}), {stack})", closed_by)} END"""
 
 
+#: Where an element ends is one number, its position above this many bits and its end below.
+END_BITS = 32
+_BRANCHING = tuple(dict.fromkeys(t for tags, _, _ in IMPLIED_ENDS for t in tags))
+
+
 def _element_ends(shapes: str) -> str:
-    """``array<struct<ord, end>>`` for all tokens, in ``ord`` order.
+    """``array<long>`` for all tokens, in ``ord`` order: ``ord`` above ``END_BITS`` bits, the end below.
 
-    A fold over the tags with the stack of open elements as its state.  The
+    An element whose next tag is its own end tag leaves the stack as it was: it is settled by a look at its neighbour,
+    and the fold only hears of it (kind ``l``) where its opening may end others.  The rest is
+    a fold over the tags with the stack of open elements as its state.  The
     output grows per chunk, not per tag, so that long pages stay near linear.
     """
-    empty = "CAST(array() AS ARRAY<STRUCT<ord: INT, end: INT>>)"
+    empty = "CAST(array() AS ARRAY<BIGINT>)"
 
     def state(stack: str, out: str) -> str:
         return f"named_struct('stack', {stack}, 'out', {out})"
 
+    def number(ord_: str, end: str) -> str:
+        return f"shiftleft(CAST({ord_} AS BIGINT), {END_BITS}) + {end}"
+
     def ended(stack: str, at: str) -> str:
         # the piece before the first mark is empty
         ords = f"filter(split({stack}, '<'), o -> o <> '')"
-        return each(ords, lambda o: f"named_struct('ord', CAST(right({o}, {DIGITS}) AS INT), 'end', {at})")
+        return each(ords, lambda o: number(f"CAST(right({o}, {DIGITS}) AS INT)", at))
+
+    def popped(stack: str, n: str, at: str) -> str:
+        one = f"array({number(f'CAST(substring({stack}, {WIDTH - DIGITS + 1}, {DIGITS}) AS INT)', at)})"
+        return f"CASE WHEN {n} = {WIDTH} THEN {one} ELSE {ended(f'substring({stack}, 1, {n})', at)} END"
 
     def step(acc: str, x: str) -> str:
         entry = f"concat('<', {_name(f'{x}.tag')}, lpad(CAST({x}.ord AS STRING), {DIGITS}, '0'))"
 
         def change(n: str) -> str:
             rest = f"CASE WHEN {n} = 0 THEN {acc}.stack ELSE substring({acc}.stack, {n} + 1) END"
-            out = f"CASE WHEN {n} = 0 THEN {acc}.out ELSE concat({acc}.out, {ended(f'substring({acc}.stack, 1, {n})', f'{x}.ord')}) END"
-            return state(f"concat(CASE WHEN {x}.kind = 'o' THEN {entry} ELSE '' END, {rest})", out)
+            out = f"CASE WHEN {n} = 0 THEN {acc}.out ELSE concat({acc}.out, {popped(f'{acc}.stack', n, f'{x}.ord')}) END"
+            return f"""CASE WHEN {x}.kind = 'l' AND {n} = 0 THEN {acc}
+                ELSE {state(f"CASE WHEN {x}.kind = 'o' THEN concat({entry}, {rest}) ELSE {rest} END", out)} END"""
 
         return let(_pops(f"{acc}.stack", x), change)
 
@@ -165,12 +185,21 @@ def _element_ends(shapes: str) -> str:
             z -> concat(z.out, {ended('z.stack', end)}))"""
 
     def both(all_: str) -> str:
+        def told_apart(tags: str) -> str:
+            # ``leaf``: where its end tag stands that is the next tag; ``closed``: the end tag of a leaf
+            leaf = f"CASE WHEN x.kind = 'o' AND get({tags}, i + 1).kind = 'c' AND get({tags}, i + 1).tag = x.tag THEN get({tags}, i + 1).ord END"
+            closed = f"(x.kind = 'c' AND i > 0 AND get({tags}, i - 1).kind = 'o' AND get({tags}, i - 1).tag = x.tag)"
+            return f"transform({tags}, (x, i) -> named_struct('ord', x.ord, 'kind', x.kind, 'tag', x.tag, 'leaf', {leaf}, 'closed', {closed}))"
+
+        def closing(told: str) -> str:
+            leaves = each(f"filter({told}, s -> s.leaf IS NOT NULL)", lambda s: number(f"{s}.ord", f"{s}.leaf"))
+            heard = f"filter({told}, s -> NOT s.closed AND (s.leaf IS NULL OR s.tag IN ({lits(_BRANCHING)})))"
+            short = f"transform({heard}, s -> named_struct('ord', s.ord, 'kind', CASE WHEN s.leaf IS NULL THEN s.kind ELSE 'l' END, 'tag', s.tag))"
+            return f"concat({leaves}, {let(short, lambda tags: bind(f'size({all_})', lambda end: fold(tags, end)))})"
+
         tags_only = f"filter({all_}, s -> s.kind IN ('o', 'c'))"
-        others = each(
-            f"filter({all_}, s -> s.kind <> 'o')", lambda s: f"named_struct('ord', {s}.ord, 'end', {s}.ord + 1)"
-        )
-        closed = let(tags_only, lambda tags: bind(f"size({all_})", lambda end: fold(tags, end)))
-        return f"sort_array(concat({closed}, {others}))"
+        others = each(f"filter({all_}, s -> s.kind <> 'o')", lambda s: number(f"{s}.ord", f"{s}.ord + 1"))
+        return f"sort_array(concat({bind(tags_only, lambda t: bind(told_apart(t), closing))}, {others}))"
 
     return bind(shapes, both)
 
@@ -187,10 +216,13 @@ def with_nodes(pages: DataFrame, html: str = "html", keep_html: bool = False) ->
         "transform(__shapes, (s, i) -> named_struct('ord', i, 'kind', s.kind, 'tag', s.tag)) AS __slim",
     )
     closed = slim.selectExpr(*others, "__shapes", f"{_element_ends('__slim')} AS __ends")
-    classes = f"filter(split({first(keep('s.attrs', lambda a: f'{a}.k = {lit("class")}'))}.v, '\\\\s+'), q -> q <> '')"
+    classes = let(
+        f"{first(keep('s.attrs', lambda a: f'{a}.k = {lit("class")}'))}.v",
+        lambda v: f"CASE WHEN {v} = '' OR {v} RLIKE '\\\\s' THEN filter(split({v}, '\\\\s+'), q -> q <> '') WHEN {v} IS NOT NULL THEN array({v}) END",
+    )
     return closed.selectExpr(
         *others,
-        f"""zip_with(__shapes, __ends, (s, e) -> named_struct('ord', e.ord, 'end', e.end, 'kind', s.kind, 'tag', s.tag,
+        f"""zip_with(__shapes, __ends, (s, e) -> named_struct('ord', CAST(shiftright(e, {END_BITS}) AS INT), 'end', CAST(e & {(1 << END_BITS) - 1}L AS INT), 'kind', s.kind, 'tag', s.tag,
             'classes', CASE WHEN s.kind IN ('o', 'v') AND size(s.attrs) > 0 THEN {classes} END,
             'attrs', s.attrs, 'text', s.text)) AS nodes""",
     )
