@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitrine.functions import content, text, urls
-from vitrine.functions.sqltext import lit
+from vitrine.functions.sqltext import first_filled, lit, missing
+from vitrine.functions.text import squeeze
 
 ENTITIES = [
     "a &amp; b", "&amp;amp;", "&lt;p&gt;", "&euro; &EUR", "&copy &copyx &notit; &notin;", "&#8364;&#x20AC;",
@@ -117,3 +118,21 @@ def test_slugs_and_product_urls(spark):
 def test_json_text(spark):
     df = spark.sql("""select map('b"x', '5\\n л', 'a', '\\\\') as m""")
     assert df.select(F.expr(text.json_object("map_entries(m)"))).first()[0] == '{"b\\"x": "5\\n л", "a": "\\\\"}'
+
+
+def test_a_choice_stands_once_in_the_plan(spark):
+    """``nullif`` would double a choice at every level of nesting, and with it the work."""
+    nested = first_filled(first_filled(first_filled("concat(a, '-mark')", "b"), "c"), "d")
+    frame = spark.createDataFrame([("", "", None, "d"), (None, "b", "c", "d")], "a string, b string, c string, d string")
+    chosen = frame.selectExpr(f"{nested} AS chosen")
+    assert [r.chosen for r in chosen.collect()] == ["-mark", "b"]
+    assert chosen._jdf.queryExecution().optimizedPlan().toString().count("-mark") == 1
+    assert [r.x for r in frame.selectExpr(f"{missing('a')} AS x").collect()] == [None, None]
+
+
+def test_runs_of_blanks_of_every_kind(spark):
+    blanks = [chr(c) for c in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]]
+    texts = [f"a{b}b {b} c{b}{b}d{b}" for b in blanks] + ["a\u200bb", "a!~\x84\xa1b", "\U0001f600  x y", " "]
+    got = [r.x for r in spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").selectExpr(f"{squeeze('t')} AS x").collect()]
+    assert got[: len(blanks)] == ["a b c d"] * len(blanks)
+    assert got[len(blanks) :] == ["a\u200bb", "a!~\x84\xa1b", "\U0001f600 x y", ""]

@@ -10,9 +10,11 @@ from vitrine.functions.sqltext import each, keep, let, lit, missing
 # Blanks as Unicode sees them, plus the four ASCII separators that Java's \s leaves out.
 BLANK = r"[\s\x1c-\x1f]"
 BLANKS = rf"(?U){BLANK}+"
-# the same blanks one by one, which a matcher looks up faster, and only the runs that are not one space already
-_OTHER_BLANK = r"\t-\r\x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-UNEVEN_BLANKS = rf"[{_OTHER_BLANK}][ {_OTHER_BLANK}]*| [ {_OTHER_BLANK}]+"
+# the same blanks one by one; the ranges before && refuse almost every other character after a comparison or two
+_BLANKS = r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_ANY_BLANK = rf"[[^!-\x{{84}}\x{{A1}}-\x{{167F}}\x{{3001}}-\x{{10FFFF}}]&&[{_BLANKS}]]"
+# the runs that are not one space already: one character decides at places without a blank
+UNEVEN_BLANKS = rf"{_ANY_BLANK}(?:(?<! )|(?={_ANY_BLANK})){_ANY_BLANK}*+"
 LINE_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 _REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
