@@ -145,3 +145,22 @@ def test_ends_of_elements_without_tags_inside(spark):
         ("p", 0, 2), ("p", 2, 4), ("b", 5, 7), ("b", 8, 10), ("li", 11, 13), ("ul", 14, 20), ("li", 15, 17), ("li", 17, 19),
         ("b", 21, 23), ("h1", 26, 27), ("i", 29, 33), ("i", 30, 32), ("td", 34, 36),
     ]
+
+
+def test_names_and_attributes_of_odd_tags(spark):
+    html = "<P\n CLASS = \"x\ty\" id=z/><br / ></P q=1><script-x y><scripty a=1></!x><a b =1 c= 'd>e' f g==h><1><li"
+    nodes = page_nodes(spark.createDataFrame([(1, "u", html)], PAGES)).orderBy("ord").collect()
+    assert [(n.kind, n.tag, {a.k: a.v for a in n.attrs}) for n in nodes] == [
+        ("v", "p", {"class": "x\ty", "id": "z/"}), ("v", "br", {}), ("c", "p", {}), ("x", "", {}), ("o", "scripty", {"a": "1"}),
+        ("x", "", {}), ("o", "a", {"b": "1", "c": "d>e", "f": "", "g": "=h"}), ("t", "", {}), ("t", "", {}), ("t", "", {}),
+    ]
+    assert nodes[0].classes == ["x", "y"]
+
+
+def test_tags_are_named_for_the_whole_page(spark):
+    """Two passes over the page give tokens and names; no token meets a pattern of its own for its name."""
+    from vitrine.operators.nodes import with_nodes
+
+    plan = with_nodes(spark.createDataFrame([(1, "u", "<p>")], PAGES))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract(" in plan and "'^</?([A-Za-z]" not in plan and "^</?([A-Za-z]" not in plan
+    assert plan.count("regexp_extract_all(html") == 2

@@ -21,7 +21,12 @@ TOKEN = (
     r"(?s)<!--.*?-->|(?i:<script\b.*?</script\s*>|<style\b.*?</style\s*>)"
     r"""|</?[A-Za-z!?](?:"[^"]*+"|'[^']*+'|[^'">]++)*+>|(?:[^<]++|<(?![A-Za-z/!?]))++|<"""
 )
-ATTRIBUTE = r"""(?s)([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+# the same tokens with the tag's name in a group, an end tag's with its slash; empty in text, scripts, comments and declarations
+NAMED_TOKEN = TOKEN.replace(
+    r"|</?[A-Za-z!?](?:", r"|<(?:(?=((?!(?i:script|style)\b)[A-Za-z][^\s/>]*|/[A-Za-z][^\s/>]*))|)/?[A-Za-z!?](?:"
+)
+# blanks are listed one by one, which a matcher looks up in one table
+ATTRIBUTE = r"""(?s)([^ \t\n\x0B\f\r"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^ \t\n\x0B\f\r"'>]+))?"""
 
 VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
@@ -46,43 +51,44 @@ CONTAINER_RANKS = (("div",), ("td", "th"), ("tr",), ("thead", "tbody", "tfoot"),
 CHUNK = 256
 
 
-def _token_node(t: str) -> str:
-    """Kind, tag, attributes and text of one token."""
-    tag = f"lower(regexp_extract({t}, '^</?([A-Za-z][^\\\\s/>]*)', 1))"
+def _attributes(body: str) -> str:
+    """``array<struct(k, v)>`` of what follows a tag's name; the text before the first ``=`` is an attribute's name."""
+    pattern = lit(ATTRIBUTE)
+
+    def value(v: str) -> str:
+        return unescape(f"CASE WHEN startswith({v}, '\"') OR startswith({v}, '\\'') THEN substring({v}, 2, length({v}) - 2) ELSE {v} END")
 
-    def attributes(tag_name: str) -> str:
-        body = f"substring({t}, length({tag_name}) + 2)"
-        pattern = lit(ATTRIBUTE)
+    def entry(m: str) -> str:
+        def cut(at: str) -> str:
+            # only blanks (and control characters) beside the sign need the pattern once more
+            tight = f"substring({m}, {at} - 1, 1) > ' ' AND substring({m}, {at} + 1, 1) > ' '"
+            loose = let(f"regexp_extract({m}, {pattern}, 2)", lambda v: f"named_struct('k', lower(regexp_extract({m}, {pattern}, 1)), 'v', {value(v)})")
+            plain = let(f"substring({m}, {at} + 1)", lambda v: f"named_struct('k', lower(substring({m}, 1, {at} - 1)), 'v', {value(v)})")
+            return f"CASE WHEN {at} = 0 THEN named_struct('k', lower({m}), 'v', '') WHEN {tight} THEN {plain} ELSE {loose} END"
 
-        def value(v: str) -> str:
-            bare = f"CASE WHEN startswith({v}, '\"') OR startswith({v}, '\\'') THEN substring({v}, 2, length({v}) - 2) ELSE {v} END"
-            return unescape(bare)
+        return let(f"locate('=', {m})", cut)
 
-        return f"""zip_with(regexp_extract_all({body}, {pattern}, 1), regexp_extract_all({body}, {pattern}, 2),
-            (k, v) -> named_struct('k', lower(k), 'v', {value('v')}))"""
+    return each(f"regexp_extract_all({body}, {pattern}, 0)", entry)
 
-    def shaped(k: str) -> str:
-        def opened(g: str) -> str:
-            kind = f"CASE WHEN {g} IN ({lits(VOID_TAGS)}) OR contains({t}, '/') AND {t} RLIKE '/\\\\s*>$' THEN 'v' ELSE 'o' END"
-            attrs = f"""CASE WHEN contains({t}, ' ') OR {t} RLIKE '\\\\s' THEN {attributes(g)}
-                ELSE CAST(array() AS ARRAY<STRUCT<k: STRING, v: STRING>>) END"""
-            return f"named_struct('kind', {kind}, 'tag', {g}, 'attrs', {attrs}, 'text', {t})"
 
-        none = "CAST(array() AS ARRAY<STRUCT<k: STRING, v: STRING>>)"
-        return f"""CASE WHEN {k} = 'o' THEN {let(tag, opened)}
-            WHEN {k} = 't' THEN named_struct('kind', {k}, 'tag', '', 'attrs', {none}, 'text', {unescape(t, 2)})
-            WHEN {k} = 'c' THEN named_struct('kind', {k}, 'tag', {tag}, 'attrs', {none}, 'text', {t})
-            ELSE named_struct('kind', {k}, 'tag', '', 'attrs', {none}, 'text', {t}) END"""
+def _token_node(t: str, name: str) -> str:
+    """Kind, tag, attributes and text of one token and its ``NAMED_TOKEN`` name."""
+    none = "CAST(array() AS ARRAY<STRUCT<k: STRING, v: STRING>>)"
 
-    def marked(c: str) -> str:
-        # the second character decides, except in </ and <s
-        return f"""CASE WHEN {c} IN ('!', '?') THEN 'x'
-            WHEN {c} = '/' THEN CASE WHEN {t} RLIKE '^</[!?]' THEN 'x' WHEN {t} RLIKE '^</[A-Za-z]' THEN 'c' ELSE 't' END
-            WHEN {c} IN ('s', 'S') AND {t} RLIKE '^(?i:<script\\\\b|<style\\\\b)' THEN 'x'
-            WHEN {c} BETWEEN 'a' AND 'z' OR {c} BETWEEN 'A' AND 'Z' THEN 'o' ELSE 't' END"""
+    def opened(g: str) -> str:
+        closed = f"endswith({t}, '/>') OR contains({t}, '/') AND substring({t}, -2, 1) <= ' ' AND {t} RLIKE '/\\\\s*>$'"
+        kind = f"CASE WHEN {g} IN ({lits(VOID_TAGS)}) OR {closed} THEN 'v' ELSE 'o' END"
+        attrs = f"""CASE WHEN length({t}) = length({g}) + 2 THEN {none}
+            WHEN contains({t}, ' ') OR {t} RLIKE '\\\\s' THEN {_attributes(f"substring({t}, length({g}) + 2)")} ELSE {none} END"""
+        return f"named_struct('kind', {kind}, 'tag', {g}, 'attrs', {attrs}, 'text', {t})"
 
-    kind = f"CASE WHEN startswith({t}, '<') THEN {let(f'substring({t}, 2, 1)', marked)} ELSE 't' END"
-    return let(kind, shaped)
+    # of a "<" that begins no token the matcher remembers the name it looked at
+    return f"""CASE WHEN {name} = '' OR {t} = '<' THEN
+            CASE WHEN startswith({t}, '<') AND {t} RLIKE '^(?:</?[!?]|(?i:<script\\\\b|<style\\\\b))'
+                THEN named_struct('kind', 'x', 'tag', '', 'attrs', {none}, 'text', {t})
+                ELSE named_struct('kind', 't', 'tag', '', 'attrs', {none}, 'text', {unescape(t, 2)}) END
+        WHEN startswith({name}, '/') THEN named_struct('kind', 'c', 'tag', lower(substring({name}, 2)), 'attrs', {none}, 'text', {t})
+        ELSE {let(f"lower({name})", opened)} END"""
 
 
 # The stack of open elements is one string, innermost first: per element a mark, its tag (padded, or a digest of
@@ -207,8 +213,9 @@ def _element_ends(shapes: str) -> str:
 def with_nodes(pages: DataFrame, html: str = "html", keep_html: bool = False) -> DataFrame:
     """Replace the HTML column by ``nodes``; no shuffle."""
     others = [f"`{c}`" for c in pages.columns if keep_html or c != html]
-    cut = pages.selectExpr(*others, f"regexp_extract_all({html}, {lit(TOKEN)}, 0) AS __tokens")
-    shaped = cut.selectExpr(*others, f"{each('__tokens', _token_node)} AS __shapes")
+    # tags are named for the whole page at once: a pattern for every token costs far more than a second pass
+    tokens, names = f"regexp_extract_all({html}, {lit(TOKEN)}, 0)", f"regexp_extract_all({html}, {lit(NAMED_TOKEN)}, 1)"
+    shaped = pages.selectExpr(*others, f"zip_with({tokens}, {names}, (t, n) -> {_token_node('t', 'n')}) AS __shapes")
     # the stack only needs position, kind and tag
     slim = shaped.selectExpr(
         *others,
