@@ -50,10 +50,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents; each one's rows are written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, begun = table(spark, sf_dir, "documents"), scratch_mark()
     for name, step in STAGES[:-1]:
-        begun = scratch_mark()
         docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
-        clear_scratch(spark, begun, kept=1)  # what the stage's operators wrote; its own rows stay
+        clear_scratch(spark, begun, kept=1)  # what its operators wrote and the rows before it; its own rows stay
         release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)

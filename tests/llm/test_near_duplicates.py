@@ -6,6 +6,7 @@ from helpers import SF, docs, empty, hard_rows
 from pyspark.sql import functions as F
 
 from vitrine.llm.near_duplicates import Layout, _distance, _segments, ball_pairs, grouped, keep_one, layout, leader_pairs, shingles, wide_fingerprint
+from vitrine.session import _written
 
 WORDS = [f"w{i}" for i in range(4000)]
 
@@ -140,3 +141,13 @@ def test_pairs_of_different_roots_are_fetched_from_their_members(spark):
     frame = spark.createDataFrame([(n, [f], r, a) for n, f, r, a in rows], "node bigint, fp array<bigint>, root bigint, alone boolean")
     got = [tuple(r) for r in ball_pairs(frame, plan).collect()]
     assert sorted(got) == [(1, 3), (1, 4), (2, 3), (2, 4), (3, 5), (4, 5)]
+
+
+def test_intermediate_tables_are_gone_when_groups_are_known(spark):
+    rng = random.Random(9)
+    texts = [" ".join([*[f"{rng.choice(WORDS)}"] * 3, *[rng.choice(WORDS) for _ in range(80)]]) for _ in range(30)]
+    texts += [t + " more" for t in texts]
+    since = len(_written)
+    got = {r["doc_id"]: r["root"] for r in grouped(docs(spark, texts)).collect()}
+    assert len(_written) == since + 1 and len(set(got.values())) == 30
+    assert len({r["doc_id"] for r in keep_one(docs(spark, texts)).collect()}) == 30 and len(_written) == since + 2

@@ -1,7 +1,9 @@
 from helpers import SF, empty, hard_rows
 
 import corpus_pipeline
+from vitrine.llm.pii import masked as redacted
 from vitrine.llm.queries import ORACLES, QUERIES
+from vitrine.session import _written
 
 
 def test_stages_in_order_keep_the_columns(spark):
@@ -39,3 +41,17 @@ def test_stages_in_a_row_take_hard_rows(spark):
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
     assert numbers == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
+
+
+def test_rows_of_a_stage_go_when_the_next_are_written(spark, monkeypatch):
+    steps = [(name, lambda spark, docs, sf: docs.limit(40)) for name, _ in corpus_pipeline.STAGES[:2]]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [*steps, ("pii", corpus_pipeline.redact), ("last", lambda spark, docs, sf: docs)])
+    since = len(_written)
+    assert corpus_pipeline.run(spark, SF).count() == 40
+    assert [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in _written[since:]] == ["pipeline-pii"]
+
+
+def test_personal_data_leaves_its_rows_and_sure_contexts_alone(spark):
+    since = len(_written)
+    assert redacted(hard_rows(spark)).count() == hard_rows(spark).count()
+    assert [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in _written[since:]] == ["pii-seen", "pii-sure"]

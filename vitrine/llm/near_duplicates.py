@@ -30,13 +30,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.llm.common import byte_table, components, map_arrow, release, stage
+from vitrine.llm.common import byte_table, components, map_arrow, release, stage, union_all
 from vitrine.operators.lookup import maybe_listed
+from vitrine.session import clear_scratch, scratch_mark
 
 SHINGLE, SIMILAR, RECALL = 5, 0.8, 0.95
 LOWER = byte_table(gaps=False)
 MEMO = 200_000
 LEADERS = 3  # nodes that a node is compared with before the second step
+WAVE = 4  # segments whose balls are looked up at once
 WORDS, EARLY = 8, 4  # words of a fingerprint at least; those of them that travel with its probes
 SPREAD = 2.0  # standard deviations that a true pair's distance may lie above its mean
 
@@ -132,10 +134,10 @@ def nodes(docs: DataFrame, plan: Layout, size: int = SHINGLE) -> DataFrame:
     return map_arrow(inner, run, schema)
 
 
-def _segments(plan: Layout) -> str:
-    """SQL: the values of all segments, the segment's number above its bits."""
+def _segments(plan: Layout, chosen: range | None = None) -> str:
+    """SQL: the values of all or the chosen segments, the segment's number above its bits."""
     parts = []
-    for k in range(plan.segments):
+    for k in chosen or range(plan.segments):
         low = k * plan.bits
         word, shift = low // 64, low % 64
         value = f"shiftrightunsigned(fp[{word}], {shift})"
@@ -149,10 +151,10 @@ def _distance(a: str, b: str) -> str:
     return f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
 
 
-def _index(table: DataFrame, plan: Layout, similar: float | None, *more: str) -> DataFrame:
-    """node, size, w0 ... (the early words), ``more`` columns and key of every segment."""
+def _index(table: DataFrame, plan: Layout, similar: float | None, *more: str, chosen: range | None = None) -> DataFrame:
+    """node, size, w0 ... (the early words), ``more`` columns and key of every (chosen) segment."""
     words = [f"fp[{k}] as w{k}" for k in range(plan.early)]
-    return table.where("node <> 0").selectExpr("node", "size" if similar else "1 as size", *words, *more, f"explode({_segments(plan)}) as key")
+    return table.where("node <> 0").selectExpr("node", "size" if similar else "1 as size", *words, *more, f"explode({_segments(plan, chosen)}) as key")
 
 
 def _side(plan: Layout, of: str) -> list[str]:
@@ -187,10 +189,22 @@ def _heads(index: DataFrame, plan: Layout) -> DataFrame:
 def ball_pairs(table: DataFrame, plan: Layout, similar: float | None = None) -> DataFrame:
     """(a, b): nodes that may be near and have a segment in which they differ in one bit at most.
 
-    With the columns ``root`` and ``alone`` (it is the only node of its root) only pairs of different roots.
+    With the columns ``root`` and ``alone`` (it is the only node of its root) only pairs of different roots. ``WAVE`` segments
+    are looked up at once: their index and shuffles are gone from the disk before the next ones are written.
     """
     table = table if "root" in table.columns else table.selectExpr("*", "node as root", "true as alone")
-    index = stage(_index(table, plan, similar, "root", "alone"), "near-index")
+    waves = []
+    for first in range(0, plan.segments, WAVE):
+        begun = scratch_mark()
+        waves.append(stage(_ball_wave(table, plan, similar, range(first, min(first + WAVE, plan.segments))), "near-met"))
+        clear_scratch(table.sparkSession, begun, kept=1)
+        release(table.sparkSession)
+    return union_all(waves).distinct()
+
+
+def _ball_wave(table: DataFrame, plan: Layout, similar: float | None, chosen: range) -> DataFrame:
+    """The pairs of ``ball_pairs`` that the chosen segments find."""
+    index = stage(_index(table, plan, similar, "root", "alone", chosen=chosen), "near-index")
     heads = _heads(index, plan).withColumnRenamed("root", "node")
     zeros = f"filter(sequence(0, {plan.bits - 1}), i -> getbit(key, i) = 0)"
     ball = f"explode(concat(array(named_struct('equal', true, 'key', key)), transform({zeros}, i -> named_struct('equal', false, 'key', key | shiftleft(1L, i))))) as met"
@@ -246,17 +260,26 @@ def verified(docs: DataFrame, table: DataFrame, pairs: DataFrame, plan: Layout,
 
 def grouped(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE) -> DataFrame:
     """doc_id, at and root of every row: rows with one root are near-duplicates, directly or through others."""
+    spark, begun = docs.sparkSession, scratch_mark()
     plan = layout(docs.count(), similar)
     rows = stage(nodes(docs, plan, size), "near-rows")
     table = stage(rows.groupBy("node").agg(F.min("at").alias("at"), F.first("size").alias("size"), F.first("fp").alias("fp")), "near-nodes")
+    mark = scratch_mark()
     first = stage(verified(docs, table, leader_pairs(table, plan, similar), plan, similar, size), "near-first")
-    settled = stage(components(first, "near-first").selectExpr("id as node", "component_id as root"), "near-settled")
+    clear_scratch(spark, mark, kept=1)
+    mark = scratch_mark()
+    settled = components(first, "near-first").selectExpr("id as node", "component_id as root")
     rooted = stage(table.join(settled, "node", "left").selectExpr(*table.columns, "coalesce(root, node) as root", "root is null as alone"), "near-rooted")
-    release(docs.sparkSession)
+    clear_scratch(spark, mark, kept=1)
+    release(spark)
+    mark = scratch_mark()
     second = stage(verified(docs, rooted, ball_pairs(rooted, plan, similar), plan, similar, size), "near-second")
-    release(docs.sparkSession)
+    clear_scratch(spark, mark, kept=1)
+    release(spark)
     roots = components(first.unionByName(second), "near").selectExpr("id as node", "component_id as root")
-    return rows.join(roots, "node", "left").select("doc_id", "at", F.coalesce("root", "node").alias("root"))
+    members = stage(rows.join(roots, "node", "left").select("doc_id", "at", F.coalesce("root", "node").alias("root")), "near-members")
+    clear_scratch(spark, begun, kept=1)
+    return members
 
 
 def keep_one(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE) -> DataFrame:
@@ -264,9 +287,12 @@ def keep_one(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE) ->
 
     Of rows that share id and text, the one of the smallest hash of its other columns stays (columns that can't be hashed don't count).
     """
+    begun = scratch_mark()
     members = grouped(docs, similar, size)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "at")
     kept = stage(members.groupBy("root").agg(F.min(order).alias("f")).selectExpr("f.at as _at").distinct(), "near-kept")
+    clear_scratch(docs.sparkSession, begun, kept=1)
+    release(docs.sparkSession)
     columns = docs.columns
     plain = [f.name for f in docs.schema.fields if not _holds_map(f.dataType)]
     packed = docs.select(F.struct(*columns).alias("_row"), F.xxhash64("doc_id", "text").alias("_at"), F.xxhash64(*plain).alias("_hash"))

@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions.sqltext import let
-from vitrine.llm.common import stage
+from vitrine.llm.common import release, stage
 from vitrine.llm.spans import PIECE, cut, joined, literal, matches, meets, merged, of_kind, pieces
 from vitrine.operators.lookup import maybe_listed
+from vitrine.session import clear_scratch, scratch_mark
 
 #: The base kinds in their order. The patterns find the same matches as the stated ones, without
 #: trying the inside of a run again: a match begins at a run's start or where the last match ended.
@@ -154,7 +155,10 @@ def sure_contexts(docs: DataFrame, seen: DataFrame, support: int = 3, least: flo
 def identified(docs: DataFrame, keep: list[str]) -> DataFrame:
     """kept, base and added (kind, start, end), each ordered, of every row."""
     seen = stage(occurrences(docs, keep), "pii-seen")
-    sure = sure_contexts(docs.select(F.coalesce("text", F.lit("")).alias("text")), seen)
+    mark = scratch_mark()
+    sure = stage(sure_contexts(docs.select(F.coalesce("text", F.lit("")).alias("text")), seen), "pii-sure")
+    clear_scratch(docs.sparkSession, mark, kept=1)
+    release(docs.sparkSession)
     added = (
         seen.select("row_key", F.inline("seen")).where("not seed").select("row_key", "start", "end", F.explode("contexts").alias("context")).join(sure, "context")
         .groupBy("row_key").agg(F.array_sort(F.collect_set(F.struct(F.lit(ADDED).alias("kind"), "start", "end"))).alias("added"))
