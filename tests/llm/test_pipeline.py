@@ -3,6 +3,7 @@ from helpers import SF, empty, hard_rows
 import corpus_pipeline
 from vitrine.llm.pii import masked as redacted
 from vitrine.llm.queries import ORACLES, QUERIES
+from vitrine.operators.lookup import maybe_listed, surely_unlisted
 from vitrine.session import _written
 
 
@@ -51,7 +52,15 @@ def test_rows_of_a_stage_go_when_the_next_are_written(spark, monkeypatch):
     assert [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in _written[since:]] == ["pipeline-pii"]
 
 
-def test_personal_data_leaves_its_rows_and_sure_contexts_alone(spark):
+def test_personal_data_leaves_its_rows_and_added_spans_alone(spark):
     since = len(_written)
     assert redacted(hard_rows(spark)).count() == hard_rows(spark).count()
-    assert [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in _written[since:]] == ["pii-seen", "pii-sure"]
+    assert [path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in _written[since:]] == ["pii-seen", "pii-added"]
+
+
+def test_rows_of_a_list_and_all_others_are_told_apart(spark):
+    frame = spark.createDataFrame([(i if i % 7 else None, f"t{i}") for i in range(400)], "row_key bigint, `a.b` string")
+    for listed in (frame.where("row_key % 5 = 0"), frame.where("false")):
+        near, far = (f(frame, listed, "row_key", 1024).collect() for f in (maybe_listed, surely_unlisted))
+        assert sorted(r[1] for r in near + far) == sorted(f"t{i}" for i in range(400))
+        assert {r[0] for r in listed.collect()} - {None} <= {r[0] for r in near} and not {r[0] for r in far} & {r[0] for r in listed.collect()} - {None}

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from vitrine.functions.sqltext import let
 from vitrine.llm.common import release, stage
 from vitrine.llm.spans import PIECE, cut, joined, literal, matches, meets, merged, of_kind, pieces
-from vitrine.operators.lookup import maybe_listed
+from vitrine.operators.lookup import maybe_listed, surely_unlisted
 from vitrine.session import clear_scratch, scratch_mark
 
 #: The base kinds in their order. The patterns find the same matches as the stated ones, without
@@ -156,16 +156,17 @@ def identified(docs: DataFrame, keep: list[str]) -> DataFrame:
     """kept, base and added (kind, start, end), each ordered, of every row."""
     seen = stage(occurrences(docs, keep), "pii-seen")
     mark = scratch_mark()
-    sure = stage(sure_contexts(docs.select(F.coalesce("text", F.lit("")).alias("text")), seen), "pii-sure")
-    clear_scratch(docs.sparkSession, mark, kept=1)
-    release(docs.sparkSession)
-    added = (
+    sure = sure_contexts(docs.select(F.coalesce("text", F.lit("")).alias("text")), seen)
+    added = stage(
         seen.select("row_key", F.inline("seen")).where("not seed").select("row_key", "start", "end", F.explode("contexts").alias("context")).join(sure, "context")
-        .groupBy("row_key").agg(F.array_sort(F.collect_set(F.struct(F.lit(ADDED).alias("kind"), "start", "end"))).alias("added"))
-    )
-    return seen.join(added, "row_key", "left").select(
-        "kept", "base", F.expr("coalesce(added, cast(array() as array<struct<kind: string, start: bigint, end: bigint>>))").alias("added")
+        .groupBy("row_key").agg(F.array_sort(F.collect_set(F.struct(F.lit(ADDED).alias("kind"), "start", "end"))).alias("added")), "pii-added",
     )
+    clear_scratch(docs.sparkSession, mark, kept=1)
+    release(docs.sparkSession)
+    # few rows gain spans: only those that may be among them are moved, all others stay where they are read
+    rows, none = seen.select("row_key", "kept", "base"), "cast(array() as array<struct<kind: string, start: bigint, end: bigint>>)"
+    gained = maybe_listed(rows, added, "row_key").join(added, "row_key", "left").selectExpr("kept", "base", f"coalesce(added, {none}) as added")
+    return gained.unionByName(surely_unlisted(rows, added, "row_key").selectExpr("kept", "base", f"{none} as added"))
 
 
 def pii(docs: DataFrame) -> DataFrame:

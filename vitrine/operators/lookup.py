@@ -28,3 +28,11 @@ def maybe_listed(frame: DataFrame, numbers: DataFrame, column: str = "page_id",
     word = number_filter(numbers, column, bits).selectExpr("word AS __word", "bits AS __bits")
     marked = frame.selectExpr("*", f"{hashed} AS __h").join(F.broadcast(word), F.expr(f"__h DIV {WORD} = __word"))
     return marked.where(f"{column} IS NOT NULL AND getbit(__bits, CAST(__h % {WORD} AS INT)) = 1").select(*[f"`{c}`" for c in frame.columns])
+
+
+def surely_unlisted(frame: DataFrame, numbers: DataFrame, column: str = "page_id", bits: int = FILTER_BITS) -> DataFrame:
+    """The rows that ``maybe_listed`` leaves out, null numbers among them."""
+    hashed = f"pmod(xxhash64(CAST({column} AS BIGINT)), {bits}L)"
+    word = number_filter(numbers, column, bits).selectExpr("word AS __word", "bits AS __bits")
+    marked = frame.selectExpr("*", f"{hashed} AS __h").join(F.broadcast(word), F.expr(f"__h DIV {WORD} = __word"), "left")
+    return marked.where(f"{column} IS NULL OR __bits IS NULL OR getbit(__bits, CAST(__h % {WORD} AS INT)) = 0").select(*[f"`{c}`" for c in frame.columns])
