@@ -5,7 +5,9 @@ import numpy as np
 from helpers import SF, docs, empty, hard_rows
 from pyspark.sql import functions as F
 
-from vitrine.llm.near_duplicates import Layout, _distance, _segments, ball_pairs, grouped, keep_one, layout, leader_pairs, shingles, wide_fingerprint
+from vitrine.llm import near_duplicates
+from vitrine.llm.common import stage
+from vitrine.llm.near_duplicates import Layout, _distance, _segments, ball_meets, ball_pairs, block_links, grouped, keep_one, layout, leader_pairs, nodes, shingles, verified, wide_fingerprint
 from vitrine.session import _written
 
 WORDS = [f"w{i}" for i in range(4000)]
@@ -151,3 +153,65 @@ def test_intermediate_tables_are_gone_when_groups_are_known(spark):
     got = {r["doc_id"]: r["root"] for r in grouped(docs(spark, texts)).collect()}
     assert len(_written) == since + 1 and len(set(got.values())) == 30
     assert len({r["doc_id"] for r in keep_one(docs(spark, texts)).collect()}) == 30 and len(_written) == since + 2
+
+
+def test_crowds_and_groups_are_met_by_a_row_a_node(spark):
+    """Of 200 single nodes with one segment value and a group of 200 no pair becomes a row, where ``ball_pairs`` has 59,900."""
+    plan = Layout(1, 16, 1, 64, 64)
+    rows = [(n, [5], n if n <= 200 else 201, n <= 200) for n in range(1, 401)]
+    frame = spark.createDataFrame(rows, "node bigint, fp array<bigint>, root bigint, alone boolean")
+    meets = ball_meets(frame, plan)
+    assert [x.count() for x in meets] == [0, 200, 200, 200]
+    assert ball_pairs(frame, plan).count() == 200 * 199 // 2 + 200 * 200
+
+
+def test_links_in_crowds_are_found(spark, monkeypatch):
+    """Variants of one text that are mostly too far apart to be linked."""
+    monkeypatch.setattr(near_duplicates, "CROWD", 8)
+    rng = random.Random(12)
+
+    def variants(n):
+        base = [rng.choice(WORDS) for _ in range(150)]
+        texts = []
+        for _ in range(n):
+            words = list(base)
+            for k in rng.sample(range(150), rng.randint(1, 8)):
+                words[k] = f"x{rng.random()}"
+            texts.append(" ".join(words))
+        return texts
+
+    for n in (150,):
+        texts = variants(n)
+        plan = layout(n)
+        table = nodes(docs(spark, texts), plan).selectExpr("*", "node as root", "true as alone")
+        meets = ball_meets(stage(table, "test-nodes"), plan, 0.8)
+        links = {tuple(sorted(p)) for p in block_links(docs(spark, texts), table, meets, plan, 0.8, 5).collect()}
+        assert len(links) > n / 3
+        links |= {tuple(sorted(p)) for p in verified(docs(spark, texts), table, meets.pairs, plan, 0.8, 5).collect()}
+        own = {r["node"]: sets(texts[r["doc_id"]]) for r in table.collect()}
+        near = {(a, b) for a in own for b in own if a < b and jaccard(own[a], own[b]) >= 0.8}
+        assert links <= near and len(links) >= 0.9 * len(near)
+
+
+def test_links_in_blocks_are_those_of_pairs(spark):
+    """Blocks give what the pairs of ``ball_pairs`` give when all are verified, but for further links to one root."""
+    rng = random.Random(13)
+    base = [rng.choice(WORDS) for _ in range(120)]
+    texts = []
+    for i in range(200):
+        words = list(base)
+        for k in rng.sample(range(120), rng.randint(1, 6)):
+            words[k] = f"y{rng.random()}"
+        texts.append(" ".join(words))
+    plan = layout(200)
+    table = nodes(docs(spark, texts), plan)
+    group = [r["node"] for r in table.orderBy("node").limit(60).collect()]
+    rooted = stage(table.withColumn("alone", ~F.col("node").isin(group)).withColumn("root", F.when(F.col("alone"), F.col("node")).otherwise(F.lit(group[0]))), "test-rooted")
+    whole = {(r["a"], r["b"]) for r in verified(docs(spark, texts), rooted, ball_pairs(rooted, plan, 0.8), plan, 0.8, 5).collect()}
+    meets = ball_meets(rooted, plan, 0.8)
+    found = {tuple(sorted(p)) for p in block_links(docs(spark, texts), rooted, meets, plan, 0.8, 5).collect()}
+    found |= {tuple(sorted(p)) for p in verified(docs(spark, texts), rooted, meets.pairs, plan, 0.8, 5).collect()}
+    root = {r["node"]: r["root"] for r in rooted.collect()}
+    ends = lambda pairs: {tuple(sorted((root[a], root[b]))) for a, b in pairs}
+    assert found <= {tuple(sorted(p)) for p in whole} and ends(found) == ends(whole)
+    assert any(root[a] == group[0] for a, b in whole) and len(ends(whole)) > 30

@@ -8,8 +8,10 @@ segment has a few bits more than the table's count of distinct documents needs (
 Documents of equal shingle sets are one node. First every node is compared with the few smallest nodes of its segment values that it shares most segments with:
 this settles large groups of near copies without all of their pairs. Then all nodes look up the Hamming
 ball of radius one about each segment (a node probes only the values with one bit more, so every pair meets once), and every pair is
-fetched whose nodes the first step has not put into one group; within a group a further link changes nothing. Fetched
-pairs are verified twice: by the complete distance of the fingerprints, then by the exact Jaccard of the shingle sets of their texts.
+met whose nodes the first step has not put into one group; within a group a further link changes nothing. Pairs of
+single nodes are fetched row by row. What meets a group, or a segment value of over ``CROWD`` single nodes, is a row per node and group or value,
+and is compared in blocks of nodes inside the tasks (``block_links``): no row is made for a pair that turns out not to be near.
+Pairs are verified twice: by the complete distance of the fingerprints, then by the exact Jaccard of the shingle sets of their texts.
 Groups are connected components of what passes.
 
 Cases: null, empty and wordless texts have no shingle and are one node, near no other. Fewer words than a shingle are one
@@ -39,6 +41,8 @@ LOWER = byte_table(gaps=False)
 MEMO = 200_000
 LEADERS = 3  # nodes that a node is compared with before the second step
 WAVE = 4  # segments whose balls are looked up at once
+CROWD = 64  # single nodes of a segment value that are met node by node
+PRINTS, BLOCK = 256, 8_192  # nodes that are compared as one block by their fingerprints, shingles of those that are by their sets, about
 WORDS, EARLY = 8, 4  # words of a fingerprint at least; those of them that travel with its probes
 SPREAD = 2.0  # standard deviations that a true pair's distance may lie above its mean
 
@@ -227,14 +231,61 @@ def _ball_wave(table: DataFrame, plan: Layout, similar: float | None, chosen: ra
     return every.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
 
 
-def verified(docs: DataFrame, table: DataFrame, pairs: DataFrame, plan: Layout, similar: float, size: int) -> DataFrame:
-    """Pairs whose complete distance is near and whose shingle sets have a Jaccard of ``similar`` or more."""
-    prints = table.select("node", "fp")
-    close = stage(
-        pairs.join(prints.selectExpr("node as a", "fp as fa"), "a").join(prints.selectExpr("node as b", "fp as fb"), "b")
-        .where(f"{_distance('fa', 'fb')} <= {plan.near}").select("a", "b"), "near-close",
+class Meets(NamedTuple):
+    """What the balls of all segments find: (a, b) of single nodes, (ra, rb) of roots of which rb has several nodes, and (key, node) that look up a crowded value and that have it."""
+
+    pairs: DataFrame
+    roots: DataFrame
+    probing: DataFrame
+    crowd: DataFrame
+
+
+def ball_meets(table: DataFrame, plan: Layout, similar: float | None = None) -> Meets:
+    """The pairs of ``ball_pairs``, those with groups and in crowded segment values not unfolded; ``table`` has ``root`` and ``alone``."""
+    waves = []
+    for first in range(0, plan.segments, WAVE):
+        begun = scratch_mark()
+        waves.append(_meets_of_wave(table, plan, similar, range(first, min(first + WAVE, plan.segments))))
+        clear_scratch(table.sparkSession, begun, kept=len(waves[-1]))
+        release(table.sparkSession)
+    fetched, probing, crowd = (union_all(list(x)) for x in zip(*waves, strict=True))
+    roots = fetched.where("many_a or many_b").selectExpr(
+        "if(many_a and many_b, least(a, b), if(many_b, a, b)) as ra", "if(many_a and many_b, greatest(a, b), if(many_b, b, a)) as rb"
+    )
+    pairs = fetched.where("not (many_a or many_b)").selectExpr("least(a, b) as a", "greatest(a, b) as b")
+    return Meets(pairs.distinct(), roots.distinct(), probing, crowd)
+
+
+def _meets_of_wave(table: DataFrame, plan: Layout, similar: float | None, chosen: range) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of the chosen segments: (a, b, many_a, many_b) of roots, (key, node) that look up a crowded value, (key, node) that have it."""
+    index = stage(_index(table, plan, similar, "root", "alone", chosen=chosen), "near-index")
+    heads = _heads(index, plan).withColumnRenamed("root", "node")
+    lone, many = heads.where("size is not null"), heads.where("size is null")
+    held = lone.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
+    crowded = stage(held.where(f"held > {CROWD}").select("key"), "near-crowded")
+    bits = lambda set_: f"filter(sequence(0, {plan.bits - 1}), i -> getbit(key, i) = {set_})"
+    ball = f"explode(concat(array(named_struct('equal', true, 'key', key)), transform({bits(0)}, i -> named_struct('equal', false, 'key', key | shiftleft(1L, i))))) as met"
+    probes = heads.selectExpr(*_side(plan, "a"), ball).select("*", "met.*").drop("met")
+    # single nodes of crowded values are looked up apart; equal values meet from both sides, a node and a group from that of the node
+    looked_up = lone.join(held.where(f"held <= {CROWD}"), "key").select(lone.columns).unionByName(many.select(lone.columns))
+    met = probes.join(looked_up.selectExpr("key", *_side(plan, "b")), "key").where(
+        f"a <> b and (not equal or if((na is null) = (nb is null), a < b, nb is null)) and (na is null or nb is null or {_may_be_near(plan, similar)})"
     )
-    wanted = stage(close.selectExpr("explode(array(a, b)) as node").distinct().join(table.select("node", "at"), "node"), "near-wanted")
+    fetched = met.selectExpr("a", "b", "na is null as many_a", "nb is null as many_b")
+    own = index.where("alone").join(crowded, "key").select("key", "node")
+    if not crowded.isEmpty():
+        # a group with one bit less would look them up: they look it up instead
+        below = own.selectExpr("node as a", f"explode(transform({bits(1)}, i -> key ^ shiftleft(1L, i))) as key")
+        fetched = fetched.unionByName(below.join(many.selectExpr("key", "node as b"), "key").selectExpr("a", "b", "false as many_a", "true as many_b"))
+    fetched = stage(fetched.distinct(), "near-fetched")
+    asked_from = crowded.selectExpr("key as asked", f"explode(concat(array(key), transform({bits(1)}, i -> key ^ shiftleft(1L, i)))) as key")
+    probing = stage(lone.join(asked_from, "key").selectExpr("asked as key", "node"), "near-probing")
+    return fetched, probing, stage(own, "near-crowd")
+
+
+def _sets(docs: DataFrame, table: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """node and own (32-bit shingles, sorted) of the nodes in ``wanted``, from the texts."""
+    wanted = stage(wanted.select("node").distinct().join(table.select("node", "at"), "node"), "near-wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[bytes, int] = {}
@@ -243,21 +294,121 @@ def verified(docs: DataFrame, table: DataFrame, pairs: DataFrame, plan: Layout,
             sets = [np.unique(shingles(t, memo, size) >> np.uint64(32)).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("at"), pa.array(sets, pa.binary())], names=["at", "own"])
 
-    sets = stage(map_arrow(maybe_listed(_texts(docs), wanted, "at").select("at", "text"), run, "at long, own binary").join(wanted, "at").select("node", "own").dropDuplicates(["node"]), "near-sets")
+    texts = maybe_listed(_texts(docs), wanted, "at").select("at", "text")
+    return stage(map_arrow(texts, run, "at long, own binary").join(wanted, "at").select("node", "own").dropDuplicates(["node"]), "near-sets")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, similar: float) -> bool:
+    """Whether two sets have that Jaccard."""
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common >= similar * (len(x) + len(y) - common)
+
+
+def verified(docs: DataFrame, table: DataFrame, pairs: DataFrame, plan: Layout, similar: float, size: int) -> DataFrame:
+    """Pairs whose complete distance is near and whose shingle sets have a Jaccard of ``similar`` or more."""
+    prints = table.select("node", "fp")
+    close = stage(
+        pairs.join(prints.selectExpr("node as a", "fp as fa"), "a").join(prints.selectExpr("node as b", "fp as fb"), "b")
+        .where(f"{_distance('fa', 'fb')} <= {plan.near}").select("a", "b"), "near-close",
+    )
+    sets = _sets(docs, table, close.selectExpr("explode(array(a, b)) as node"), size)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= similar * (len(x) + len(y) - common))
+            both = zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True)
+            keep = [_similar(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), similar) for x, y in both]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = close.join(sets.selectExpr("node as a", "own as xa"), "a").join(sets.selectExpr("node as b", "own as xb"), "b").select("a", "b", "xa", "xb")
     return map_arrow(both, judge, "a long, b long")
 
 
+def near_in_block(fp: np.ndarray, size: int, root: int, others: tuple, plan: Layout, similar: float) -> np.ndarray:
+    """Which of the other nodes (roots, fingerprints, sizes) with another root a node may be linked to, as ``ball_pairs`` and the complete distance say, nearest first."""
+    roots, prints, sizes = others
+    differ = fp ^ prints
+    apart = np.bitwise_count(differ).sum(axis=1)
+    may = np.flatnonzero((apart <= plan.near) & (roots != root) & (np.minimum(size, sizes) >= similar * np.maximum(size, sizes)))
+    may = may[np.bitwise_count(differ[may, : plan.early]).sum(axis=1) <= plan.first]
+    bits = np.unpackbits(differ[may].view(np.uint8), axis=1, bitorder="little")[:, : plan.segments * plan.bits]
+    may = may[(bits.reshape(len(may), plan.segments, plan.bits).sum(axis=2, dtype=np.uint8) <= 1).any(axis=1)]
+    return may[np.argsort(apart[may], kind="stable")]
+
+
+def _in_blocks(left: DataFrame, right: DataFrame, facts: DataFrame, weight: str, limit: int) -> DataFrame:
+    """crowd, target, l and r: the nodes on either side of a target, with the columns of ``facts``, in blocks of about ``limit`` by the sum of ``weight``; every block meets every block of the other side."""
+    at = ["crowd", "target"]
+    held = F.struct(*facts.columns)
+
+    def counted(side: DataFrame) -> DataFrame:
+        return side.join(facts, "node").groupBy(*at).agg(F.expr(f"ceil(sum({weight}) / {limit})").alias("blocks"))
+
+    def blocks(side: DataFrame, counts: DataFrame, name: str) -> DataFrame:
+        dealt = side.join(counts, at).selectExpr(*at, "node", "pmod(xxhash64(node), blocks) as block")
+        return dealt.join(facts, "node").select(*at, "block", held.alias("held")).groupBy(*at, "block").agg(F.collect_list("held").alias(name))
+
+    per_right = stage(counted(right), "near-blocks")
+    asking = blocks(left, counted(left), "l").drop("block").join(per_right, at).selectExpr(*at, "l", "explode(sequence(0L, blocks - 1)) as block")
+    return asking.join(blocks(right, per_right, "r"), [*at, "block"]).select(*at, "l", "r")
+
+
+def _columns(held: pa.ListScalar) -> dict[str, np.ndarray | list]:
+    """The columns of a block: fingerprints as rows of words, sets as arrays."""
+    rows = held.values
+    out = dict(zip((f.name for f in rows.type), rows.flatten(), strict=True))
+    prints = out["fp"].flatten().to_numpy().view(np.uint64).reshape(len(rows), -1)
+    more = {"own": [np.frombuffer(x, "<u4") for x in out["own"].to_pylist()]} if "own" in out else {}
+    return {k: out[k].to_numpy() for k in ("node", "root", "size")} | {"fp": prints} | more
+
+
+def block_links(docs: DataFrame, table: DataFrame, meets: Meets, plan: Layout, similar: float, size: int) -> DataFrame:
+    """(a, b): links of nodes with the groups and with the crowds that they have met, one of a node with a root of the other side's block.
+
+    The nodes on either side of a group or a segment value are dealt to blocks by their hash, and every block of one side meets every
+    block of the other as a row; all their pairs are compared in the task. First by fingerprints, which leaves the nodes that are
+    near one of the other side at all, then these with their sets, nearest first: a further link to the same root changes nothing.
+    """
+    member = table.select("root", "node")
+    left = meets.roots.join(member.withColumnRenamed("root", "ra"), "ra").selectExpr("false as crowd", "rb as target", "node").unionByName(
+        meets.probing.selectExpr("true as crowd", "key as target", "node")
+    )
+    right = meets.roots.select("rb").distinct().join(member.withColumnRenamed("root", "rb"), "rb").selectExpr("false as crowd", "rb as target", "node").unionByName(
+        meets.crowd.selectExpr("true as crowd", "key as target", "node")
+    )
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for crowd, target, l, r in zip(*(batch.column(c) for c in ("crowd", "target", "l", "r")), strict=True):  # noqa: E741
+                x, y = _columns(l), _columns(r)
+                found = [near_in_block(x["fp"][i], x["size"][i], x["root"][i], (y["root"], y["fp"], y["size"]), plan, similar) for i in range(len(x["node"]))]
+                asking = x["node"][[i for i, j in enumerate(found) if len(j)]]
+                met = y["node"][np.unique(np.concatenate(found))]
+                n = len(asking) + len(met)
+                columns = [pa.array([crowd.as_py()] * n, pa.bool_()), pa.array([target.as_py()] * n, pa.int64())]
+                columns += [pa.array(np.concatenate([asking, met]), pa.int64()), pa.array([True] * len(asking) + [False] * len(met), pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["crowd", "target", "node", "asks"])
+
+    prints = table.select("node", "root", "size", "fp")
+    close = stage(map_arrow(_in_blocks(stage(left.distinct(), "near-left"), stage(right, "near-right"), prints, "1", PRINTS), near, "crowd boolean, target long, node long, asks boolean").distinct(), "near-sides")
+    facts = stage(prints.join(_sets(docs, table, close, size), "node"), "near-facts")
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for l, r in zip(batch.column("l"), batch.column("r"), strict=True):  # noqa: E741
+                x, y = _columns(l), _columns(r)
+                found = []
+                for i in range(len(x["node"])):
+                    reached: set[int] = set()
+                    for j in near_in_block(x["fp"][i], x["size"][i], x["root"][i], (y["root"], y["fp"], y["size"]), plan, similar).tolist():
+                        if y["root"][j] not in reached and _similar(x["own"][i], y["own"][j], similar):
+                            reached.add(y["root"][j])
+                            found.append((x["node"][i], y["node"][j]))
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    sides = [close.where(test).drop("asks") for test in ("asks", "not asks")]
+    return map_arrow(_in_blocks(*sides, facts, "size", BLOCK).select("l", "r"), linked, "a long, b long")
+
+
 def grouped(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE) -> DataFrame:
     """doc_id, at and root of every row: rows with one root are near-duplicates, directly or through others."""
     spark, begun = docs.sparkSession, scratch_mark()
@@ -273,7 +424,9 @@ def grouped(docs: DataFrame, similar: float = SIMILAR, size: int = SHINGLE) -> D
     clear_scratch(spark, mark, kept=1)
     release(spark)
     mark = scratch_mark()
-    second = stage(verified(docs, rooted, ball_pairs(rooted, plan, similar), plan, similar, size), "near-second")
+    meets = ball_meets(rooted, plan, similar)
+    in_blocks = stage(block_links(docs, rooted, meets, plan, similar, size), "near-in-blocks")
+    second = stage(verified(docs, rooted, meets.pairs, plan, similar, size).unionByName(in_blocks), "near-second")
     clear_scratch(spark, mark, kept=1)
     release(spark)
     roots = components(first.unionByName(second), "near").selectExpr("id as node", "component_id as root")
