@@ -68,3 +68,9 @@ def test_a_hot_group_stays_linear(spark):
     table = docs(spark, ["same words again and again"] * 500 + ["other words", "third set of words"])
     out = {r["doc_id"]: r["component_id"] for r in simhash(table).collect()}
     assert all(out[i] == 0 for i in range(500)) and out[500] == 500
+
+
+def test_probes_are_not_broadcast(spark):
+    """A fingerprint has 66 probes, which Spark sizes as one row: at 0.6 GB the driver collected all of them."""
+    few = spark.createDataFrame([(i << 40,) for i in range(50)], "fp long")
+    assert "Broadcast" not in links(few)._jdf.queryExecution().executedPlan().toString()

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import byte_table, components, map_arrow, stage
+from vitrine.llm.common import byte_table, components, map_arrow, merged_by_key, stage
 
 SHINGLE, SEED, NEAR = 3, 42, 2
 LOWER = byte_table(gaps=False)
@@ -66,19 +66,19 @@ def links(distinct: DataFrame) -> DataFrame:
     probes = index.select(F.col("fp").alias("a"), "half", "value", F.explode(ball).alias("flip")).select("a", "half", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
     table = index.withColumnRenamed("fp", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= NEAR
-    return probes.join(table, (probes.half == table.half) & (probes.value == table.value) & (F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    return probes.join(merged_by_key(table), (probes.half == table.half) & (probes.value == table.value) & (F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
 def grouped(prints: DataFrame) -> DataFrame:
     """fp and component_id, the smallest doc_id reachable; ``prints`` has doc_id and fp."""
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-distinct")
     reached = components(links(distinct), "simhash").withColumnRenamed("id", "fp")
-    named = distinct.join(reached, "fp", "left").select("fp", "doc_id", F.coalesce("component_id", "fp").alias("root"))
+    named = distinct.join(merged_by_key(reached), "fp", "left").select("fp", "doc_id", F.coalesce("component_id", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(smallest, "root").select("fp", "component_id")
+    return named.join(merged_by_key(smallest), "root").select("fp", "component_id")
 
 
 def simhash(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint and component_id of every document."""
     prints = stage(fingerprints(docs, ["doc_id"]).select("kept.doc_id", "fp"), "simhash-prints")
-    return prints.join(grouped(prints), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(merged_by_key(grouped(prints)), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
